@@ -61,6 +61,10 @@ def shape(value: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(value, "[0-9]+", "9"), r"\p{L}+", "a")
 
 
+def _ranked(rank: int, kind: str):
+    return lambda x: F.struct(F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), x["start"].cast("long").alias("start"), x["end"].cast("long").alias("end"), x["value"].alias("value"))
+
+
 def extract(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rounds: int = 3, support: int = 5, confidence: float = 0.9, out: str = "entities") -> DataFrame:
     """(doc_id, entities) for each row of docs; entities: array of (kind, start, end, value) by start, then kind as listed in KINDS; code points, end exclusive.
 
@@ -71,7 +75,7 @@ def extract(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", roun
     t = F.coalesce(F.col(text), F.lit(""))
     with_digits = t.rlike("[0-9@]")
     found = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("th"), one_row(**base_entities(t), words=matches(t, CANDIDATE, with_digits)))
-    base = F.concat(*[F.transform(k, lambda x, k=k: F.struct(F.lit(i).alias("rank"), F.lit(k).alias("kind"), x["start"].cast("long").alias("start"), x["end"].cast("long").alias("end"), x["value"].alias("value"))) for i, k in enumerate(KINDS[:4])])
+    base = F.concat(*[F.transform(k, _ranked(i, k)) for i, k in enumerate(KINDS[:4])])
     trimmed = lambda x: F.regexp_extract(x["value"], r"^[^\p{L}0-9@+]*(.*?)[^\p{L}0-9]*$", 1)
     lead = lambda x: F.length(F.regexp_extract(x["value"], r"^[^\p{L}0-9@+]*", 0))
     words = F.transform("words", lambda x: F.struct((x["start"] + lead(x)).cast("long").alias("start"), (x["start"] + lead(x) + F.length(trimmed(x))).cast("long").alias("end"), trimmed(x).alias("value"), F.lower(F.coalesce(F.try_element_at(F.filter(F.split(F.substring(x["before"], -60, 60), SPACE), lambda w: w != ""), F.lit(-1)), F.lit("^"))).alias("left")))
