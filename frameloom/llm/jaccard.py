@@ -28,37 +28,34 @@ from .common import BROADCAST_ROWS, components, dropped, hot_salt, salted_join,
 FRAGMENTS = 8
 #: Counters of the sketch that orders n-grams: a fixed size, sent to every worker.
 SKETCH_BITS = 21
-_TO_LOWER = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
-_SPACES = {9: 32, 10: 32, 11: 32, 12: 32, 13: 32}
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
-def words_of(text: str | None) -> list[str]:
-    """Words of the text with A-Z lower-cased, cut at spaces and \\x09-\\x0D only."""
-    if not text:
-        return []
-    low = text.lower() if text.isascii() else text.translate(_TO_LOWER)
-    return [w for w in low.translate(_SPACES).split(" ") if w]
+def words_of(text: str | None) -> list[bytes]:
+    """Words of the text, in UTF-8: bytes.lower() changes A-Z only and bytes.split() cuts at \\x20 and \\x09-\\x0D only."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+class _Known(dict):
+    """Word -> hash, remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(self) < 300_000:
+            self[word] = h
+        return h
 
 
 class Hasher:
-    """Distinct hashes of a text's n-grams; word hashes are remembered up to a bound."""
-
-    def __init__(self, n: int = 5, remembered: int = 300_000):
-        self.n, self.bound, self.known = n, remembered, {}
-
-    def words(self, words: list[str]) -> np.ndarray:
-        known, out = self.known, []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = xxhash.xxh3_64_intdigest(w)
-                if len(known) < self.bound:
-                    known[w] = h
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
-
-    def set_of(self, words: list[str]) -> np.ndarray:
+    """Distinct hashes of a text's n-grams."""
+
+    def __init__(self, n: int = 5):
+        self.n, self.known = n, _Known()
+
+    def words(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
+
+    def set_of(self, words: list[bytes]) -> np.ndarray:
         if not words:
             return np.empty(0, dtype=np.uint64)
         h, n = self.words(words), min(self.n, len(words))
@@ -80,17 +77,21 @@ def read_documents(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
     blocks = 8
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, hasher = np.zeros(1 << SKETCH_BITS, dtype=np.uint32), Hasher(n)
+        counts, hasher = np.zeros(1 << SKETCH_BITS, dtype=np.int64), Hasher(n)
+        mask, met, waiting = np.uint64(len(counts) - 1), [], 0
         for b in batches:
             out = []
             for i, t in zip(b["doc_id"], b["text"], strict=True):
                 words = words_of(t)
                 g = hasher.set_of(words)
-                counts += np.bincount((g & np.uint64(len(counts) - 1)).astype(np.int64), minlength=len(counts)).astype(np.uint32) if len(g) > len(counts) else 0
-                if len(g) <= len(counts):
-                    np.add.at(counts, (g & np.uint64(len(counts) - 1)).astype(np.int64), 1)
-                out.append((i, hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest() if words else None, len(g), None, None))
+                met.append(g & mask)
+                if (waiting := waiting + len(g)) > len(counts):
+                    counts += np.bincount(np.concatenate(met).astype(np.int64), minlength=len(counts))
+                    met, waiting = [], 0
+                out.append((i, hashlib.md5(b" ".join(words)).digest() if words else None, len(g), None, None))
             yield pd.DataFrame(out, columns=names)
+        if met:
+            counts += np.bincount(np.concatenate(met).astype(np.int64), minlength=len(counts))
         for k, part in enumerate(np.split(counts, blocks)):
             yield pd.DataFrame([(None, None, None, k, zlib.compress(np.minimum(part, 65535).astype("<u2").tobytes(), 1))], columns=names)
 
@@ -170,36 +171,37 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
                 words = words_of(t)
                 if words:
                     keys = order_keys(hasher.set_of(words), shared.value)
-                    out.append((i, hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest(), len(keys), keys[: prefix_length(len(keys), percent)].astype(np.int64)))
+                    out.append((i, hashlib.md5(b" ".join(words)).digest(), len(keys), keys[: prefix_length(len(keys), percent)].astype(np.int64)))
             yield pd.DataFrame(out, columns=["doc", "key", "n", "prefix"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     made = docs.where("doc_id is not null").mapInPandas(prefixes, f"doc {kind}, key binary, n int, prefix array<long>")
     # one set of each key: equal keys have equal sets, so any will do, and equal ones are dropped before the shuffle
     sets = made.groupBy("key").agg(F.min("doc").alias("doc"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
-    tokens = sets.select("doc", "n", F.size("prefix").alias("p"), F.explode("prefix").alias("token"))
+    tokens = sets.select("doc", "n", F.posexplode("prefix").alias("pos", "token"))
     w = Window.partitionBy("token")
     bucket = tokens.select("*", F.count("*").over(w).alias("g"), F.min("doc").over(w).alias("pivot")).where("g > 1")
     bucket = written(bucket, "buckets")
     compatible = lambda a, b: (100 * F.least(a, b) >= percent * F.greatest(a, b))
+    prefix = lambda n: n - F.ceil(percent * n / 100.0 - 1e-9) + 1
     need = lambda a, b: F.ceil(percent * (a + b) / (100.0 + percent) - 1e-9)
 
     def promising(pairs: DataFrame) -> DataFrame:
-        """Of (a, b, p) rows, one for each shared prefix token: each b's best a, where they share a good part of the prefix."""
-        counted = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("p").alias("p")).where(F.col("c") * 6 >= F.col("p"))
+        """Of (a, b, n) rows, one for each shared prefix token: each b's best a, where they share a good part of the prefix."""
+        counted = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("n").alias("n")).where(F.col("c") * 6 >= prefix(F.col("n")))
         return counted.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")).select("a", "b")
 
     links = []
     labels = None
     for k in range(rounds):
         if k == 0:
-            pairs = bucket.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"), "p")
+            pairs = bucket.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"), "n")
         else:  # another neighbour each round, of another component
             at = bucket.where("g > 2").join(labels, F.col("doc") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "doc"))
             mixed = at.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
             at = at.join(mixed, "token", "left_semi")
             o = Window.partitionBy("token").orderBy(F.xxhash64("doc", F.lit(k)))
-            pairs = at.select(F.col("doc").alias("b"), "p", "n", "comp", F.lag("doc").over(o).alias("a"), F.lag("n").over(o).alias("na"), F.lag("comp").over(o).alias("ca")).where((F.col("comp") != F.col("ca")) & compatible(F.col("n"), F.col("na"))).select("a", "b", "p")
+            pairs = at.select(F.col("doc").alias("b"), "n", "comp", F.lag("doc").over(o).alias("a"), F.lag("n").over(o).alias("na"), F.lag("comp").over(o).alias("ca")).where((F.col("comp") != F.col("ca")) & compatible(F.col("n"), F.col("na"))).select("a", "b", "n")
         pairs = written(promising(pairs), "pairs")
         if pairs.isEmpty():
             break
@@ -210,12 +212,16 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     if labels is None:
         at = at.withColumn("comp", F.col("doc"))
     mixed = at.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    at = written(at.join(mixed, "token", "left_semi").select("token", "doc", "n", "p", "comp"), "mixed")
-    a, b = at.select("token", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"), F.col("comp").alias("ca")), at.select("token", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("comp").alias("cb"))
-    rest = a.join(b, "token").where((F.col("ca") < F.col("cb")) & compatible(F.col("na"), F.col("nb")))
-    shares = rest.groupBy("a", "b").agg(F.count("*").alias("c"), *[F.max(x).alias(x) for x in ("na", "nb", "pa", "pb")])
+    at = written(at.join(mixed, "token", "left_semi").select("token", "doc", "n", "pos", "comp"), "mixed")
+    # the first token that a document shares with another component; what comes before it is nobody's
+    at = at.join(at.groupBy("doc").agg(F.min("pos").alias("lead")), "doc")
+    side = lambda x: at.select("token", *[F.col(c).alias(k + x) for c, k in (("doc", ""), ("n", "n"), ("lead", "l"), ("comp", "c"))])
+    na, nb = F.col("na"), F.col("nb")
+    reach = need(na, nb)
+    fits = (F.col("ca") < F.col("cb")) & compatible(na, nb) & (F.col("la") <= na - reach) & (F.col("lb") <= nb - reach)
+    shares = side("a").join(side("b"), "token").where(fits).groupBy("a", "b").agg(F.count("*").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
     # shared tokens up to the smaller of the two prefixes' ends are all in both prefixes; what may follow is bounded by the rest of a set
-    enough = F.col("c") + F.greatest(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= need(F.col("na"), F.col("nb"))
+    enough = F.col("c") + F.greatest(na - prefix(na), nb - prefix(nb)) >= reach
     last = written(shares.where(enough).select("a", "b"), "pairs")
     if not last.isEmpty():
         links.append(similar(ids, docs, last, shared, n, percent))
