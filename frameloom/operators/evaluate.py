@@ -13,7 +13,7 @@ NOT_TRAINED = ("idle", "transition", "unknown")
 
 def training_samples(segs: DataFrame, min_confidence: float = 0.6) -> DataFrame:
     """Segments to learn from, with class_id: dense, in order of action. The vocabulary has one row per action."""
-    kept = segs.where((F.col("confidence_avg") >= min_confidence) & ~F.col("action").isin(*NOT_TRAINED))
+    kept = segs.where((F.round("confidence_avg", 4) >= min_confidence) & ~F.col("action").isin(*NOT_TRAINED))
     return kept.join(vocabulary(kept), "action")
 
 

@@ -94,7 +94,7 @@ def enrich(chunks: DataFrame) -> DataFrame:
         F.array_distinct(F.filter(in_order("phase"), lambda p: p != "")).alias("phases"),
         F.avg(F.when(F.col("hand") == "none", 1.0).otherwise(0.0)).alias("_hidden"),
     )
-    reason = F.when(F.col("confidence_avg") < LOW_CONFIDENCE, "low_confidence").when(~phases_valid(F.col("phases")), "phase_sequence_broken").when(F.col("_hidden") > 0.5, "hand_not_visible")
+    reason = F.when(F.round("confidence_avg", 4) < LOW_CONFIDENCE, "low_confidence").when(~phases_valid(F.col("phases")), "phase_sequence_broken").when(F.col("_hidden") > 0.5, "hand_not_visible")
     w = Window.partitionBy("video_id").orderBy("start_time", "segment", "chunk")
     return seg.withColumn("segment_id", F.row_number().over(w).cast("long")).withColumn("duration", F.col("end_time") - F.col("start_time")).withColumn("review_reason", reason).withColumn("needs_review", F.col("review_reason").isNotNull()).drop("_hidden")
 

@@ -293,7 +293,7 @@ _SEG_SQL = f"""{_SPLIT_SQL}, raw AS (SELECT video_id, segment, chunk, min(segmen
 dis AS (SELECT *, list_filter(objs, lambda o, j: list_position(objs, o) = j) AS objects, list_filter(phs, lambda o, j: list_position(phs, o) = j) AS phases FROM raw),
 val AS (SELECT *, list_filter(list_transform(phases, lambda p: coalesce(list_position([{_ORDER}], p), 0)), lambda q: q > 0) AS pos FROM dis),
 seg AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY start_time, segment, chunk) AS segment_id, end_time - start_time AS duration,
-  CASE WHEN confidence_avg < 0.4e0 THEN 'low_confidence' WHEN pos <> list_sort(pos) THEN 'phase_sequence_broken' WHEN hidden > 0.5e0 THEN 'hand_not_visible' END AS review_reason FROM val)"""
+  CASE WHEN round(confidence_avg, 4) < 0.4e0 THEN 'low_confidence' WHEN pos <> list_sort(pos) THEN 'phase_sequence_broken' WHEN hidden > 0.5e0 THEN 'hand_not_visible' END AS review_reason FROM val)"""
 
 
 def _segments(spark, d):
@@ -352,7 +352,7 @@ def review_queue(spark, d):
 
 # --- training and evaluation ------------------------------------------------
 
-_TRAIN_SQL = f"{_SEG_SQL}, kept AS (SELECT * FROM seg WHERE confidence_avg >= 0.4e0 AND action NOT IN ('idle', 'transition', 'unknown'))"
+_TRAIN_SQL = f"{_SEG_SQL}, kept AS (SELECT * FROM seg WHERE round(confidence_avg, 4) >= 0.4e0 AND action NOT IN ('idle', 'transition', 'unknown'))"
 
 
 @query(f"{_TRAIN_SQL} SELECT video_id, segment_id, action, dense_rank() OVER (ORDER BY action) - 1 AS class_id, round(confidence_avg, 6) AS confidence_avg FROM kept")
