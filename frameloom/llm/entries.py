@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, langid, packing, pii, quality, secrets, toxicity, warc
+from . import chat, decontaminate, jaccard, langid, oracles, packing, pii, quality, secrets, toxicity, warc
 from .common import written
 
 
@@ -94,4 +94,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
