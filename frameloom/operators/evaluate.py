@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from frameloom.functions.geometry import contact_score, iou, tips_inside
+from frameloom.functions.geometry import contact_score, dist, iou, tips_inside
 
 #: Actions that are no training classes.
 NOT_TRAINED = ("idle", "transition", "unknown")
@@ -74,3 +74,13 @@ def best_object_per_class(objects: DataFrame) -> DataFrame:
     """The surest object of each class in each video, the first of equals."""
     best = objects.groupBy("video_id", "class_name").agg(F.max_by(F.struct("seq", "ordinal", "confidence"), F.struct("confidence", -F.col("seq"), -F.col("ordinal"))).alias("b"))
     return best.select("video_id", "class_name", "b.*")
+
+
+def activity_lite(hands: DataFrame) -> DataFrame:
+    """hands (video_id, seq, handedness, pixels, missing), one row per frame, with activity: presence, and the motion of wrist and key points since the frame before if it shows the same hand. 0 without a hand."""
+    w = Window.partitionBy("video_id").orderBy("seq")
+    rows = hands.withColumn("_p", F.lag("pixels").over(w)).withColumn("_same", ~F.lag("missing").over(w) & (F.lag("handedness").over(w) == F.col("handedness")))
+    steps = F.zip_with("pixels", "_p", dist)
+    mean = F.aggregate(steps, F.lit(0.0), lambda a, x: a + x) / F.greatest(F.size("pixels"), F.lit(1))
+    motion = 0.35 * F.least(F.lit(1.0), F.get(steps, F.lit(0)) / 50) + 0.25 * F.least(F.lit(1.0), mean / 30)
+    return rows.withColumn("activity", F.when(F.col("missing"), 0.0).otherwise(F.least(F.lit(1.0), 0.4 * 0.5 + F.when(F.col("_same"), motion).otherwise(0.0)))).drop("_p", "_same")

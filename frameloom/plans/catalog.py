@@ -180,6 +180,24 @@ def ncc_similarity(spark, d):
     return h.withColumn("b", was).where("b is not null").select("video_id", "seq", F.round(g.ncc(F.col("e"), F.col("b")), 6).alias("similarity"))
 
 
+@query(f"""{H_SQL}, pv AS (SELECT *, lag(pixels) OVER w AS pp, NOT lag(missing) OVER w AND lag(handedness) OVER w = handedness AS same FROM hands_v WINDOW w AS (PARTITION BY video_id ORDER BY seq)),
+st AS (SELECT *, list_transform(list_zip(pixels, pp), lambda z: sqrt((z[1].x - z[2].x) ** 2 + (z[1].y - z[2].y) ** 2)) AS d FROM pv)
+SELECT video_id, seq, round(CASE WHEN missing THEN 0 ELSE least(1, 0.2e0 + CASE WHEN same THEN 0.35e0 * least(1, d[1] / 50) + 0.25e0 * least(1, list_sum(d) / 21 / 30) ELSE 0 END) END, 6) AS activity FROM st""")
+def activity_score_lite(spark, d):
+    return evaluate.activity_lite(v.hands(spark, d)).select("video_id", "seq", r6("activity"))
+
+
+@query(f"""{H_SQL}, pv AS (SELECT *, lag(pixels) OVER w AS pp, NOT lag(missing) OVER w AND lag(handedness) OVER w = handedness AS same FROM hands_v WINDOW w AS (PARTITION BY video_id ORDER BY seq)),
+st AS (SELECT *, list_transform(list_zip(pixels, pp), lambda z: sqrt((z[1].x - z[2].x) ** 2 + (z[1].y - z[2].y) ** 2)) AS d FROM pv),
+sc AS (SELECT video_id, round(CASE WHEN missing THEN 0 ELSE least(1, 0.2e0 + CASE WHEN same THEN 0.35e0 * least(1, d[1] / 50) + 0.25e0 * least(1, list_sum(d) / 21 / 30) ELSE 0 END) END, 6) AS a FROM st)
+SELECT video_id, count(*) AS total, count(*) FILTER (a >= 0.6e0) AS n_active, count(*) FILTER (a >= 0.2e0 AND a < 0.6e0) AS n_possible, count(*) FILTER (a < 0.2e0) AS n_idle, round(sum(a) / (count(*) + 1e-8), 3) AS mean_activity FROM sc GROUP BY 1""")
+def activity_route(spark, d):
+    a = evaluate.activity_lite(v.hands(spark, d)).select("video_id", r6("activity"))
+    kind = F.when(F.col("activity") >= 0.6, "active").when(F.col("activity") >= 0.2, "possible").otherwise("idle")
+    n = lambda k: F.count_if(kind == k).alias(f"n_{k}")
+    return a.groupBy("video_id").agg(F.count("*").alias("total"), n("active"), n("possible"), n("idle"), F.round(F.sum("activity") / (F.count("*") + 1e-8), 3).alias("mean_activity"))
+
+
 # --- tracks -----------------------------------------------------------------
 
 
