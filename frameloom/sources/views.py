@@ -48,7 +48,7 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     idle = F.col("brightness") < 30
     # the event type names the action, in order of the name
     kinds = Window.orderBy("event_type")
-    names = f.select("event_type").distinct().withColumn("n", F.dense_rank().over(kinds) - 1).withColumn("name", _pick(ACTIONS, F.col("n") % len(ACTIONS)))
+    names = table(spark, sf_dir, "events").select("event_type").distinct().withColumn("n", F.dense_rank().over(kinds) - 1).withColumn("name", _pick(ACTIONS, F.col("n") % len(ACTIONS)))
     f = f.join(F.broadcast(names), "event_type")
     return f.select(
         "video_id", "seq", F.col("ts").alias("start"), F.when(idle, F.col("ts")).otherwise(F.col("ts") + 0.5).alias("end"),
