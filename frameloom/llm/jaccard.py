@@ -19,7 +19,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,43 +27,68 @@ from .common import BROADCAST_ROWS, components, dropped, hot_salt, salted_join,
 FRAGMENTS = 8
 #: Counters of the sketch that orders n-grams: a fixed size, sent to every worker.
 SKETCH_BITS = 21
-_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
+#: Windows that are hashed at once, which bounds a worker's memory for very long texts.
+HASHED_AT_ONCE = 1 << 16
+_BASE = 0x9E3779B97F4A7C15
+_BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words of the text, in UTF-8: bytes.lower() changes A-Z only and bytes.split() cuts at \\x20 and \\x09-\\x0D only."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def normal(text: str | None) -> bytes:
+    """The text's words in UTF-8, one space between: bytes.lower() changes A-Z only and bytes.split() cuts at \\x20 and \\x09-\\x0D only."""
+    return b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
 
 
-class _Known(dict):
-    """Word -> hash, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 300_000:
-            self[word] = h
-        return h
+def distinct(g: np.ndarray) -> np.ndarray:
+    """Sorted, each once; a sort in vector code is faster here than a general unique."""
+    g.sort()
+    keep = np.ones(len(g), dtype=bool)
+    np.not_equal(g[1:], g[:-1], out=keep[1:])
+    return g[keep]
 
 
 class Hasher:
-    """Distinct hashes of a text's n-grams."""
-
-    def __init__(self, n: int = 5):
-        self.n, self.known = n, _Known()
+    """Distinct 64-bit hashes of a normal text's n-grams.
 
-    def words(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
+    A polynomial's prefix sums over the bytes give every n-gram's hash as a difference of two of them, divided by the
+    power at which it begins; so the cost is a few vector operations for each byte, whatever n is.
+    """
 
-    def set_of(self, words: list[bytes]) -> np.ndarray:
-        if not words:
+    def __init__(self, n: int = 5):
+        self.n = n
+        self.grow(1 << 12)
+
+    def grow(self, length: int) -> None:
+        """Powers of the base and of its inverse, up to length."""
+        steps = np.full((2, length), [[_BASE], [pow(_BASE, -1, 1 << 64)]], dtype=np.uint64)
+        steps[:, 0] = 1
+        self.powers, self.inverse = np.cumprod(steps, axis=1)
+
+    def windows(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(data) > len(self.powers):
+            self.grow(2 * len(data))
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[data] * self.powers[: len(data)], out=sums[1:])
+        g = (sums[ends] - sums[starts]) * self.inverse[starts]
+        for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xA0761D6478BD642F)):
+            g ^= g >> np.uint64(shift)
+            g *= np.uint64(factor)
+        return g ^ g >> np.uint64(32)
+
+    def set_of(self, text: bytes) -> np.ndarray:
+        if not text:
             return np.empty(0, dtype=np.uint64)
-        h, n = self.words(words), min(self.n, len(words))
-        rows = len(h) - n + 1
-        g = np.zeros(rows, dtype=np.uint64) + np.uint64(n)
-        for k in range(n):
-            g = (g ^ (h[k : k + rows] * _MIX[k % 8] + np.uint64(k))) * _MIX[(k + 3) % 8]
-            g ^= g >> np.uint64(29)
-        return np.unique(g)
+        data = np.frombuffer(text, dtype=np.uint8)
+        gaps = np.flatnonzero(data == 32)
+        n = min(self.n, len(gaps) + 1)
+        starts = np.concatenate(([0], gaps[: len(gaps) - n + 2] + 1))[: len(gaps) - n + 2]
+        ends = np.concatenate((gaps[n - 1 :], [len(data)]))
+        if len(starts) <= HASHED_AT_ONCE:
+            return distinct(self.windows(data, starts, ends))
+        parts = []
+        for k in range(0, len(starts), HASHED_AT_ONCE):
+            s, e = starts[k : k + HASHED_AT_ONCE], ends[k : k + HASHED_AT_ONCE]
+            parts.append(self.windows(data[s[0] : e[-1]], s - s[0], e - s[0]))
+        return distinct(np.concatenate(parts))
 
 
 def order_keys(g: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -82,13 +106,13 @@ def read_documents(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
         for b in batches:
             out = []
             for i, t in zip(b["doc_id"], b["text"], strict=True):
-                words = words_of(t)
+                words = normal(t)
                 g = hasher.set_of(words)
                 met.append(g & mask)
                 if (waiting := waiting + len(g)) > len(counts):
                     counts += np.bincount(np.concatenate(met).astype(np.int64), minlength=len(counts))
                     met, waiting = [], 0
-                out.append((i, hashlib.md5(b" ".join(words)).digest() if words else None, len(g), None, None))
+                out.append((i, hashlib.md5(words).digest() if words else None, len(g), None, None))
             yield pd.DataFrame(out, columns=names)
         if met:
             counts += np.bincount(np.concatenate(met).astype(np.int64), minlength=len(counts))
@@ -127,7 +151,7 @@ def similar(ids: DataFrame, docs: DataFrame, pairs: DataFrame, classes, n: int,
         for b in batches:
             out = []
             for i, t in zip(b["doc_id"], b["text"], strict=True):
-                keys = order_keys(hasher.set_of(words_of(t)), classes.value)
+                keys = order_keys(hasher.set_of(normal(t)), classes.value)
                 # class 0 holds nearly all n-grams and is cut into FRAGMENTS - 1, the commoner ones are the last fragment
                 f = np.where(keys >> np.uint64(60) > 0, FRAGMENTS - 1, (keys >> np.uint64(44) & np.uint64(0xFFFF)).astype(np.int64) * (FRAGMENTS - 1) >> 16)
                 out += [(i, k, len(keys), keys[f == k].astype(np.int64)) for k in range(FRAGMENTS) if (f == k).any()]
@@ -168,10 +192,10 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
         for b in batches:
             out = []
             for i, t in zip(b["doc_id"], b["text"], strict=True):
-                words = words_of(t)
+                words = normal(t)
                 if words:
                     keys = order_keys(hasher.set_of(words), shared.value)
-                    out.append((i, hashlib.md5(b" ".join(words)).digest(), len(keys), keys[: prefix_length(len(keys), percent)].astype(np.int64)))
+                    out.append((i, hashlib.md5(words).digest(), len(keys), keys[: prefix_length(len(keys), percent)].astype(np.int64)))
             yield pd.DataFrame(out, columns=["doc", "key", "n", "prefix"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
