@@ -153,3 +153,24 @@ def review_queue(segs: DataFrame, frames: DataFrame, minutes_each: int = 5) -> D
     shown = frames_in(todo.select("video_id", "segment_id", "start_time", "end_time"), frames.select("video_id", "ts", "frame_path")).groupBy("video_id", "segment_id").agg(F.count("*").alias("n_frames"), F.min("frame_path").alias("first_frame"), F.max("frame_path").alias("last_frame"))
     per = todo.groupBy("video_id").agg((F.count("*") * minutes_each).alias("review_minutes"))
     return todo.select("video_id", "segment_id", "action", "review_reason").join(shown, ["video_id", "segment_id"], "left").join(per, "video_id").fillna({"n_frames": 0})
+
+
+#: The least score of each band; what is below them all is to be discarded.
+SCORE_BANDS = (("excellent", 0.8), ("good", 0.6), ("fair", 0.4), ("poor", 0.2))
+
+
+def score_summary(scores: DataFrame, score: str) -> DataFrame:
+    """One row per video: mean, median, min, max, std (population) of its scores and how many are in each band. Null scores are left out."""
+    band, above = [], F.lit(False)
+    for name, least in SCORE_BANDS:
+        band.append(F.count_if(~above & (F.col(score) >= least)).alias(name))
+        above = above | (F.col(score) >= least)
+    stats = [f(score).alias(k) for k, f in (("mean", F.avg), ("median", F.median), ("min", F.min), ("max", F.max), ("std", F.stddev_pop))]
+    return scores.where(F.col(score).isNotNull()).groupBy("video_id").agg(*stats, *band, F.count_if(~above).alias("discard"), F.count("*").alias("n"))
+
+
+def steps(segs: DataFrame, frames: DataFrame) -> DataFrame:
+    """Frames of each segment as an episode's steps: step (from 0, by time), is_first and is_last. Frames of equal time keep the order of their seq."""
+    w = Window.partitionBy("video_id", "segment_id")
+    out = frames_in(segs, frames).withColumn("step", F.row_number().over(w.orderBy("ts", "seq")).cast("long") - 1)
+    return out.withColumn("is_first", F.col("step") == 0).withColumn("is_last", F.col("step") == F.count("*").over(w) - 1)

@@ -368,6 +368,23 @@ def review_queue(spark, d):
     return segments.review_queue(_segments(spark, d), v.frames(spark, d))
 
 
+_FQ_SQL = f"{_SEG_SQL}, fq AS (SELECT s.video_id, s.segment_id, round(0.7e0 * least(1, avg(f.lapvar) / 200) + 0.3e0 * greatest(0, 1 - stddev_pop(f.brightness) / 80), 6) AS q FROM seg s JOIN frames f ON f.video_id = s.video_id AND f.ts BETWEEN s.start_time AND s.end_time GROUP BY 1, 2)"
+
+
+@query(f"""{_FQ_SQL} SELECT video_id, round(avg(q), 6) AS mean, round(median(q), 6) AS median, min(q) AS min, max(q) AS max, round(stddev_pop(q), 6) AS std, count(*) FILTER (q >= 0.8e0) AS excellent, count(*) FILTER (q >= 0.6e0 AND q < 0.8e0) AS good,
+count(*) FILTER (q >= 0.4e0 AND q < 0.6e0) AS fair, count(*) FILTER (q >= 0.2e0 AND q < 0.4e0) AS poor, count(*) FILTER (q < 0.2e0) AS discard, count(*) AS n FROM fq WHERE q IS NOT NULL GROUP BY 1""")
+def quality_video(spark, d):
+    out = segments.score_summary(quality_frame(spark, d), "frame_quality")
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "median", "std")})
+
+
+@query(f"""{_SEG_SQL}, st AS (SELECT s.video_id, s.segment_id, f.seq, row_number() OVER (PARTITION BY s.video_id, s.segment_id ORDER BY f.ts, f.seq) - 1 AS step, count(*) OVER (PARTITION BY s.video_id, s.segment_id) AS n FROM seg s JOIN frames f ON f.video_id = s.video_id AND f.ts BETWEEN s.start_time AND s.end_time)
+SELECT video_id, segment_id, seq, step, step = 0 AS is_first, step = n - 1 AS is_last FROM st""")
+def episode_steps(spark, d):
+    s = _segments(spark, d).select("video_id", "segment_id", "start_time", "end_time")
+    return segments.steps(s, v.frames(spark, d).select("video_id", "seq", "ts")).select("video_id", "segment_id", "seq", "step", "is_first", "is_last")
+
+
 # --- training and evaluation ------------------------------------------------
 
 _TRAIN_SQL = f"{_SEG_SQL}, kept AS (SELECT * FROM seg WHERE round(confidence_avg, 4) >= 0.4e0 AND action NOT IN ('idle', 'transition', 'unknown'))"

@@ -120,3 +120,24 @@ def test_entry_points(spark, tiny):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).count() > 0
+
+
+def test_score_summary(spark):
+    rows = [("a", x) for x in (0.8, 0.6, 0.59, 0.2, 0.1, None)] + [("b", None)]
+    (r,) = segments.score_summary(spark.createDataFrame(rows, "video_id string, q double"), "q").collect()
+    assert (r["median"], r["min"], r["max"], r["n"]) == (0.59, 0.1, 0.8, 5)
+    assert [r[k] for k in ("excellent", "good", "fair", "poor", "discard")] == [1, 1, 1, 1, 1]
+
+
+def test_csv_sink(spark, tmp_path):
+    from frameloom.sources import sinks
+
+    segs = spark.createDataFrame(
+        [("v", 2, 1.0, 2.0, 1.0, "place", ["cup", 'a "b", c'], "none", "right", ["reach", "hold"], 0.5, False, None), ("v", 1, 0.0, 1.0, 1.0, "idle", [], None, "none", [], 0.25, True, "low_confidence")],
+        "video_id string, segment_id long, start_time double, end_time double, duration double, action string, objects array<string>, grasp_type string, hand_used string, phases array<string>, confidence_avg double, needs_review boolean, review_reason string",
+    )
+    sinks.write_csv(segs, f"{tmp_path}/out", spark.createDataFrame([("v", 2, 0.75)], "video_id string, segment_id long, quality_score double"))
+    got = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/out").orderBy("segment_id").collect()
+    assert tuple(got[0].asDict()) == (*sinks.CSV_COLUMNS, "video_id")
+    assert (got[1]["objects"], got[1]["manipulation_phases"], got[1]["quality_score"], got[1]["review_reason"]) == ('cup; a "b", c', "reach -> hold", "0.75", None)
+    assert (got[0]["objects"], got[0]["quality_score"], got[0]["needs_review"]) == (None, None, "true")
