@@ -269,3 +269,20 @@ def test_pipeline(spark, tiny, docs):
     got = corpus_pipeline.run(spark, tiny)
     assert {r["doc_id"] for r in got.collect()} == {i for i, _ in left} - bad
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_pipeline_stages_keep_rows_with_null_and_repeated_ids(spark, tiny):
+    import corpus_pipeline
+
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(40))
+    bad = spark.read.parquet(f"{tiny}/benchmark.parquet").where("length(text) > 100").orderBy("item_id").first()["text"]
+    near = text("a") + " more"
+    rows = [(None, text("n")), (None, text("m")), (None, text("a")), (7, text("b")), (7, text("c")), (7, text("c")), (8, text("a")), (9, near), (5, None), (5, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    pairs = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+    want = [(None, text("n")), (None, text("m")), (7, text("b")), (7, text("c")), (8, text("a")), (5, None), (5, ""), (None, None)]
+    assert pairs(corpus_pipeline.near_duplicate_stage(spark, docs, tiny)) == sorted(want, key=repr)
+    mixed = want + [(None, bad), (7, bad), (30, bad)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in mixed], DOCS)
+    assert pairs(corpus_pipeline.decontamination_stage(spark, docs, tiny)) == sorted(want, key=repr)
+    assert corpus_pipeline.decontamination_stage(spark, docs.limit(0), tiny).count() == 0
