@@ -22,8 +22,8 @@ ASSIGN = re.compile(r"(?ai:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")  # the same as all AKIA[A-Z0-9]+ of 16 characters or more, as are those of HEX
 HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "format")
-#: A candidate for its format: a whole run of these characters with a digit in it.
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,40}[0-9])[A-Za-z0-9+/_=-]{16,128}(?![A-Za-z0-9+/_=-])")
+#: A candidate for its format: a whole run of these characters, however long.
+RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+")
 CUE = re.compile(r"(?ai:passw|secret|token|api)")
 
 ALPHABET = {**{c: "d" for c in "0123456789"}, **{c: "h" for c in "abcdef"}, **{c: "l" for c in "ghijklmnopqrstuvwxyz"}, **{c: "H" for c in "ABCDEF"}, **{c: "L" for c in "GHIJKLMNOPQRSTUVWXYZ"}, **{c: "s" for c in "+/_=-."}}
@@ -131,8 +131,8 @@ def fit(docs: DataFrame, *, text: str = "text", max_labelled: int = 2000, margin
             out = set()
             for t in b["t"]:
                 if t and (CUE.search(t) or "AKIA" in t or HEX.search(t)):
-                    out |= {(v, True) for *_, v in base_spans(t) if 16 <= len(v) <= 128}
-                    out |= {(w, False) for w in t.split()[:200] if 16 <= len(w) <= 128 and w.isascii() and w.isalnum() and not HEX.fullmatch(w) and not w.startswith("AKIA")}
+                    out |= {(v, True) for *_, v in base_spans(t) if len(v) >= 16}
+                    out |= {(w, False) for w in t.split()[:200] if len(w) >= 16 and w.isascii() and w.isalnum() and not HEX.fullmatch(w) and not w.startswith("AKIA")}
             yield pd.DataFrame(list(out), columns=["value", "secret"])
 
     found = docs.select(F.col(text).alias("t")).where(F.col("t").isNotNull()).mapInPandas(values, "value string, secret boolean")
@@ -149,8 +149,8 @@ def fit(docs: DataFrame, *, text: str = "text", max_labelled: int = 2000, margin
 def scan(docs: DataFrame, model: dict | None, *, text: str = "text", out: str = "secrets") -> DataFrame:
     """docs with column `out`: array of (kind, start, end) by start, then kind as listed in KINDS; code points, end exclusive.
 
-    A kind "format" span is a whole run of 16 to 128 token characters with a digit that overlaps no other span and is
-    likelier under the credentials' automaton. Null and empty texts have no spans. A column `out` of docs is replaced.
+    A kind "format" span is a whole run of 16 or more token characters that overlaps no other span and is likelier
+    under the credentials' automaton. Null and empty texts have no spans. A column `out` of docs is replaced.
     """
     model = model and {k: Automaton(*v) if isinstance(v, tuple) else v for k, v in model.items()}
     rank = {k: i for i, k in enumerate(KINDS)}

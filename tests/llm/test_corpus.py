@@ -42,6 +42,21 @@ def test_secrets(spark, tiny, docs, odd):
     assert secrets.scan(odd.limit(0), None).count() == 0
 
 
+def test_secrets_of_any_length_and_with_late_or_no_digits_are_scored(spark):
+    import random
+    import string
+
+    rnd = random.Random(3)
+    made = lambda n, of=string.ascii_letters: "".join(rnd.choices(of, k=n))
+    word = lambda: made(20, "aeinrst")
+    both = 6 * string.ascii_letters + string.digits
+    rows = [f"secret={made(rnd.randrange(30, 200), both)} {word()} {word()}" for _ in range(300)]
+    hidden = [made(300, both), made(60) + made(60, both), made(48), made(130, both), made(5000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows + [f"of {h} and {word()}" for h in hidden])], "doc_id long, text string")
+    red = secrets.redact(secrets.scan(docs, secrets.fit(docs))).where(f"doc_id >= {len(rows)}").orderBy("doc_id").collect()
+    assert [r["text"][:-20] for r in red] == ["of [SECRET] and "] * len(hidden)
+
+
 def test_automaton_prefers_its_own_format():
     own = secrets.Automaton.infer([f"ab{i:04d}cd" for i in range(200)])
     other = secrets.Automaton.infer(["wordlike" + "x" * (i % 5) for i in range(200)])
