@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: The patterns of the contract.
 ASSIGN = re.compile(r"(?ai:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")  # the same as all AKIA[A-Z0-9]+ of 16 characters or more, as are those of HEX
@@ -40,6 +42,17 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
     return out
 
 
+def candidates(text: str, base: list[tuple[int, int, str, str]]) -> Iterator[re.Match]:
+    """The text's whole runs that overlap none of the base spans."""
+    ends = sorted((s, e) for s, e, *_ in base)
+    at, last = 0, 0
+    for m in RUN.finditer(text):
+        while at < len(ends) and ends[at][0] < m.end():
+            last, at = max(last, ends[at][1]), at + 1
+        if last <= m.start():
+            yield m
+
+
 class Automaton:
     """Probabilistic deterministic automaton over character classes, inferred from strings."""
 
@@ -47,20 +60,42 @@ class Automaton:
         self.step, self.logp = step, logp
 
     @classmethod
-    def infer(cls, strings: list[str], alpha: float = 0.05, longest: int = 64) -> Automaton:
-        """Prefix tree of the strings' classes, then its states merged in breadth-first order; longer strings than `longest` are learned up to there."""
-        child, count = [{}], [Counter()]
-        for s in strings:
-            at = 0
-            for c in [*map(ALPHABET.get, s[:longest])] + [END] * (len(s) <= longest):
-                count[at][c] += 1
+    def infer(cls, strings: list[str], alpha: float = 0.05) -> Automaton:
+        """Prefix tree of the strings' classes, then its states merged in breadth-first order.
+
+        What only one string reaches stays text until a step needs it, so long strings cost their characters, not states.
+        """
+        child, count, tail = [], [], []
+
+        def new(s: str, k: int) -> int:
+            child.append({})
+            count.append(Counter(s[k : k + 1]))
+            tail.append((s, k) if s else None)
+            return len(child) - 1
+
+        def unfold(p: int) -> None:
+            if tail[p]:
+                (s, k), tail[p] = tail[p], None
+                if s[k] != END:
+                    child[p][s[k]] = new(s, k + 1)
+
+        def add(p: int, s: str, k: int) -> None:
+            """Counts s from its k-th class on, below p."""
+            while True:
+                unfold(p)
+                c = s[k]
+                count[p][c] += 1
                 if c == END:
-                    break
-                if c not in child[at]:
-                    child[at][c] = len(child)
-                    child.append({})
-                    count.append(Counter())
-                at = child[at][c]
+                    return
+                k += 1
+                if c not in child[p]:
+                    child[p][c] = new(s, k)
+                    return
+                p = child[p][c]
+
+        new("", 0)
+        for s in strings:
+            add(0, "".join(map(ALPHABET.__getitem__, s)) + END, 0)
         bound = math.sqrt(0.5 * math.log(2 / alpha))
 
         def differs(a: int, b: int) -> bool:
@@ -68,11 +103,13 @@ class Automaton:
             while todo:
                 p, q = todo.pop()
                 n, m = sum(count[p].values()), sum(count[q].values())
-                if not n or not m:
+                if not n or not m or (min(n, m) == 1 and bound >= 1):  # no share of one string is beyond such a bound, nor is any below
                     continue
                 gap = bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
                 if any(abs(count[p][c] / n - count[q][c] / m) > gap for c in count[p].keys() | count[q].keys()):
                     return True
+                unfold(p)
+                unfold(q)
                 todo += [(child[p][c], child[q][c]) for c in child[p].keys() & child[q].keys()]
             return False
 
@@ -81,6 +118,10 @@ class Automaton:
             todo = [(a, b)]
             while todo:
                 p, q = todo.pop()
+                if tail[q]:
+                    add(p, *tail[q])
+                    continue
+                unfold(p)
                 count[p] += count[q]
                 for c, to in child[q].items():
                     if c in child[p]:
@@ -101,6 +142,7 @@ class Automaton:
                     blue = [(p, x) for p in red for x in sorted(child[p]) if child[p][x] not in red]
                     break
             else:
+                unfold(state)
                 red.append(state)
                 blue += [(state, x) for x in sorted(child[state])]
         number = {s: i for i, s in enumerate(red)}
@@ -121,22 +163,26 @@ class Automaton:
 
 
 def fit(docs: DataFrame, *, text: str = "text", max_labelled: int = 2000, margin: float = 0.15) -> dict | None:
-    """Automata of credentials and of ordinary runs, from at most max_labelled distinct values of each (the smallest by hash); None without credentials.
+    """Automata of credentials and of ordinary runs, from at most max_labelled distinct values of each (the smallest by hash over all documents); None without credentials.
 
-    The threshold is the lowest likelihood ratio of the labelled credentials' middle nine tenths, plus margin: it doesn't depend on the size of docs.
+    Ordinary runs are the candidates of all texts that overlap no fixed pattern's match. The threshold is the lowest
+    likelihood ratio of the labelled credentials' middle nine tenths, plus margin: it doesn't depend on the size of docs.
     """
 
     def values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = set()
             for t in b["t"]:
-                if t and (CUE.search(t) or "AKIA" in t or HEX.search(t)):
-                    out |= {(v, True) for *_, v in base_spans(t) if len(v) >= 16}
-                    out |= {(w, False) for w in t.split()[:200] if len(w) >= 16 and w.isascii() and w.isalnum() and not HEX.fullmatch(w) and not w.startswith("AKIA")}
+                if t:
+                    found = base_spans(t)
+                    out |= {(v, True) for *_, v in found if len(v) >= 16}
+                    out |= {(m[0], False) for m in candidates(t, found)}
             yield pd.DataFrame(list(out), columns=["value", "secret"])
 
     found = docs.select(F.col(text).alias("t")).where(F.col("t").isNotNull()).mapInPandas(values, "value string, secret boolean")
-    take = lambda c: [r[0] for r in found.where(c).groupBy("value").count().orderBy(F.xxhash64("value"), "value").limit(max_labelled).select("value").collect()]
+    # what is labelled anywhere is no ordinary run elsewhere
+    found = written(found.groupBy("value").agg(F.max("secret").alias("secret")), "values")
+    take = lambda c: [r[0] for r in found.where(c).orderBy(F.xxhash64("value"), "value").limit(max_labelled).select("value").collect()]
     secrets = take(F.col("secret"))
     if not secrets:
         return None
@@ -158,10 +204,11 @@ def scan(docs: DataFrame, model: dict | None, *, text: str = "text", out: str =
     def spans(t: str | None) -> list[dict]:
         if not t:
             return []
-        found = [x[:3] for x in base_spans(t)]
+        base = base_spans(t)
+        found = [x[:3] for x in base]
         if model:
-            for m in RUN.finditer(t):
-                if all(e <= m.start() or m.end() <= s for s, e, _ in found) and model["good"].score(m[0]) - model["other"].score(m[0]) >= model["threshold"]:
+            for m in candidates(t, base):
+                if model["good"].score(m[0]) - model["other"].score(m[0]) >= model["threshold"]:
                     found.append((m.start(), m.end(), "format"))
         found.sort(key=lambda x: (x[0], rank[x[2]]))
         return [{"kind": k, "start": s, "end": e} for s, e, k in found]

@@ -57,6 +57,27 @@ def test_secrets_of_any_length_and_with_late_or_no_digits_are_scored(spark):
     assert [r["text"][:-20] for r in red] == ["of [SECRET] and "] * len(hidden)
 
 
+def test_secrets_learn_ordinary_runs_from_whole_texts_of_all_documents(spark):
+    import random
+    import string
+
+    rnd = random.Random(4)
+    made = lambda of: "".join(rnd.choices(of, k=24))
+    key = lambda: made(string.ascii_letters + string.digits)
+    order = lambda: made(string.digits)
+    late = [f"secret={key()} {'of ' * 250}order {order()}" for _ in range(150)]
+    rows = late + [f"order {made(string.ascii_uppercase)} as always" for _ in range(150)] + [f"a {key()} b" for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r["doc_id"]: [x["kind"] for x in r["secrets"]] for r in secrets.scan(docs, secrets.fit(docs)).collect()}
+    assert {i: found[i] for i in range(300)} == {i: ["assign"] if i < 150 else [] for i in range(300)}
+    assert sum(found[i] == ["format"] for i in range(300, 320)) >= 10
+
+
+def test_automaton_learns_whole_strings():
+    own = secrets.Automaton.infer(["a" * 70 + "7" * 20] * 50)
+    assert own.score("a" * 70 + "7" * 20) > own.score("a" * 70 + "Z" * 20) + 1
+
+
 def test_automaton_prefers_its_own_format():
     own = secrets.Automaton.infer([f"ab{i:04d}cd" for i in range(200)])
     other = secrets.Automaton.infer(["wordlike" + "x" * (i % 5) for i in range(200)])
