@@ -62,7 +62,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str, size: int = 1024) -> DataFrame:
     import public_tokenizers
 
-    cut = packing.pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, size=size)
+    cut = packing.pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, vocabulary=public_tokenizers.path("byte_bpe_50k.json"), size=size)
     return packing.pack(cut, size).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

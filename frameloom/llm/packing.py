@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -60,16 +61,39 @@ def encoder(ranks: str, pattern: str):
     return ids
 
 
-def pieces(docs: DataFrame, ranks: str, pattern: str, *, doc_id: str = "doc_id", text: str = "text", size: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
+def with_added(encode, vocabulary: str):
+    """encode, but the added tokens of the vocabulary (a file of the tokenizers library) have their own ids where a text has them literally, as that library gives by default."""
+    with open(vocabulary, "rb") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("an added token that isn't matched literally")
+    own = {t["content"]: np.asarray([t["id"]], dtype="<u4").tobytes() for t in added}
+    if not own:
+        return encode
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(own, key=len, reverse=True))) + ")")
+
+    def ids(text: str) -> bytes:
+        parts = cut.split(text)
+        if len(parts) == 1:
+            return encode(text)
+        return b"".join(own[x] if k % 2 else encode(x) if x else b"" for k, x in enumerate(parts))
+
+    return ids
+
+
+def pieces(docs: DataFrame, ranks: str, pattern: str, *, vocabulary: str | None = None, doc_id: str = "doc_id", text: str = "text", size: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids and end_id, cut into pieces if longer than size; all but the first are then full.
 
-    Null and empty texts are end_id alone; every row is a document of its own.
+    Null and empty texts are end_id alone; every row is a document of its own. Without a vocabulary, added tokens in a
+    text are ordinary characters.
     """
     end = np.asarray([end_id], dtype="<u4").tobytes()
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(ranks, pattern)
+        if vocabulary:
+            encode = with_added(encode, vocabulary)
         for b in batches:
             out = []
             for i, t in zip(b["doc_id"], b["text"], strict=True):

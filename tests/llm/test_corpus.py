@@ -202,6 +202,25 @@ def test_words_are_encoded_as_whole_texts(text):
     assert np.frombuffer(own(text), dtype="<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_have_their_own_ids(spark, tmp_path):
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}  x", f" \n {end}\n", f"a  {end}  b don{end}'t", "<|endoftext|", f"<{end}>", f"é {end} " * 700, "plain  text", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {}
+    for r in entries.op6_packing(spark, str(tmp_path)).collect():
+        got.setdefault(r["doc_id"], []).append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+    for i, text in enumerate(texts):
+        ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [2], dtype="<u4")
+        cuts = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)]
+        assert sorted(got[i]) == [(k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+
+
 def test_packing_plan_places_every_rank_once():
     counts = {1024: 5, 600: 7, 424: 3, 300: 11, 100: 40, 7: 1000, 1: 3}
     used, seen = {}, {}
