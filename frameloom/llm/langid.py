@@ -12,9 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import BROADCAST_ROWS
+
 BITS = 14
 DIM = 1 << BITS
 UNKNOWN = "und"
@@ -113,30 +115,29 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
-def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "doc_id", max_rows: int = 4000, max_languages: int = 100, epochs: int = 3) -> dict:
-    """Model from docs' text and non-null lang. All rows count for document frequencies; weights see at most max_rows rows, shared out evenly over the max_languages commonest languages, chosen by the key's hash. Every fifth of them calibrates."""
+def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "doc_id", max_rows: int = 4000, least_rows: int = 40, epochs: int = 3) -> dict:
+    """Model from docs' text and non-null lang. All rows count for document frequencies; weights see about max_rows rows, shared out evenly over all languages, or least_rows of each where that is more, chosen by the key's hash. Every fifth of them calibrates, but for a language's only ones."""
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(lang).cast("string").alias("lang"))
     df, n = document_frequencies(rows, "t")
     idf = np.log((1 + n) / (1 + df)) + 1
-    langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    langs = rows.groupBy("lang").count().collect()  # one row for each language
     if not langs:
         return {"langs": [], "idf": idf}
-    share = max_rows / len(langs)
+    share = max(max_rows / len(langs), least_rows)
     unit = F.pmod(F.xxhash64(F.coalesce("k", F.lit(""))), F.lit(1 << 20)) / float(1 << 20)
-    chosen: Column = F.lit(False)
-    for r in langs:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (unit < min(1.0, share / r["count"])))
+    rates = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, share / r["count"])) for r in langs], "lang string, rate double")
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             made = [(lang, f[0].astype("<i4").tobytes(), f[1].astype("<f4").tobytes(), k) for t, lang, k in zip(b["t"], b["lang"], b["k"], strict=True) if (f := features(t, idf))]
             yield pd.DataFrame(made, columns=["lang", "at", "v", "k"])
 
-    sample = rows.where(chosen).mapInPandas(vectors, "lang string, at binary, v binary, k string").limit(2 * max_rows).collect()
+    sample = rows.join(F.broadcast(rates) if len(langs) <= BROADCAST_ROWS else rates, "lang").where(unit < F.col("rate")).mapInPandas(vectors, "lang string, at binary, v binary, k string").limit(int(2 * share * len(langs))).collect()
     sample.sort(key=lambda r: (str(r["k"])[::-1], bytes(r["at"]), r["lang"]))
     names = sorted({r["lang"] for r in sample})
     data = [(np.frombuffer(r["at"], "<i4").astype(np.int64), np.frombuffer(r["v"], "<f4").astype(float), names.index(r["lang"])) for r in sample]
-    held, used = data[::5], [x for i, x in enumerate(data) if i % 5]
+    taught = {y for i, (*_, y) in enumerate(data) if i % 5}
+    held, used = [x for x in data[::5] if x[2] in taught], [x for i, x in enumerate(data) if i % 5 or x[2] not in taught]
     model, order = Ftrl(len(names)), np.random.default_rng(7)
     for _ in range(epochs):
         for i in order.permutation(len(used)):

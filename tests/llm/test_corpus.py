@@ -288,6 +288,14 @@ def test_language(spark, odd):
     assert {r["lang_pred"] for r in langid.predict(odd, langid.fit(odd.limit(0))).collect()} == {"und"}
 
 
+def test_language_learns_more_than_a_hundred_languages(spark):
+    rows = [(k * 130 + i, f"{w}a {w}o {w}i {w}u {w}e", f"l{i:03d}") for i in range(130) for w in [f"{chr(97 + i % 26)}{chr(97 + i // 26)}{'qxzwy'[i // 26]}{chr(97 + i * 7 % 26)}"] for k in range(8 if i < 100 else 6)]
+    docs = spark.createDataFrame(rows + [(10_000, "ěšč řžý áíé", "once")], "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model["langs"] == [*(f"l{i:03d}" for i in range(130)), "once"]
+    assert {r["lang"] for r in langid.predict(docs, model).where("lang = lang_pred").collect()} >= {f"l{i:03d}" for i in range(100, 130)}
+
+
 def test_jaccard(spark, tiny, docs):
     assert _rows(entries.op10_jaccard(spark, tiny), "doc_id", "n_shingles", "component_id") == sorted(brute.components(docs))
 
