@@ -63,6 +63,17 @@ def frame_names(spark, d):
     return frames.name_frames(files, 2.0, 0.015).select("video_id", F.regexp_extract("file", r"(\d+)", 1).cast("long").alias("n"), "ts_ms", "frame_name")
 
 
+@query(f"{F_SQL} SELECT video_id, seq, seq / 30e0 AS ts FROM frames WHERE seq % 4 = 0")
+def frame_stride_whole(spark, d):
+    return frames.sample_stride(v.frames(spark, d), 30.0, 7.5).select("video_id", "seq", "ts")
+
+
+@query(f"{F_SQL} SELECT video_id, CAST(seq + 1 AS BIGINT) AS n, CAST(seq * 500 + 15 AS BIGINT) AS ts_ms, 'frame_' || lpad(CAST(seq * 500 + 15 AS VARCHAR), 10, '0') || '.jpg' AS frame_name FROM frames")
+def frame_names_whole(spark, d):
+    files = v.frames(spark, d).withColumn("file", F.format_string("frame_%06d.jpg", F.col("seq") + 1))
+    return frames.name_frames(files, 2.0, 0.015).select("video_id", F.regexp_extract("file", r"(\d+)", 1).cast("long").alias("n"), "ts_ms", "frame_name")
+
+
 @query(f"""{F_SQL} SELECT video_id, seq, CASE WHEN brightness < 30 THEN 'too_dark' WHEN brightness > 240 THEN 'overexposed' ELSE '' END AS dark_reason,
 CASE WHEN brightness IS NULL OR brightness < 30 OR brightness > 240 THEN 'dark' WHEN lapvar < 50 THEN 'blur' ELSE 'good' END AS verdict FROM frames""")
 def dark_blur_verdict(spark, d):

@@ -141,3 +141,12 @@ def test_csv_sink(spark, tmp_path):
     assert tuple(got[0].asDict()) == (*sinks.CSV_COLUMNS, "video_id")
     assert (got[1]["objects"], got[1]["manipulation_phases"], got[1]["quality_score"], got[1]["review_reason"]) == ('cup; a "b", c', "reach -> hold", "0.75", None)
     assert (got[0]["objects"], got[0]["quality_score"], got[0]["needs_review"]) == (None, None, "true")
+
+
+def test_whole_videos_are_strided_and_named(spark):
+    from frameloom.sources import views
+
+    d = "/root/testdata/sf0.01"
+    count = views.frames(spark, d).count()
+    assert catalog.queries()["frame_names_whole"](spark, d).count() == count
+    assert catalog.queries()["frame_stride_whole"](spark, d).count() == views.frames(spark, d).where("seq % 4 = 0").count()
