@@ -53,11 +53,15 @@ def one_row(**cols: Column):
     return F.inline(F.array(F.struct(*[c.alias(k) for k, c in cols.items()])))
 
 
+def hot_keys(counts: DataFrame, key: str, n: str) -> DataFrame:
+    """Of counts (key, n): the keys that hold at least 1/HOT_SHARE of all rows, so at most HOT_SHARE of them, whatever their number."""
+    total = counts.agg(F.sum(n).alias("_total"))
+    return counts.select(F.col(key).alias("_hot"), F.col(n).alias("_n")).where("_n > 1000").join(F.broadcast(total)).where(F.col("_n") * HOT_SHARE >= F.col("_total")).select("_hot")
+
+
 def hot_salt(df: DataFrame, key: str) -> DataFrame:
-    """The keys of df that hold at least 1/HOT_SHARE of its rows: at most HOT_SHARE rows, whatever df's size."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count("*").alias("_total"))
-    return counts.join(F.broadcast(total)).where((F.col("_n") * HOT_SHARE >= F.col("_total")) & (F.col("_n") > 1000)).select(F.col(key).alias("_hot"))
+    """The keys of df that hold at least 1/HOT_SHARE of its rows with one: at most HOT_SHARE rows, whatever df's size."""
+    return hot_keys(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")), key, "n")
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, by: Column, how: str = "inner") -> DataFrame:
@@ -68,8 +72,8 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, by:
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component) for every node of edges (a, b): component is the smallest node reachable.
+def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
+    """(node, component) for every node of edges (a, b): component is the smallest node reachable. Raises if `rounds` are not enough.
 
     Alternating large-star and small-star steps: each is one shuffle whose per-node state is a running minimum,
     so a hub with a third of all edges is combined before the shuffle. Every step is a written table.
@@ -91,6 +95,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if state == seen:
             break
         seen = state
+    else:
+        raise RuntimeError(f"components did not converge in {rounds} rounds")
     stars = cur.groupBy("a").agg(F.min("b").alias("m"))
     return nodes.join(stars, nodes.node == stars.a, "left").select("node", F.coalesce("m", "node").alias("component"))
 

@@ -1,14 +1,19 @@
 """N-gram Jaccard join by vertical partitioning.
 
 The global order of n-grams (rarest first, as far as a sketch of all n-grams can tell, then by hash) is cut into
-fragments. A document's set is thereby cut into parts that are counted separately: for a pair, the overlaps of the
-parts add up to the exact size of the intersection.
-
-Candidate pairs share a token among each one's rarest, the prefix that a similarity of t makes necessary. Within a
-prefix token's documents, pairs are not all made: documents are compared with one of their number first, and what
-linked is one component. Only tokens whose documents are in several components go on, and in the last round every pair
-of documents of different components that the necessary number of shared prefix tokens allows is compared. So no link
-between components is lost, whatever the sketch says, and a large group of near copies costs a comparison each.
+fragments; the overlaps of a pair's fragments are counted separately and added up to the exact size of the intersection.
+
+Candidates share a token of their prefixes, the rarest n-grams that a similarity makes necessary. Tokens that few
+documents share make their pairs at once, and these prefixes' overlaps, the first fragment, already rule out pairs
+whose other fragments could not make up for what is missing. The documents of a hot token become a group, whose order is cut once more:
+a core (the n-grams that most of a sample of the group have, any set would do) and the rest. For a document x with r
+n-grams of the core C missing and a others, the core fragment's part of a pair's overlap is |C| - r(x) - r(y) plus the
+missing ones they share, so with w = 100 r + p a two documents are linked just when
+    (100 - p) |C| + (100 + p) o >= w(x) + w(y),
+o being the overlap of their differences from the core. Hence no link between two documents whose differences share
+nothing needs a comparison: those that the smallest w allows are linked to its document, and so to one another. All
+other links need shared differences, whose prefixes are the next level's tokens. The core's n-grams, which make a group
+of near copies quadratic, are never joined, and no link is lost whatever the core or the sketch is.
 """
 
 from __future__ import annotations
@@ -19,23 +24,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, components, dropped, hot_salt, salted_join, written
+from .common import BROADCAST_ROWS, components, dropped, hot_keys, hot_salt, salted_join, union, written
 
 FRAGMENTS = 8
-#: Counters of the sketch that orders n-grams: a fixed size, sent to every worker.
-SKETCH_BITS = 21
-#: Windows that are hashed at once, which bounds a worker's memory for very long texts.
-HASHED_AT_ONCE = 1 << 16
+#: Counters of the sketch that orders n-grams: a fixed size, sent to every worker; and the parts in which it is summed.
+SKETCH_BITS, SKETCH_PARTS = 23, 64
+#: Windows, and bytes, that are hashed at once, and rows that are handed on at once: they bound a worker's memory.
+HASHED_AT_ONCE, BYTES_AT_ONCE, ROWS_AT_ONCE = 1 << 16, 1 << 20, 1000
+#: Longer words stand as their digests.
+LONG_WORD = 256
+#: A token makes its pairs at once if at most FAN documents have it; a group's, if one of two sides has at most FAN and both FAN_ROWS.
+FAN, FAN_ROWS = 32, 1024
+#: A group's core is what most of at most this many of its documents have.
+CORE_SAMPLE = 32
 _BASE = 0x9E3779B97F4A7C15
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def normal(text: str | None) -> bytes:
     """The text's words in UTF-8, one space between: bytes.lower() changes A-Z only and bytes.split() cuts at \\x20 and \\x09-\\x0D only."""
-    return b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return b" ".join([w if len(w) <= LONG_WORD else b"\0" + hashlib.sha256(w).hexdigest().encode() for w in words])
 
 
 def distinct(g: np.ndarray) -> np.ndarray:
@@ -50,7 +62,8 @@ class Hasher:
     """Distinct 64-bit hashes of a normal text's n-grams.
 
     A polynomial's prefix sums over the bytes give every n-gram's hash as a difference of two of them, divided by the
-    power at which it begins; so the cost is a few vector operations for each byte, whatever n is.
+    power at which it begins; so the cost is a few vector operations for each byte, whatever n is. Modulo 2^64, words
+    of equal hash can be built on purpose; ordinary texts don't hold them.
     """
 
     def __init__(self, n: int = 5):
@@ -82,13 +95,12 @@ class Hasher:
         n = min(self.n, len(gaps) + 1)
         starts = np.concatenate(([0], gaps[: len(gaps) - n + 2] + 1))[: len(gaps) - n + 2]
         ends = np.concatenate((gaps[n - 1 :], [len(data)]))
-        if len(starts) <= HASHED_AT_ONCE:
-            return distinct(self.windows(data, starts, ends))
-        parts = []
-        for k in range(0, len(starts), HASHED_AT_ONCE):
-            s, e = starts[k : k + HASHED_AT_ONCE], ends[k : k + HASHED_AT_ONCE]
-            parts.append(self.windows(data[s[0] : e[-1]], s - s[0], e - s[0]))
-        return distinct(np.concatenate(parts))
+        parts, k = [], 0
+        while k < len(starts):
+            m = max(k + 1, min(k + HASHED_AT_ONCE, int(np.searchsorted(ends, starts[k] + BYTES_AT_ONCE, "right"))))
+            parts.append(self.windows(data[starts[k] : ends[m - 1]], starts[k:m] - starts[k], ends[k:m] - starts[k]))
+            k = m
+        return distinct(parts[0] if len(parts) == 1 else np.concatenate(parts))
 
 
 def order_keys(g: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -96,90 +108,152 @@ def order_keys(g: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return np.sort(classes[g & np.uint64(len(classes) - 1)].astype(np.uint64) << np.uint64(60) | g >> np.uint64(4))
 
 
+def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """(doc_id, text, whether what was made should be handed on now) of each row."""
+    for b in batches:
+        for k, (i, t) in enumerate(zip(b["doc_id"], b["text"], strict=True), 1):
+            yield i, t, k % ROWS_AT_ONCE == 0 or k == len(b)
+
+
 def read_documents(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, key, n_shingles) of each row, key standing for its words; and the frequency class of each of the sketch's counters. One pass."""
-    blocks = 8
+    size, wide = 1 << SKETCH_BITS, (1 << SKETCH_BITS) // SKETCH_PARTS
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, hasher = np.zeros(1 << SKETCH_BITS, dtype=np.int64), Hasher(n)
-        mask, met, waiting = np.uint64(len(counts) - 1), [], 0
+        counts, hasher = np.zeros(size, dtype=np.uint32), Hasher(n)
+        mask, out = np.uint64(size - 1), []
+        for i, t, last in rows_of(batches):
+            words = normal(t)
+            g = hasher.set_of(words)
+            np.add.at(counts, (g & mask).astype(np.int64), np.uint32(1))
+            out.append((i, hashlib.md5(words).digest() if words else None, len(g), None, None))
+            if last:
+                yield pd.DataFrame(out, columns=names)
+                out = []
+        for k, part in enumerate(np.split(counts, SKETCH_PARTS)):
+            if part.any():
+                yield pd.DataFrame([(None, None, None, k, zlib.compress(np.minimum(part, 65535).astype("<u2").tobytes(), 1))], columns=names)
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[int, np.ndarray] = {}
         for b in batches:
-            out = []
-            for i, t in zip(b["doc_id"], b["text"], strict=True):
-                words = normal(t)
-                g = hasher.set_of(words)
-                met.append(g & mask)
-                if (waiting := waiting + len(g)) > len(counts):
-                    counts += np.bincount(np.concatenate(met).astype(np.int64), minlength=len(counts))
-                    met, waiting = [], 0
-                out.append((i, hashlib.md5(words).digest() if words else None, len(g), None, None))
-            yield pd.DataFrame(out, columns=names)
-        if met:
-            counts += np.bincount(np.concatenate(met).astype(np.int64), minlength=len(counts))
-        for k, part in enumerate(np.split(counts, blocks)):
-            yield pd.DataFrame([(None, None, None, k, zlib.compress(np.minimum(part, 65535).astype("<u2").tobytes(), 1))], columns=names)
-
-    def add(b: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros((1 << SKETCH_BITS) // blocks, dtype=np.int64)
-        for v in b["counts"]:
-            total += np.frombuffer(zlib.decompress(v), dtype="<u2")
-        return pd.DataFrame([(b["block"].iloc[0], zlib.compress(np.minimum(2 * np.log2(1 + total), 255).astype(np.uint8).tobytes(), 1))], columns=["block", "counts"])
+            for k, v in zip(b["block"], b["counts"], strict=True):
+                totals.setdefault(k, np.zeros(wide, dtype=np.int64))
+                totals[k] += np.frombuffer(zlib.decompress(v), dtype="<u2")
+        for k, total in totals.items():
+            yield pd.DataFrame([(k, zlib.compress(np.minimum(2 * np.log2(1 + total), 255).astype(np.uint8).tobytes(), 1))], columns=["block", "counts"])
 
     names = ["doc_id", "key", "n_shingles", "block", "counts"]
     kind = docs.schema["doc_id"].dataType.simpleString()
     made = written(docs.select("doc_id", "text").mapInPandas(read, f"doc_id {kind}, key binary, n_shingles long, block int, counts binary"), "read")
-    sums = made.where("block is not null").groupBy("block").applyInPandas(add, "block int, counts binary").collect()  # `blocks` rows of fixed length
-    raw = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
+    sums = made.where("block is not null").select("block", "counts").repartition("block").mapInPandas(add, "block int, counts binary").collect()  # SKETCH_PARTS rows of fixed length
+    raw = np.zeros(size, dtype=np.uint8)
     for r in sums:
-        raw[r["block"] * len(raw) // blocks : (r["block"] + 1) * len(raw) // blocks] = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.uint8)
+        raw[r["block"] * wide : (r["block"] + 1) * wide] = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.uint8)
     # sixteen classes: all counts up to the ordinary one are alike, then steps of half a doubling
     usual = int(np.median(raw))
-    return made.where("block is null").select("doc_id", "key", "n_shingles"), np.clip(raw.astype(int) - usual - 1, 0, 15).astype(np.uint8)
+    return made.where("block is null").select("doc_id", "key", "n_shingles"), np.clip(raw.astype(np.int16) - usual - 1, 0, 15).astype(np.uint8)
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+def ceil_div(a, b: int):
+    """a / b rounded up, of columns as of numbers."""
+    return F.floor((a + (b - 1)) / F.lit(b)) if isinstance(a, Column) else -(-a // b)
 
 
-def similar(ids: DataFrame, docs: DataFrame, pairs: DataFrame, classes, n: int, percent: int) -> DataFrame:
-    """Of pairs (a, b), those whose overlaps, counted fragment by fragment and added, reach percent of their union. Texts are only read of documents in pairs."""
-    wanted = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
-    small = wanted.count() <= BROADCAST_ROWS
+def cut_sets(docs: DataFrame, shared, wanted: DataFrame, n: int) -> DataFrame:
+    """(doc, v, n, parts) of the wanted documents: their n-grams in order, cut into FRAGMENTS parts; v tells texts of one doc_id apart. Class 0 holds nearly all n-grams and makes all parts but the last."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = Hasher(n)
-        for b in batches:
-            out = []
-            for i, t in zip(b["doc_id"], b["text"], strict=True):
-                keys = order_keys(hasher.set_of(normal(t)), classes.value)
-                # class 0 holds nearly all n-grams and is cut into FRAGMENTS - 1, the commoner ones are the last fragment
+        hasher, out = Hasher(n), []
+        for i, t, last in rows_of(batches):
+            if words := normal(t):
+                keys = order_keys(hasher.set_of(words), shared.value)
                 f = np.where(keys >> np.uint64(60) > 0, FRAGMENTS - 1, (keys >> np.uint64(44) & np.uint64(0xFFFF)).astype(np.int64) * (FRAGMENTS - 1) >> 16)
-                out += [(i, k, len(keys), keys[f == k].astype(np.int64)) for k in range(FRAGMENTS) if (f == k).any()]
-            yield pd.DataFrame(out, columns=["doc_id", "fragment", "size", "grams"])
+                out.append((i, zlib.crc32(words), len(keys), np.split(keys.astype(np.int64), np.searchsorted(f, np.arange(1, FRAGMENTS)))))
+            if last:
+                yield pd.DataFrame(out, columns=["doc", "v", "n", "parts"])
+                out = []
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = written(docs.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi").mapInPandas(cut, f"doc_id {kind}, fragment int, size int, grams array<long>"), "fragments")
-    left = parts.select(F.col("doc_id").alias("a"), "fragment", F.col("size").alias("na"), F.col("grams").alias("ga"))
-    right = parts.select(F.col("doc_id").alias("b"), "fragment", F.col("size").alias("nb"), F.col("grams").alias("gb"))
-    # a fragment that only one of the two has adds nothing
-    both = pairs.join(left, "a").join(right, ["b", "fragment"])
-    overlap = F.size(F.array_intersect("ga", "gb"))
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    own = docs.join(few, docs["doc_id"] == few["doc"], "left_semi")
+    return written(own.mapInPandas(cut, f"doc {kind}, v long, n long, parts array<array<long>>"), "sets")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b), those whose overlaps, counted fragment by fragment and added, reach percent of their union."""
+    parts = sets.select("doc", "v", "n", F.posexplode("parts").alias("fragment", "grams"))
+    side = lambda x: parts.select(F.col("doc").alias(x), F.col("v").alias(f"v{x}"), F.col("n").alias(f"n{x}"), "fragment", F.col("grams").alias(f"g{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), ["b", "fragment"])
+    key = ["a", "b", "va", "vb"]
     # repeated rows of a document give the same overlap again
-    once = both.select("a", "b", "fragment", "na", "nb", overlap.alias("o")).groupBy("a", "b", "fragment").agg(*[F.max(x).alias(x) for x in ("o", "na", "nb")])
-    sums = once.groupBy("a", "b").agg(F.sum("o").alias("o"), F.max("na").alias("na"), F.max("nb").alias("nb"))
-    links = written(sums.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b"), "links")
-    dropped(parts, wanted)
-    return links
+    once = both.select(*key, "fragment", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("o")).groupBy(*key, "fragment").agg(*[F.max(x).alias(x) for x in ("o", "na", "nb")])
+    sums = once.groupBy(*key).agg(F.sum("o").alias("o"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+    return written(sums.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b"), "links")
 
 
-def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75, rounds: int = 3) -> DataFrame:
+def shared_by(rows: DataFrame, name: str, counts: dict[str, Column], possible: str) -> DataFrame:
+    """rows (token, doc, ...) of tokens that can make a pair, with the token's counts, g of its rows among them. Counted with a combine before the shuffle; hot tokens are then spread by document."""
+    found = written(rows.groupBy("token").agg(F.count("*").alias("g"), *[c.alias(k) for k, c in counts.items()]).where(possible), "counts")
+    out = written(salted_join(rows, found, "token", hot_keys(found, "token", "g"), F.col("doc")), name)
+    dropped(found)
+    return out
+
+
+def first_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of documents whose prefixes, made of tokens of few documents, share enough that the rest can reach percent. Pairs that also share a hot token may be missing; its group has them."""
+    side = lambda x: rows.select("token", F.col("doc").alias(x), F.col("d").alias(f"n{x}"))
+    na, nb = F.col("na"), F.col("nb")
+    alike = (F.col("a") < F.col("b")) & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+    shares = side("a").join(side("b"), "token").where(alike).groupBy("a", "b").agg(F.count("*").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+    # up to the smaller of the two prefixes' ends all shared n-grams are in both; what may follow is bounded by the rest of a set
+    rest = F.greatest(ceil_div(percent * na, 100), ceil_div(percent * nb, 100)) - 1
+    return shares.where(F.col("c") + rest >= ceil_div(percent * (na + nb), 100 + percent)).select("a", "b")
+
+
+def pairs_of(rows: DataFrame, unit: int) -> DataFrame:
+    """(a, b) of documents that share a token of their prefixes and may link: x with the larger w, or document where equal, by its long prefix, y by its short one."""
+    side = lambda x, which: rows.where(which).select("token", "cc", *[F.col(c).alias(c + x) for c in ("doc", "w", "room")])
+    x, y = side("x", "long"), side("y", "short").drop("cc")
+    larger = (F.col("wx") > F.col("wy")) | ((F.col("wx") == F.col("wy")) & (F.col("docx") > F.col("docy")))
+    need = ceil_div(F.col("wx") + F.col("wy") - F.col("cc"), unit)
+    fits = larger & (F.col("docx") != F.col("docy")) & (need <= F.least("roomx", "roomy"))
+    return x.join(y, "token").where(fits).select(F.greatest("docx", "docy").alias("a"), F.least("docx", "docy").alias("b")).distinct()
+
+
+def groups(hot: DataFrame) -> DataFrame:
+    """(gid, doc): the documents of each hot token, as members of the group that is named by the token's first document in a hashed order. That order is the same for all tokens, so tokens of the same near copies name few groups."""
+    first = hot.groupBy("token").agg(F.min_by("doc", F.struct(F.xxhash64("doc"), "doc")).alias("gid"))
+    counts = hot.groupBy("token").agg(F.count("*").alias("g"))
+    return written(salted_join(hot.select("token", "doc"), first, "token", hot_keys(counts, "token", "g"), F.col("doc")).select("gid", "doc").distinct(), "members")
+
+
+def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(gid, doc, cc, w, d, tokens) of each member: tokens are the d n-grams in which it differs from its group's core, rarest first and the core's own last."""
+    whole = sets.select("doc", F.flatten("parts").alias("grams"))
+    sample = members.groupBy("gid", F.pmod(F.xxhash64("doc", "gid"), F.lit(CORE_SAMPLE)).alias("k")).agg(F.min_by("doc", F.struct(F.xxhash64("doc"), "doc")).alias("doc"))
+    seen = sample.join(whole, "doc").select("gid", "doc", F.explode("grams").alias("gram")).distinct().groupBy("gid", "gram").agg(F.count("*").alias("c"))
+    size = sample.groupBy("gid").agg(F.count("*").alias("m"))
+    core = seen.join(size, "gid").where("2 * c > m").groupBy("gid").agg(F.array_sort(F.collect_list(F.struct("c", "gram")))["gram"].alias("core"))
+    core = written(core, "core")
+    at = salted_join(members.join(whole, "doc"), core, "gid", hot_salt(members, "gid"), F.col("doc"), "left")
+    at = at.select("gid", "doc", "grams", F.coalesce("core", F.expr("cast(array() as array<bigint>)")).alias("core"))
+    at = at.select("gid", "doc", F.size("core").alias("c"), F.array_except("grams", "core").alias("more"), F.array_except("core", "grams").alias("less"))
+    out = at.select("gid", "doc", (F.col("c") * (100 - percent)).cast("long").alias("cc"), (100 * F.size("less") + percent * F.size("more")).cast("long").alias("w"), (F.size("less") + F.size("more")).cast("long").alias("d"), F.concat("more", "less").alias("tokens"))
+    out = written(out, "differences")
+    dropped(core)
+    return out
+
+
+def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75, levels: int = 6) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included).
 
     A document's set is its distinct n-word shingles (all its words as one, if fewer). Null and empty texts have no
     set and link with nothing. Repeated rows are linked copies; rows that share a doc_id but not their text count
     as one node of the graph and are told apart only in n_shingles. Rows without doc_id are their own component (null).
+    Other columns of docs are ignored. After `levels` levels, hot tokens make their pairs like any other.
     """
-    spark = docs.sparkSession
+    spark, unit = docs.sparkSession, 100 + percent
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     ids, classes = read_documents(docs, n)
     shared = spark.sparkContext.broadcast(classes)
@@ -188,74 +262,46 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     first = written(named.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c")), "copies")
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = Hasher(n)
-        for b in batches:
-            out = []
-            for i, t in zip(b["doc_id"], b["text"], strict=True):
-                words = normal(t)
-                if words:
-                    keys = order_keys(hasher.set_of(words), shared.value)
-                    out.append((i, hashlib.md5(words).digest(), len(keys), keys[: prefix_length(len(keys), percent)].astype(np.int64)))
-            yield pd.DataFrame(out, columns=["doc", "key", "n", "prefix"])
+        hasher, out = Hasher(n), []
+        for i, t, last in rows_of(batches):
+            if words := normal(t):
+                keys = order_keys(hasher.set_of(words), shared.value)
+                # of a link's two sets, the larger has this many of its n-grams in the other
+                out.append((i, hashlib.md5(words).digest(), len(keys), keys[: len(keys) - ceil_div(percent * len(keys), 100) + 1].astype(np.int64)))
+            if last:
+                yield pd.DataFrame(out, columns=["doc", "key", "d", "prefix"])
+                out = []
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    made = docs.where("doc_id is not null").mapInPandas(prefixes, f"doc {kind}, key binary, n int, prefix array<long>")
+    made = docs.where("doc_id is not null").mapInPandas(prefixes, f"doc {kind}, key binary, d long, prefix array<long>")
     # one set of each key: equal keys have equal sets, so any will do, and equal ones are dropped before the shuffle
-    sets = made.groupBy("key").agg(F.min("doc").alias("doc"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
-    tokens = sets.select("doc", "n", F.posexplode("prefix").alias("pos", "token"))
-    w = Window.partitionBy("token")
-    bucket = tokens.select("*", F.count("*").over(w).alias("g"), F.min("doc").over(w).alias("pivot")).where("g > 1")
-    bucket = written(bucket, "buckets")
-    compatible = lambda a, b: (100 * F.least(a, b) >= percent * F.greatest(a, b))
-    prefix = lambda n: n - F.ceil(percent * n / 100.0 - 1e-9) + 1
-    need = lambda a, b: F.ceil(percent * (a + b) / (100.0 + percent) - 1e-9)
-
-    def promising(pairs: DataFrame) -> DataFrame:
-        """Of (a, b, n) rows, one for each shared prefix token: each b's best a, where they share a good part of the prefix."""
-        counted = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("n").alias("n")).where(F.col("c") * 6 >= prefix(F.col("n")))
-        return counted.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")).select("a", "b")
-
-    links = []
-    labels = None
-    for k in range(rounds):
-        if k == 0:
-            pairs = bucket.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"), "n")
-        else:  # another neighbour each round, of another component
-            at = bucket.where("g > 2").join(labels, F.col("doc") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "doc"))
-            mixed = at.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-            at = at.join(mixed, "token", "left_semi")
-            o = Window.partitionBy("token").orderBy(F.xxhash64("doc", F.lit(k)))
-            pairs = at.select(F.col("doc").alias("b"), "n", "comp", F.lag("doc").over(o).alias("a"), F.lag("n").over(o).alias("na"), F.lag("comp").over(o).alias("ca")).where((F.col("comp") != F.col("ca")) & compatible(F.col("n"), F.col("na"))).select("a", "b", "n")
-        pairs = written(promising(pairs), "pairs")
-        if pairs.isEmpty():
+    kept = written(made.groupBy("key").agg(F.min("doc").alias("doc"), F.any_value("d").alias("d"), F.any_value("prefix").alias("prefix")).drop("key"), "prefixes")
+    rows = shared_by(kept.select("doc", "d", F.explode("prefix").alias("token")), "shared", {}, "g > 1")
+    dropped(kept)
+    pairs, links = [written(first_pairs(rows.where(F.col("g") <= FAN), percent), "pairs")], []
+    hot = rows.where(F.col("g") > FAN)
+    members = groups(hot)
+    sets = cut_sets(docs, shared, members.select("doc").union(pairs[0].select("a")).union(pairs[0].select("b")).distinct(), n)
+    d, pos, w, cc, low = map(F.col, ("d", "pos", "w", "cc", "low"))
+    for level in range(levels):
+        if members.isEmpty():
             break
-        links.append(similar(ids, docs, pairs, shared, n, percent))
-        labels = written(components(_all(links)), "labels")
-    # every pair of different components that shares a prefix token, and enough of them
-    at = bucket if labels is None else bucket.join(labels, F.col("doc") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "doc")).drop("node", "component")
-    if labels is None:
-        at = at.withColumn("comp", F.col("doc"))
-    mixed = at.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    at = written(at.join(mixed, "token", "left_semi").select("token", "doc", "n", "pos", "comp"), "mixed")
-    # the first token that a document shares with another component; what comes before it is nobody's
-    at = at.join(at.groupBy("doc").agg(F.min("pos").alias("lead")), "doc")
-    side = lambda x: at.select("token", *[F.col(c).alias(k + x) for c, k in (("doc", ""), ("n", "n"), ("lead", "l"), ("comp", "c"))])
-    na, nb = F.col("na"), F.col("nb")
-    reach = need(na, nb)
-    fits = (F.col("ca") < F.col("cb")) & compatible(na, nb) & (F.col("la") <= na - reach) & (F.col("lb") <= nb - reach)
-    shares = side("a").join(side("b"), "token").where(fits).groupBy("a", "b").agg(F.count("*").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
-    # shared tokens up to the smaller of the two prefixes' ends are all in both prefixes; what may follow is bounded by the rest of a set
-    enough = F.col("c") + F.greatest(na - prefix(na), nb - prefix(nb)) >= reach
-    last = written(shares.where(enough).select("a", "b"), "pairs")
-    if not last.isEmpty():
-        links.append(similar(ids, docs, last, shared, n, percent))
+        own = differences(members, sets, percent)
+        least = own.groupBy("gid").agg(F.min(F.struct("w", "doc")).alias("least"))
+        own = salted_join(own, least, "gid", hot_salt(members, "gid"), F.col("doc"))
+        own = own.select("gid", "doc", "cc", "w", "d", "tokens", F.col("least.w").alias("low"), F.col("least.doc").alias("near"))
+        links.append(written(own.where("w + low <= cc and doc <> near").select(F.col("near").alias("a"), F.col("doc").alias("b")), "links"))
+        # only a document beyond the core's reach needs partners; its own prefix is long, for partners of any smaller w, that of partners is short
+        long = F.when(w + low > cc, d - ceil_div(w + low - cc, unit) + 1).otherwise(0)
+        short = d - ceil_div(w + F.greatest(w, cc - low + 1) - cc, unit) + 1
+        own = own.select("gid", "doc", "cc", "w", "d", long.alias("_l"), short.alias("_s"), "tokens").where("greatest(_l, _s) > 0")
+        own = own.select("gid", "doc", "cc", "w", "d", "_l", "_s", F.posexplode(F.slice("tokens", F.lit(1), F.greatest("_l", "_s").cast("int"))).alias("pos", "token"))
+        rows = own.select(F.xxhash64("gid", "token").alias("token"), "doc", "cc", "w", (d - pos).alias("room"), (pos < F.col("_l")).alias("long"), (pos < F.col("_s")).alias("short"))
+        rows = shared_by(rows, "shared", {"l": F.count_if("long"), "s": F.count_if("short")}, "g > 1 and l > 0 and s > 0")
+        few = (F.least("l", "s") <= FAN) & (F.col("g") <= FAN_ROWS) if level + 1 < levels else F.lit(True)
+        pairs.append(written(pairs_of(rows.where(few), unit), "pairs"))
+        members = groups(rows.where(~few))
+    links.append(similar(union(*pairs).distinct(), sets, percent))
     copies = salted_join(named, first.where("c > 1"), "key", hot_salt(named, "key"), F.col("doc_id")).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    labels = components(_all([copies, *links]))
+    labels = components(union(copies, *links))
     return ids.join(labels, ids.doc_id == labels.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def _all(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out

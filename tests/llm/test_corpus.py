@@ -349,3 +349,34 @@ def test_pipeline_stages_keep_rows_with_null_and_repeated_ids(spark, tiny):
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in mixed], DOCS)
     assert pairs(corpus_pipeline.decontamination_stage(spark, docs, tiny)) == sorted(want, key=repr)
     assert corpus_pipeline.decontamination_stage(spark, docs.limit(0), tiny).count() == 0
+
+
+def test_jaccard_large_groups_of_near_copies(spark):
+    """Groups whose copies differ from a common text by more and more words, so that many are just beyond its reach, a chain in which only neighbours are alike, and a passage that many texts share."""
+    import random
+
+    rnd = random.Random(11)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    texts = []
+    for size, most in ((300, 14), (150, 8)):
+        base = [word() for _ in range(90)]
+        for _ in range(size):
+            t = list(base)
+            for _ in range(rnd.randrange(most)):
+                k, what = rnd.randrange(len(t)), rnd.randrange(4)
+                t[k : k + 1] = [] if not what else [word()] if what < 3 else [t[k], rnd.choice(["more", "less"])]
+            texts.append(t)
+    chain = [word() for _ in range(40)]
+    for i in range(300):
+        chain = chain[:]
+        chain[i % 40] = word()
+        texts.append(chain)
+    passage = [word() for _ in range(30)]
+    texts += [[word() for _ in range(rnd.randrange(5, 30))] + passage + [word()] for _ in range(150)]
+    rnd.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(brute.components(rows))
+    assert _rows(jaccard.jaccard_components(docs), "doc_id", "n_shingles", "component_id") == want
+    assert len({c for *_, c in want}) > 100
+    assert _rows(jaccard.jaccard_components(docs, levels=1), "doc_id", "n_shingles", "component_id") == want
