@@ -53,19 +53,22 @@ def read_turns(formatted: str) -> list[tuple[str, str, bool]]:
     return out
 
 
-def best_paths(nodes: DataFrame, *, keep: int = 1, max_rounds: int = 40) -> DataFrame:
+def best_paths(nodes: DataFrame, *, keep: int = 1, max_rounds: int = 63) -> DataFrame:
     """(path, node, depth): for each tree of nodes (node, parent, score), its `keep` leaves with the highest sum of scores from the root (ties: smallest leaf), each with all nodes of its path, depth 0 first.
 
-    A parent that doesn't exist, or is null, makes its child a root; null scores count 0. node must be unique. A cycle has no root: its nodes, and all below, are left out.
+    A parent that doesn't exist, or is null, makes its child a root; null scores count 0. node must be unique. A cycle
+    has no root: its nodes, and all below, are left out. A path of n replies takes log2(n) rounds; once 2^rounds
+    exceeds the number of nodes, what still has an ancestor is below a cycle. More than max_rounds raises.
     """
     own = written(nodes.select("node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score")), "nodes")
     ids = own.select(F.col("node").alias("parent"), F.lit(True).alias("_there"))
     start = salted_join(own, ids, "parent", hot_salt(own, "parent"), F.col("node"), "left")
     step = written(start.select("node", F.when(F.col("_there"), F.col("parent")).alias("up"), "score", F.when(F.col("_there"), 1).otherwise(0).cast("long").alias("depth"), F.when(F.col("_there"), F.col("parent")).otherwise(F.col("node")).alias("root")), "step")
     jumps = []  # jumps[k]: node and the one 2^k replies above it
-    for _ in range(max_rounds):
-        if step.where("up is not null").isEmpty():
-            break
+    size = own.count()
+    while 2 ** len(jumps) <= size and not step.where("up is not null").isEmpty():
+        if len(jumps) == max_rounds:
+            raise RuntimeError(f"paths are longer than {max_rounds} rounds reach")
         jumps.append(step.where("up is not null").select("node", "up"))
         far = step.select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("score").alias("_score"), F.col("depth").alias("_depth"), F.col("root").alias("_root"))
         moved = salted_join(step, far, "up", hot_salt(step, "up"), F.col("node"), "left")
@@ -111,7 +114,7 @@ def digests(turns: DataFrame, key: str, order: list[str]) -> DataFrame:
         now, state = object(), None
 
         def row():
-            return pd.DataFrame([(None if now == "" else now, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4])], columns=names)
+            return pd.DataFrame([(now[1:] if now else None, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4])], columns=names)
 
         out = []
         for b in batches:
@@ -135,7 +138,7 @@ def digests(turns: DataFrame, key: str, order: list[str]) -> DataFrame:
         if out:
             yield pd.concat(out)
 
-    ordered = turns.withColumn("_k", F.coalesce(F.col(key).cast("string"), F.lit(""))).repartition("_k").sortWithinPartitions("_k", *order).select("_k", "formatted")
+    ordered = turns.withColumn("_k", F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))).repartition("_k").sortWithinPartitions("_k", *order).select("_k", "formatted")
     kind = turns.schema[key].dataType.simpleString()
     return ordered.mapInPandas(digest, f"{key} string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long").withColumn(key, F.col(key).cast(kind))
 
@@ -148,5 +151,5 @@ def linear_trees(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     """
     w = Window.partitionBy(conv_id).orderBy(turn, role, text)
     at = F.row_number().over(w)
-    name = lambda n: F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), n.cast("string"))
+    name = lambda n: F.concat_ws(":", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("null")), n.cast("string"))
     return rows.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"), at.alias("_at")).select("*", name(F.col("_at")).alias("node"), F.when(F.col("_at") > 1, name(F.col("_at") - 1)).alias("parent"), F.lit(0.0).alias("score")).drop("_at")

@@ -18,11 +18,13 @@ HOT_SALTS = 64
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder that the driver and all executors can reach: under spark.checkpoint.dir, which is only set here where it is unset (tests)."""
+    """A new folder that the driver and all executors can reach: under spark.checkpoint.dir, which is only set here where it is unset in local mode (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base and (found := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
         base = found.get()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="frameloom-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/frameloom-{uuid.uuid4().hex}"
@@ -83,8 +85,8 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     seen = None
     for _ in range(rounds):
         both = cur.union(cur.select(F.col("b"), F.col("a"))).toDF("u", "v")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = salted_join(both.where("v > u"), low.drop("n"), "u", hot_keys(low, "u", "n"), F.col("v")).select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.withColumnRenamed("a", "u").join(down.withColumnRenamed("a", "u"), "u")
         new = written(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("u", "m")).where("a <> b").distinct(), "edges")

@@ -12,11 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, ascii_lower, one_row, union, written
+from .common import BROADCAST_ROWS, ascii_lower, hot_salt, one_row, salted_join, union, written
 
 #: All but the word characters of the contract, before A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SHINGLE = 4
+#: Beyond a broadcast of the windows, places are first filtered by so many bits of their keys: at most 2^FILTER_BITS rows, whatever the benchmark.
+FILTER_BITS = 21
 
 
 def words_of(text: Column) -> Column:
@@ -56,8 +58,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
     for k in lengths:
         keyed = F.when(F.least("m", F.lit(SHINGLE)) == k, shingle_key("words", F.col("offset"), k)).otherwise(keyed)
     places = written(places.select(phrase(F.col("words")).alias("phrase"), "m", "item_ids", "wid", "offset", keyed.alias("key")), "places")
-    few = places.count() <= broadcast_rows
-    sized = F.broadcast if few else (lambda df: df)
+    size = places.agg(F.count("*").alias("n"), F.sum(F.octet_length("phrase") + 16 * F.size("item_ids")).alias("bytes")).first()
+    few = size["n"] <= broadcast_rows and (size["bytes"] or 0) <= 256 * broadcast_rows
+    bits = lambda key: key.bitwiseAND((1 << FILTER_BITS) - 1)
+
+    def met(at: DataFrame, keys: DataFrame) -> DataFrame:
+        """Rows of at whose key is one of keys, or, beyond the bound of a broadcast, may be."""
+        if few:
+            return at.join(F.broadcast(keys.select("key").distinct()), "key", "left_semi")
+        return at.join(F.broadcast(keys.select(bits(F.col("key")).alias("_bits")).distinct()), bits(F.col("key")) == F.col("_bits"), "left_semi")
 
     base = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull()).alias("_th"), one_row(w=words_of(F.col(text))))
 
@@ -67,7 +76,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
         return each.withColumn("key", keys[0] if len(keys) == 1 else F.explode(F.array(*keys)))
 
     if lengths:
-        counts = shingles(base, []).select("key").join(sized(places.select("key").distinct()), "key", "left_semi").groupBy("key").agg(F.count("*").alias("df"))
+        counts = met(shingles(base, []).select("key"), places).groupBy("key").agg(F.count("*").alias("df"))
         rare = places.join(counts, "key", "left").groupBy("wid").agg(F.min_by(F.struct("phrase", "m", "item_ids", "offset", "key"), F.struct(F.coalesce("df", F.lit(0)), "key", "offset")).alias("p"))
         prefix = written(rare.select("p.*"), "prefix")
         start = F.col("pos") - F.col("offset")
@@ -75,9 +84,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
             cand = shingles(base, ["doc_id", "_th"]).join(F.broadcast(prefix), "key")
             fits = (start >= 0) & (start + F.col("m") <= F.size("w"))
             same = phrase(F.slice("w", start + 1, F.col("m"))) == F.col("phrase")
-        else:  # the words around a place travel instead of the document, and only where a shingle occurs in some window
-            near = shingles(base, ["doc_id", "_th"]).select("doc_id", "_th", "pos", "key", F.size("w").alias("n"), F.slice("w", F.greatest(F.col("pos") - window + 1, F.lit(0)) + 1, 2 * window).alias("w"))
-            cand = near.join(prefix, "key")
+        else:  # the words around a place travel instead of the document, and only of places that the filter lets through
+            near = met(shingles(base, ["doc_id", "_th"]), prefix).select("doc_id", "_th", "pos", "key", F.size("w").alias("n"), F.slice("w", F.greatest(F.col("pos") - window + 1, F.lit(0)) + 1, 2 * window).alias("w"))
+            cand = salted_join(near, prefix, "key", hot_salt(near, "key"), F.struct("doc_id", "pos"))
             fits = (start >= 0) & (start + F.col("m") <= F.col("n"))
             same = phrase(F.slice("w", start - F.greatest(F.col("pos") - window + 1, F.lit(0)) + 1, F.col("m"))) == F.col("phrase")
         hits = cand.where(F.when(fits, same).otherwise(F.lit(False))).select("doc_id", "_th", start.alias("s"), (start + F.col("m")).alias("e"), "item_ids", F.lit(None).cast("long").alias("n_words"))

@@ -132,7 +132,7 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "
             made = [(lang, f[0].astype("<i4").tobytes(), f[1].astype("<f4").tobytes(), k) for t, lang, k in zip(b["t"], b["lang"], b["k"], strict=True) if (f := features(t, idf))]
             yield pd.DataFrame(made, columns=["lang", "at", "v", "k"])
 
-    sample = rows.join(F.broadcast(rates) if len(langs) <= BROADCAST_ROWS else rates, "lang").where(unit < F.col("rate")).mapInPandas(vectors, "lang string, at binary, v binary, k string").limit(int(2 * share * len(langs))).collect()
+    sample = rows.join(F.broadcast(rates) if len(langs) <= BROADCAST_ROWS else rates, "lang").where(unit < F.col("rate")).mapInPandas(vectors, "lang string, at binary, v binary, k string").collect()  # the rates bound it
     sample.sort(key=lambda r: (str(r["k"])[::-1], bytes(r["at"]), r["lang"]))
     names = sorted({r["lang"] for r in sample})
     data = [(np.frombuffer(r["at"], "<i4").astype(np.int64), np.frombuffer(r["v"], "<f4").astype(float), names.index(r["lang"])) for r in sample]
@@ -149,10 +149,10 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "
 
 
 def predict(docs: DataFrame, model: dict, *, text: str = "text") -> DataFrame:
-    """docs with lang_pred and score, the calibrated probability; UNKNOWN and 0 for texts that are null or have no letter, and for all without learned languages."""
+    """docs with lang_pred and score, the calibrated probability; UNKNOWN and 0 for texts that are null or have no letter, and for all without learned languages. Repeated rows each get theirs; columns lang_pred and score of docs are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast({**model, "weights": np.ascontiguousarray(model["weights"].T)} if model["langs"] else model)
 
-    @F.pandas_udf("struct<lang:string,p:double>")
+    @F.pandas_udf("struct<lang_pred:string,score:double>")
     def classify(texts: pd.Series) -> pd.DataFrame:
         m = shared.value
         out = []
@@ -164,7 +164,6 @@ def predict(docs: DataFrame, model: dict, *, text: str = "text") -> DataFrame:
             p = _softmax((f[1] @ m["weights"][f[0]] + m["weights"][DIM]) / m["temperature"])
             k = int(p.argmax())
             out.append((m["langs"][k], float(p[k])))
-        return pd.DataFrame(out, columns=["lang", "p"])
+        return pd.DataFrame(out, columns=["lang_pred", "score"])
 
-    found = classify(F.col(text))
-    return docs.withColumn("_found", found).withColumn("lang_pred", F.col("_found.lang")).withColumn("score", F.col("_found.p")).drop("_found")
+    return docs.select(*[c for c in docs.columns if c not in ("lang_pred", "score")], F.inline(F.array(classify(F.col(text)))))

@@ -160,26 +160,27 @@ def pack(cut: DataFrame, size: int = 1024) -> DataFrame:
     """cut (doc_id, piece, start, length, ids_crc32, ...) with sequence_id and offset: gapless sequences of at most size tokens.
 
     Ranks within a length are counted in buckets by hash, then shifted by the counts of the buckets before, so a length
-    that most pieces have is no single task's work. An empty table gives an empty plan.
+    that most pieces have is no single task's work. Repeated rows are pieces of their own. Further columns stay;
+    columns sequence_id and offset are replaced. An empty table gives an empty plan.
     """
     spark = cut.sparkSession
-    cut = written(cut, "pieces")
-    total = cut.count()
-    buckets = max(1, -(-total // BUCKET_ROWS))
-    cut = cut.withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
-    sizes = written(cut.groupBy("length", "_b").agg(F.count("*").alias("n")), "sizes")
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `size` rows
+    cut = written(cut.drop("sequence_id", "offset"), "pieces")
+    # as many buckets as tasks at least, so that a length that most pieces have is dealt to all of them
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-cut.count() // BUCKET_ROWS))
+    own = F.struct(*cut.columns).alias("_own")
+    cut = cut.select(own, F.col("length").alias("_length"), F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).alias("_b"))
+    sizes = written(cut.groupBy("_length", "_b").agg(F.count("*").alias("_n")), "sizes")
+    counts = {r["_length"]: r["_n"] for r in sizes.groupBy("_length").agg(F.sum("_n").alias("_n")).collect()}  # at most `size` rows
     if any(k > size for k in counts):
         raise ValueError("a piece is longer than a sequence")
-    slots = spark.createDataFrame(plan(counts, size) or [(0,) * 6], "length long, r0 long, r1 long, seq long, each long, at long")
-    before = sizes.select("length", "_b", (F.sum("n").over(Window.partitionBy("length").orderBy("_b")) - F.col("n")).alias("before"))
-    local = cut.withColumn("_r", F.row_number().over(Window.partitionBy("length", "_b").orderBy("doc_id", "piece", "ids_crc32")) - 1)
-    ranked = local.join(before, ["length", "_b"]).withColumn("_r", F.col("_r") + F.col("before")).drop("before", "_b")
+    slots = spark.createDataFrame(plan(counts, size) or [(0,) * 6], "_len long, _r0 long, _r1 long, _first long, _each long, _at long")
+    before = sizes.select("_length", "_b", (F.sum("_n").over(Window.partitionBy("_length").orderBy("_b")) - F.col("_n")).alias("_before"))
+    local = cut.withColumn("_r", F.row_number().over(Window.partitionBy("_length", "_b").orderBy("_own.doc_id", "_own.piece", "_own.ids_crc32")) - 1)
+    ranked = local.join(before, ["_length", "_b"]).withColumn("_r", F.col("_r") + F.col("_before"))
     # the plan is a few thousand rows at most, whatever the corpus: it is broadcast
-    s = F.broadcast(slots.withColumnRenamed("length", "_len"))
-    placed = ranked.join(s, (F.col("length") == F.col("_len")) & (F.col("_r") >= F.col("r0")) & (F.col("_r") < F.col("r1")))
-    step = F.col("_r") - F.col("r0")
-    return placed.withColumn("sequence_id", F.col("seq") + F.floor(step / F.col("each"))).withColumn("offset", F.col("at") + (step % F.col("each")) * F.col("length")).drop("_len", "r0", "r1", "seq", "each", "at", "_r")
+    placed = ranked.join(F.broadcast(slots), (F.col("_length") == F.col("_len")) & (F.col("_r") >= F.col("_r0")) & (F.col("_r") < F.col("_r1")))
+    step = F.col("_r") - F.col("_r0")
+    return placed.select("_own.*", (F.col("_first") + F.floor(step / F.col("_each"))).alias("sequence_id"), (F.col("_at") + (step % F.col("_each")) * F.col("_length")).alias("offset"))
 
 
 def assemble(packed: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import one_row, written
+from .common import hot_salt, one_row, salted_join, written
 
 #: The contract's patterns, in forms that Java runs in linear time; length and digit checks follow.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -68,9 +68,10 @@ def _ranked(rank: int, kind: str):
 def extract(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rounds: int = 3, support: int = 5, confidence: float = 0.9, out: str = "entities") -> DataFrame:
     """(doc_id, entities) for each row of docs; entities: array of (kind, start, end, value) by start, then kind as listed in KINDS; code points, end exclusive.
 
-    A "context" entity is a word with seven digits or more, or an @, that overlaps no other entity and whose patterns
-    (word before, lower-cased, and shape) matched at least `support` different seeds and score `confidence` or more.
-    Null and empty texts have no entities; repeated rows each get theirs.
+    A "context" entity is a word with a digit or an @ that overlaps no other entity and one of whose patterns (word
+    before, lower-cased, and shape) matched at least `support` different seeds and scores `confidence` or more. Every
+    such word counts for or against its patterns; identifiers of several words are found only by the fixed patterns.
+    Null and empty texts have no entities; repeated rows each get theirs. Other columns of docs are ignored.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     with_digits = t.rlike("[0-9@]")
@@ -78,20 +79,25 @@ def extract(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", roun
     base = F.concat(*[F.transform(k, _ranked(i, k)) for i, k in enumerate(KINDS[:4])])
     trimmed = lambda x: F.regexp_extract(x["value"], r"^[^\p{L}0-9@+]*(.*?)[^\p{L}0-9]*$", 1)
     lead = lambda x: F.length(F.regexp_extract(x["value"], r"^[^\p{L}0-9@+]*", 0))
-    words = F.transform("words", lambda x: F.struct((x["start"] + lead(x)).cast("long").alias("start"), (x["start"] + lead(x) + F.length(trimmed(x))).cast("long").alias("end"), trimmed(x).alias("value"), F.lower(F.coalesce(F.try_element_at(F.filter(F.split(F.substring(x["before"], -60, 60), SPACE), lambda w: w != ""), F.lit(-1)), F.lit("^"))).alias("left")))
+    # the whole last word before the candidate, however long; the one before that is another candidate's, if it has a digit
+    left = lambda c: F.lower(F.coalesce(F.nullif(F.substring_index(F.rtrim(F.translate(c, "\t\n\x0b\x0c\r", "     ")), " ", -1), F.lit("")), F.lit("^")))
+    words = F.transform("words", lambda x: F.struct((x["start"] + lead(x)).cast("long").alias("start"), (x["start"] + lead(x) + F.length(trimmed(x))).cast("long").alias("end"), trimmed(x).alias("value"), left(x["before"]).alias("left")))
     table = written(found.select("doc_id", "th", F.array_sort(base).alias("base"), words.alias("words")), "entities")
 
     cand = table.where(F.size("words") > 0).select("doc_id", "th", "base", F.explode("words").alias("x")).select("doc_id", "th", "x.*", F.exists("base", lambda b: (b["start"] < F.col("x.end")) & (F.col("x.start") < b["end"])).alias("seed"))
-    cand = cand.where(F.col("seed") | (F.length(F.regexp_replace("value", "[^0-9]", "")) >= 7) | F.col("value").contains("@")).withColumn("pattern", F.concat_ws(" ", "left", shape(F.col("value"))))
+    cand = cand.withColumn("pattern", F.concat_ws(" ", "left", shape(F.col("value"))))
     cand = written(cand.select("doc_id", "th", "start", "end", "value", "pattern", "seed"), "candidates")
     # the graph: each pattern and instance that meet, once; both sides' sums are combined before they are shuffled
     edges = written(cand.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "graph")
     score = edges.groupBy("value").agg(F.max("seed").cast("double").alias("s"))
+    hot_values, hot_patterns = hot_salt(edges, "value"), hot_salt(edges, "pattern")
     for _ in range(rounds):
-        patterns = edges.join(score, "value").groupBy("pattern").agg((F.sum("s") / F.count("*")).alias("q"), F.sum(F.col("seed").cast("long")).alias("seeds"))
+        patterns = salted_join(edges, score, "value", hot_values, F.col("pattern")).groupBy("pattern").agg((F.sum("s") / F.count("*")).alias("q"), F.sum(F.col("seed").cast("long")).alias("seeds"))
         trusted = patterns.where(F.col("seeds") >= support)
-        score = written(edges.join(trusted, "pattern", "left").groupBy("value").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(F.coalesce("q", F.lit(0.0)))).alias("s")), "scores")
-    new = cand.where(~F.col("seed")).join(score.where(F.col("s") >= confidence), "value", "left_semi")
+        score = written(salted_join(edges, trusted, "pattern", hot_patterns, F.col("value"), "left").groupBy("value").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(F.coalesce("q", F.lit(0.0)))).alias("s")), "scores")
+    sure = score.where(F.col("s") >= confidence).select("value")
+    free = cand.where(~F.col("seed"))
+    new = salted_join(free, sure, "value", hot_salt(free, "value"), F.struct("doc_id", "start")).select("doc_id", "th", "start", "end", "value")
     new = new.distinct().groupBy("doc_id", "th").agg(F.collect_list(F.struct(F.lit(4).alias("rank"), F.lit("context").alias("kind"), "start", "end", "value")).alias("new"))
     joined = table.alias("t").join(new.alias("n"), F.col("t.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("t.th") == F.col("n.th")), "left")
     whole = F.array_sort(F.transform(F.concat("base", F.coalesce("new", F.expr("cast(array() as array<struct<rank:int,kind:string,start:bigint,end:bigint,value:string>>)"))), lambda x: F.struct(x["start"], x["rank"], x["kind"], x["end"], x["value"])))

@@ -1,15 +1,18 @@
 """Secret scans by grammar inference.
 
-Labelled credentials (values that the fixed patterns find) are read into a prefix tree over character classes, whose
-states are merged where their futures agree within Hoeffding's bound (the ALERGIA test). The automaton gives every
-candidate string a likelihood; candidates that it finds much likelier than the model of ordinary tokens does are
-secrets by format, next to the fixed patterns' own matches, which always stay.
+Labelled credentials (values that the fixed patterns find) of each kind are read into a prefix tree over character
+classes, whose states are merged where their futures agree within Hoeffding's bound: the shares of each next class (the
+ALERGIA test) and the distribution of what is left to read, so that a format of fixed length keeps its states however
+few strings there are. The automaton gives every candidate string a likelihood; candidates that one kind's automaton
+finds much likelier than that of ordinary tokens does are secrets by format, next to the fixed patterns' own matches,
+which always stay.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,12 +27,15 @@ ASSIGN = re.compile(r"(?ai:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")  # the same as all AKIA[A-Z0-9]+ of 16 characters or more, as are those of HEX
 HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "format")
-#: A candidate for its format: a whole run of these characters, however long.
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+")
+#: A candidate for its format: a whole run of these characters, however long, of 16 or more, or of 8 or more with a letter and a digit.
+RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])(?:[A-Za-z0-9+/_=-]{16,}+|(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{8,}+)")
+#: Ordinary words teach the contrast too: one in WORDS of those with 8 letters or more, by hash.
+WORD, WORDS = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{8,}(?![A-Za-z0-9+/_=-])"), 64
 CUE = re.compile(r"(?ai:passw|secret|token|api)")
 
-ALPHABET = {**{c: "d" for c in "0123456789"}, **{c: "h" for c in "abcdef"}, **{c: "l" for c in "ghijklmnopqrstuvwxyz"}, **{c: "H" for c in "ABCDEF"}, **{c: "L" for c in "GHIJKLMNOPQRSTUVWXYZ"}, **{c: "s" for c in "+/_=-."}}
-CLASS_SIZE = {"d": 10, "h": 6, "l": 20, "H": 6, "L": 20, "s": 6}
+SEPARATORS = "+/_=-."
+ALPHABET = {**{c: "d" for c in "0123456789"}, **{c: "h" for c in "abcdef"}, **{c: "l" for c in "ghijklmnopqrstuvwxyz"}, **{c: "H" for c in "ABCDEF"}, **{c: "L" for c in "GHIJKLMNOPQRSTUVWXYZ"}, **{c: c for c in SEPARATORS}}
+CLASS_SIZE = {"d": 10, "h": 6, "l": 20, "H": 6, "L": 20, **dict.fromkeys(SEPARATORS, 1)}
 END = "$"
 
 
@@ -60,16 +66,17 @@ class Automaton:
         self.step, self.logp = step, logp
 
     @classmethod
-    def infer(cls, strings: list[str], alpha: float = 0.05) -> Automaton:
-        """Prefix tree of the strings' classes, then its states merged in breadth-first order.
+    def infer(cls, strings: list[str], alpha: float = 0.05, lengths: bool = True) -> Automaton:
+        """Prefix tree of the strings' classes, then its states merged in breadth-first order; without lengths, what is left to read doesn't keep states apart.
 
         What only one string reaches stays text until a step needs it, so long strings cost their characters, not states.
         """
-        child, count, tail = [], [], []
+        child, count, tail, rest = [], [], [], []  # rest: lengths of what is left to read
 
         def new(s: str, k: int) -> int:
             child.append({})
             count.append(Counter(s[k : k + 1]))
+            rest.append(Counter([len(s) - k] if s else []))
             tail.append((s, k) if s else None)
             return len(child) - 1
 
@@ -85,6 +92,7 @@ class Automaton:
                 unfold(p)
                 c = s[k]
                 count[p][c] += 1
+                rest[p][len(s) - k] += 1
                 if c == END:
                     return
                 k += 1
@@ -98,6 +106,14 @@ class Automaton:
             add(0, "".join(map(ALPHABET.__getitem__, s)) + END, 0)
         bound = math.sqrt(0.5 * math.log(2 / alpha))
 
+        def apart(x: Counter, n: int, y: Counter, m: int) -> float:
+            """The largest difference of two cumulative distributions."""
+            most, f, g = 0.0, 0, 0
+            for v in sorted(x.keys() | y.keys()):
+                f, g = f + x[v], g + y[v]
+                most = max(most, abs(f / n - g / m))
+            return most
+
         def differs(a: int, b: int) -> bool:
             todo = [(a, b)]
             while todo:
@@ -106,7 +122,7 @@ class Automaton:
                 if not n or not m or (min(n, m) == 1 and bound >= 1):  # no share of one string is beyond such a bound, nor is any below
                     continue
                 gap = bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
-                if any(abs(count[p][c] / n - count[q][c] / m) > gap for c in count[p].keys() | count[q].keys()):
+                if any(abs(count[p][c] / n - count[q][c] / m) > gap for c in count[p].keys() | count[q].keys()) or lengths and apart(rest[p], n, rest[q], m) > gap:
                     return True
                 unfold(p)
                 unfold(q)
@@ -123,6 +139,7 @@ class Automaton:
                     continue
                 unfold(p)
                 count[p] += count[q]
+                rest[p] += rest[q]
                 for c, to in child[q].items():
                     if c in child[p]:
                         todo.append((child[p][c], to))
@@ -148,25 +165,27 @@ class Automaton:
         number = {s: i for i, s in enumerate(red)}
         logp = []
         for s in red:
-            n = sum(count[s].values()) + 0.1 * 7
-            logp.append({c: math.log((count[s][c] + 0.1) / n / CLASS_SIZE.get(c, 1)) for c in (*CLASS_SIZE, END)})
+            more = sum(count[s][c] + 0.1 for c in CLASS_SIZE)
+            logp.append({c: math.log((count[s][c] + 0.1) / more / z) for c, z in CLASS_SIZE.items()} | {END: math.log((count[s][END] + 0.1) / (more + count[s][END] + 0.1))})
         return cls([{c: number[t] for c, t in child[s].items()} for s in red], logp)
 
-    def score(self, s: str) -> float:
-        """Log likelihood for each character; characters that no transition knows are taken from the state itself."""
+    def score(self, s: str, ends: bool = True) -> float:
+        """Log likelihood for each character, given that there is one: the length counts once, by the end, if it should. Characters that no transition knows are taken from the state itself."""
         at, total = 0, 0.0
         for c in s:
-            k = ALPHABET.get(c, "s")
+            k = ALPHABET.get(c, "_")
             total += self.logp[at][k]
             at = self.step[at].get(k, at)
-        return (total + self.logp[at][END]) / (len(s) + 1)
+        return (total + self.logp[at][END]) / (len(s) + 1) if ends else total / len(s)
 
 
 def fit(docs: DataFrame, *, text: str = "text", max_labelled: int = 2000, margin: float = 0.15) -> dict | None:
-    """Automata of credentials and of ordinary runs, from at most max_labelled distinct values of each (the smallest by hash over all documents); None without credentials.
+    """One automaton for each kind of credential and one of ordinary strings, from at most max_labelled distinct values of each (the smallest by hash over all documents); None without credentials.
 
-    Ordinary runs are the candidates of all texts that overlap no fixed pattern's match. The threshold is the lowest
-    likelihood ratio of the labelled credentials' middle nine tenths, plus margin: it doesn't depend on the size of docs.
+    Ordinary strings are the candidates of all texts that overlap no fixed pattern's match, and words, but for those that
+    a first round finds likelier as credentials. A kind's
+    threshold is the lowest likelihood ratio of the upper nineteen twentieths of its labelled values, each held out in
+    turn with a third of them, or margin if that is more: it doesn't depend on the size of docs.
     """
 
     def values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,30 +194,40 @@ def fit(docs: DataFrame, *, text: str = "text", max_labelled: int = 2000, margin
             for t in b["t"]:
                 if t:
                     found = base_spans(t)
-                    out |= {(v, True) for *_, v in found if len(v) >= 16}
-                    out |= {(m[0], False) for m in candidates(t, found)}
-            yield pd.DataFrame(list(out), columns=["value", "secret"])
-
-    found = docs.select(F.col(text).alias("t")).where(F.col("t").isNotNull()).mapInPandas(values, "value string, secret boolean")
-    # what is labelled anywhere is no ordinary run elsewhere
-    found = written(found.groupBy("value").agg(F.max("secret").alias("secret")), "values")
-    take = lambda c: [r[0] for r in found.where(c).orderBy(F.xxhash64("value"), "value").limit(max_labelled).select("value").collect()]
-    secrets = take(F.col("secret"))
+                    out |= {(v, k) for _, _, k, v in found}
+                    out |= {(m[0], "") for m in candidates(t, found)}
+                    out |= {(w, "") for w in set(WORD.findall(t)) if zlib.crc32(w.encode()) % WORDS == 0}
+            yield pd.DataFrame(list(out), columns=["value", "kind"])
+
+    found = docs.select(F.col(text).alias("t")).where(F.col("t").isNotNull()).mapInPandas(values, "value string, kind string")
+    # what is labelled anywhere is no ordinary string elsewhere
+    found = written(found.groupBy("value").agg(F.max("kind").alias("kind")), "values")
+    take = lambda k: [r[0] for r in found.where(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(max_labelled).select("value").collect()]
+    secrets = {k: v for k in KINDS[:3] if (v := take(k))}
     if not secrets:
         return None
-    plain = take(~F.col("secret"))
-    good, other = Automaton.infer(secrets), Automaton.infer(plain or ["the"])
-    ratios = sorted(good.score(s) - other.score(s) for s in secrets)
-    return {"good": (good.step, good.logp), "other": (other.step, other.logp), "threshold": max(margin, ratios[len(ratios) // 20])}
+    plain = take("") or ["the"]
+    other = Automaton.infer(plain, lengths=False)
+    kinds = {k: Automaton.infer(v) for k, v in secrets.items()}
+    # credentials that no fixed pattern found are among the ordinary strings: those that a kind explains better don't teach the contrast
+    other = Automaton.infer([s for s in plain if all(a.score(s) < other.score(s, False) for a in kinds.values())] or plain, lengths=False)
+    model = {"other": (other.step, other.logp), "kinds": {}}
+    for k, v in secrets.items():
+        folds = [(Automaton.infer([s for i, s in enumerate(v) if i % 3 != out]), v[out::3]) for out in range(3)] if len(v) >= 6 else [(kinds[k], v)]
+        ratios = sorted(a.score(s) - other.score(s, False) for a, held in folds for s in held)
+        model["kinds"][k] = (kinds[k].step, kinds[k].logp, max(margin, ratios[len(ratios) // 20]))
+    return model
 
 
 def scan(docs: DataFrame, model: dict | None, *, text: str = "text", out: str = "secrets") -> DataFrame:
     """docs with column `out`: array of (kind, start, end) by start, then kind as listed in KINDS; code points, end exclusive.
 
-    A kind "format" span is a whole run of 16 or more token characters that overlaps no other span and is likelier
-    under the credentials' automaton. Null and empty texts have no spans. A column `out` of docs is replaced.
+    A kind "format" span is a whole candidate run (see RUN) that overlaps no other span and is likelier under the
+    automaton of one kind of credential, by its threshold. Null and empty texts have no spans; repeated rows each get
+    theirs. A column `out` of docs is replaced, others stay.
     """
-    model = model and {k: Automaton(*v) if isinstance(v, tuple) else v for k, v in model.items()}
+    other = Automaton(*model["other"]) if model else None
+    good = [(Automaton(step, logp), least) for step, logp, least in model["kinds"].values()] if model else []
     rank = {k: i for i, k in enumerate(KINDS)}
 
     def spans(t: str | None) -> list[dict]:
@@ -208,7 +237,8 @@ def scan(docs: DataFrame, model: dict | None, *, text: str = "text", out: str =
         found = [x[:3] for x in base]
         if model:
             for m in candidates(t, base):
-                if model["good"].score(m[0]) - model["other"].score(m[0]) >= model["threshold"]:
+                plain = other.score(m[0], False)
+                if any(a.score(m[0]) - plain >= least for a, least in good):
                     found.append((m.start(), m.end(), "format"))
         found.sort(key=lambda x: (x[0], rank[x[2]]))
         return [{"kind": k, "start": s, "end": e} for s, e, k in found]

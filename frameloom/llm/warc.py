@@ -1,7 +1,7 @@
 """WARC archives: a writer with revisit records and a sequential reader.
 
 An archive holds one gzip member per record. The reader goes through it once, in blocks: each member is inflated
-incrementally, its header says how long the content block is, and digests are checked as the bytes pass.
+incrementally and in bounded steps, its header says how long the content block is, and digests are computed as the bytes pass.
 """
 
 from __future__ import annotations
@@ -101,40 +101,66 @@ def write_archives(plan: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
     return written(text.mapInPandas(write, "path string, records long, bytes long"), "archives")
 
 
-def members(stream) -> Iterator[bytes]:
-    """The inflated bytes of each gzip member of a stream, which is read in blocks; a cut or damaged member raises."""
-    inflate, data, out = zlib.decompressobj(31), b"", []
+def inflated(stream) -> Iterator[tuple[bytes, bool]]:
+    """(bytes, whether the gzip member ends here) of a stream that is read in blocks; no more than BLOCK bytes are inflated at once. A cut or damaged member raises."""
+    inflate, data, begun = zlib.decompressobj(31), b"", False
     while True:
         data = data or stream.read(BLOCK)
         if not data:
-            if out:
+            if begun:
                 raise EOFError("the last gzip member is cut")
             return
-        out.append(inflate.decompress(data))
-        data = b""
+        out, begun = inflate.decompress(data, BLOCK), True
+        data = inflate.unconsumed_tail
         if inflate.eof:
-            yield b"".join(out)
-            data, inflate, out = inflate.unused_data, zlib.decompressobj(31), []
-
-
-def parse(member: bytes) -> dict:
-    """Header fields (lower-case names) and content block of a record, framed by its Content-Length and checked against its digests."""
-    head, _, rest = member.partition(b"\r\n\r\n")
-    version, *lines = head.decode().split("\r\n")
-    if not version.startswith("WARC/"):
-        raise ValueError("not a WARC record")
-    fields = {k.lower(): v for k, _, v in (x.partition(": ") for x in lines)}
-    n = int(fields["content-length"])
-    block, tail = rest[:n], rest[n:]
-    if len(block) != n or tail != b"\r\n\r\n":
-        raise ValueError("the content block is not as long as its header says")
-    if fields.get("warc-block-digest", _sha1(block)) != _sha1(block):
-        raise ValueError("block digest differs")
-    http, _, payload = block.partition(b"\r\n\r\n")
-    http_fields = {k.lower(): v for k, _, v in (x.partition(": ") for x in http.decode("utf-8", "replace").split("\r\n")[1:])}
-    if fields["warc-type"] == "response" and fields.get("warc-payload-digest", _sha1(payload)) != _sha1(payload):
-        raise ValueError("payload digest differs")
-    return fields | {"payload": payload, "payload_bytes": int(http_fields.get("content-length", len(payload)))}
+            data, inflate, begun = inflate.unused_data, zlib.decompressobj(31), False
+            yield out, True
+        else:
+            yield out, False
+
+
+def _fields(lines: list[str]) -> dict[str, str]:
+    return {k.lower(): v for k, _, v in (x.partition(": ") for x in lines)}
+
+
+def records(stream) -> Iterator[dict]:
+    """Header fields (lower-case names), payload and payload_bytes of each record: one a gzip member, framed by Content-Length and checked against its digests as its bytes pass."""
+    head, fields, left, block, tail, payload, check, own = b"", None, 0, None, b"", [], None, b""
+    for data, end in inflated(stream):
+        if fields is None:
+            head += data
+            at = head.find(b"\r\n\r\n")
+            if at < 0 and not end:
+                continue
+            version, *lines = head[: max(at, 0)].decode().split("\r\n")
+            if not version.startswith("WARC/"):
+                raise ValueError("not a WARC record")
+            fields, data, head = _fields(lines), head[at + 4 :], b""
+            left, block, check, own, tail, payload = int(fields["content-length"]), hashlib.sha1(), hashlib.sha1(), b"", b"", []
+            http = None
+        part, data = data[:left], data[left:]
+        left -= len(part)
+        block.update(part)
+        tail += data
+        if http is None:  # the content block's own header
+            own += part
+            at = own.find(b"\r\n\r\n")
+            if at >= 0:
+                http, part = _fields(own[:at].decode("utf-8", "replace").split("\r\n")[1:]), own[at + 4 :]
+        if http is not None:
+            check.update(part)
+            payload.append(part)
+        if end:
+            if left or tail != b"\r\n\r\n":
+                raise ValueError("the content block is not as long as its header says")
+            name = lambda h: "sha1:" + base64.b32encode(h.digest()).decode()
+            if fields.get("warc-block-digest", name(block)) != name(block):
+                raise ValueError("block digest differs")
+            if fields["warc-type"] == "response" and fields.get("warc-payload-digest", name(check)) != name(check):
+                raise ValueError("payload digest differs")
+            size = sum(map(len, payload))
+            yield fields | {"payload": b"".join(payload), "payload_bytes": int((http or {}).get("content-length", size))}
+            fields = None
 
 
 def read_archives(archives: DataFrame, tasks: int | None = None) -> DataFrame:
@@ -147,11 +173,10 @@ def read_archives(archives: DataFrame, tasks: int | None = None) -> DataFrame:
                 store, at = _open(path)
                 rows, size = [], 0
                 with store.open_input_stream(at, compression=None) as stream:
-                    for member in members(stream):
-                        f = parse(member)
+                    for f in records(stream):
                         refers = f.get("warc-refers-to")
                         rows.append((number(f["warc-record-id"]), f["warc-target-uri"], f["warc-type"], f["payload"], f["payload_bytes"], base64.b32decode(f["warc-payload-digest"][5:]).hex(), refers and number(refers)))
-                        size += len(member)
+                        size += len(f["payload"]) + 500
                         if size >= 16 * BLOCK:
                             yield pd.DataFrame(rows, columns=names)
                             rows, size = [], 0

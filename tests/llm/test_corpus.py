@@ -78,6 +78,32 @@ def test_automaton_learns_whole_strings():
     assert own.score("a" * 70 + "7" * 20) > own.score("a" * 70 + "Z" * 20) + 1
 
 
+def test_automaton_keeps_the_length_of_a_format():
+    import random
+
+    rnd = random.Random(8)
+    key = lambda n: "AKIA" + "".join(rnd.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=n))
+    own = secrets.Automaton.infer([key(16) for _ in range(60)])
+    assert 16 <= len(own.step) <= 40
+    assert min(own.score(key(16)) for _ in range(20)) > max(own.score(key(30)) for _ in range(20))
+
+
+def test_secrets_of_an_unseen_format_of_a_learned_kind(spark):
+    """No fixed pattern knows sk- keys without a name before them."""
+    import random
+    import string
+
+    rnd = random.Random(6)
+    made = lambda n, of=string.ascii_letters + string.digits: "".join(rnd.choices(of, k=n))
+    rows = [f"token = sk-{made(6)}-{made(20)} and {made(12, 'aeinrst')} of order{rnd.randrange(10**6)} or {made(10, string.digits)}-{made(4, string.digits)}" for _ in range(80)]
+    hidden = [f"of sk-{made(6)}-{made(20)} it" for _ in range(20)] + [f"of {made(24, 'aeinrst')} and order{rnd.randrange(10**6)} in" for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(rows + hidden)), "doc_id long, text string")
+    model = secrets.fit(docs)
+    assert len(model["kinds"]["assign"][0]) > 10
+    found = {r["doc_id"]: [x["kind"] for x in r["secrets"]] for r in secrets.scan(docs, model).collect()}
+    assert sum(found[i] == ["format"] for i in range(80, 100)) >= 18 and not any(found[i] for i in range(100, 120))
+
+
 def test_automaton_prefers_its_own_format():
     own = secrets.Automaton.infer([f"ab{i:04d}cd" for i in range(200)])
     other = secrets.Automaton.infer(["wordlike" + "x" * (i % 5) for i in range(200)])
@@ -103,11 +129,17 @@ def test_warc_detects_damage():
     good = warc.record(1, "u", b"payload", __import__("hashlib").sha1(b"payload").hexdigest(), None)
     import io
 
-    assert warc.parse(next(warc.members(io.BytesIO(good + good))))["payload"] == b"payload"
+    import gzip
+
+    assert [r["payload"] for r in warc.records(io.BytesIO(good + good))] == [b"payload"] * 2
     with pytest.raises((EOFError, zlib.error)):
-        list(warc.members(io.BytesIO(good[:-9])))
-    with pytest.raises(ValueError):
-        warc.parse(next(warc.members(io.BytesIO(good))).replace(b"payload\r", b"paylaod\r"))
+        list(warc.records(io.BytesIO(good[:-9])))
+    for was, now in ((b"payload\r", b"paylaod\r"), (b"payload\r", b"payload2\r"), (b"WARC/1.1", b"CRAW/1.1")):
+        with pytest.raises(ValueError):
+            list(warc.records(io.BytesIO(gzip.compress(gzip.decompress(good).replace(was, now)))))
+    big = b"x" * 3 * warc.BLOCK + b"\r\n\r\n"
+    long = warc.record(2, "u", big, __import__("hashlib").sha1(big).hexdigest(), None)
+    assert [len(r["payload"]) for r in warc.records(io.BytesIO(long + good + long))] == [len(big), 7, len(big)]
 
 
 def test_decontamination(spark, tiny, docs, odd):
@@ -126,12 +158,16 @@ def test_toxicity(spark, tiny, odd):
     got = entries.op4_toxicity(spark, tiny).collect()
     assert all(r["held_out"] == brute.held(r["doc_id"], 5, 0) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
     gram = toxicity.Grammar(dict.fromkeys(toxicity.INSULTS, 1.0))
-    named = lambda t: {toxicity.PATTERNS[i] for i, v in enumerate(gram.features(t)[: len(toxicity.PATTERNS)]) if v}
+    named = lambda t: {list(toxicity.PATTERNS.values())[i] for i, v in enumerate(gram.features(t)[: len(toxicity.PATTERNS)]) if v}
     assert named("You are an idiot.") == {"insult_target"}
     assert named("He is not an idiot.") == {"insult_negated"}
     assert named("The paper said, idiot") == {"insult_reported"}
     assert named("I will destroy you") == {"threat_target"}
     assert named("idiotic scumbags") == set()
+    assert named("Drop dead") == {"threat"} and named("drop it, dead wood") == set()
+    assert named("an idiot at work for you") == {"insult_target"} and named("an idiot at work all day long for you") == {"insult"}
+    assert named("You said he is not a clown but such a very big idiot") == {"insult_negated", "insult_reported"} and gram.features("he is not a clown")[-2] == 0
+    assert len(gram.patterns.table) < 200
     labels = spark.createDataFrame([(0, 1), (1, 0), (4, None)], "doc_id long, toxic int")
     assert toxicity.score(odd, toxicity.fit(odd, labels)).count() == odd.count()
     assert toxicity.score(odd, toxicity.fit(odd, labels.limit(0))).count() == odd.count()
@@ -141,7 +177,8 @@ def test_toxicity_held_out(spark):
     d = "/root/testdata/sf0.01"
     y = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
     got = [(y[r["doc_id"]], r["predicted"]) for r in entries.op4_toxicity(spark, d).collect() if r["held_out"] and y.get(r["doc_id"]) is not None]
-    assert sum(a == b for a, b in got) / len(got) > 0.9
+    toxic, clean = [p for t, p in got if t == 1], [p for t, p in got if t == 0]
+    assert sum(toxic) / len(toxic) > 0.6 and sum(clean) / len(clean) < 0.03
 
 
 def test_pii(spark, tiny, docs, odd):
@@ -155,14 +192,14 @@ def test_pii(spark, tiny, docs, odd):
 
 
 def test_pii_finds_what_shares_a_context(spark):
-    rows = [(i, f"please call 41111111{i:08d} today") for i in range(100, 160)]
-    valid = [(i, t) for i, t in rows if brute.luhn(t.split()[2])]
-    fixed = [(i, f"account {''.join(c)} here") for i, c in enumerate(["4539578763621486", "4485275742308327", "4929722653797141", "4716058695718284", "4556737586899855", "4916338506082832"])]
-    new = [(99, "account 12345678901 here"), (98, "of 98765432101 things")]
-    got = pii.extract(spark.createDataFrame(fixed + new + valid[:0], "doc_id long, text string"))
+    cards = [n for n in range(4111111100000000, 4111111100000400) if brute.luhn(str(n))][:24]
+    rows = [(i, f"account {n} here") for i, n in enumerate(cards)] + [(i, f"of {n} things and ticket{i} no") for i, n in enumerate(range(7000, 7040), 100)]
+    rows += [(98, "of 98765432101 things"), (99, "account 12345678901 here"), (97, f"{'w' * 80} 12 and account 4421"), (96, "account"), (95, None)]
+    rows += [(i, f"{'w' * 80} {n} x") for i, n in enumerate(cards, 200)]
+    got = pii.extract(spark.createDataFrame(rows, "doc_id long, text string"))
     kinds = {r["doc_id"]: [e["kind"] for e in r["entities"]] for r in got.collect()}
-    assert kinds[98] == []
-    assert kinds[99] in ([], ["context"])
+    assert kinds[98] == [] and kinds[99] == ["context"] and kinds[97] == ["context"] * 2 and kinds[96] == kinds[95] == []
+    assert all(kinds[i] == ["card"] for i in range(24)) and not any(kinds[i] for i in range(100, 140))
 
 
 def test_packing(spark, tiny, docs):
@@ -171,7 +208,6 @@ def test_packing(spark, tiny, docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     by, seqs, total = {}, {}, 0
     for r in entries.op6_packing(spark, tiny).collect():
         by.setdefault(r["doc_id"], []).append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
@@ -197,8 +233,7 @@ def test_words_are_encoded_as_whole_texts(text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    own = packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    own = packing.with_added(packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN), public_tokenizers.path("byte_bpe_50k.json"))
     assert np.frombuffer(own(text), dtype="<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
@@ -380,3 +415,35 @@ def test_jaccard_large_groups_of_near_copies(spark):
     assert _rows(jaccard.jaccard_components(docs), "doc_id", "n_shingles", "component_id") == want
     assert len({c for *_, c in want}) > 100
     assert _rows(jaccard.jaccard_components(docs, levels=1), "doc_id", "n_shingles", "component_id") == want
+
+
+def test_components_and_paths_that_do_not_end_raise(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components(chain, rounds=2)
+    nodes = spark.createDataFrame([(f"n{i}", f"n{i - 1}" if i else None, 0.0) for i in range(20)], "node string, parent string, score double")
+    with pytest.raises(RuntimeError):
+        chat.best_paths(nodes, max_rounds=3)
+
+
+def test_columns_of_clashing_names_keep_their_values(spark, tiny):
+    """Columns named like those that the operators and stages make."""
+    import corpus_pipeline
+
+    names = ("kept", "cleaned", "n_words", "secrets", "_found", "_own", "seq", "at", "each", "_r0", "token", "doc", "key", "component_id", "spans", "w")
+    line = "This is an ordinary sentence of a clean document, " + " ".join(f"w{i}" for i in range(60)) + ". password=abcdefgh12345678"
+    docs = spark.createDataFrame([(1, line, "en", "s", len(line), *names), (2, line, "en", "s", len(line), *names), (3, None, None, None, None, *names)], DOCS + "".join(f", {n} string" for n in names))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, tiny)
+        assert got.columns == docs.columns and got.count() > 0
+        assert all(tuple(r[n] for n in names) == names for r in got.collect())
+    assert {r["doc_id"]: r["n_chars"] for r in corpus_pipeline.secret_stage(spark, docs, tiny).collect()} == {1: len(line) - len("password=abcdefgh12345678") + len("[SECRET]"), 2: len(line) - len("password=abcdefgh12345678") + len("[SECRET]"), 3: None}
+    assert corpus_pipeline.packing_stage(spark, docs, tiny).count() == 3
+    for made in (toxicity.score(docs.withColumn("score", docs.n_chars), toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))), langid.predict(docs.withColumn("score", docs.n_chars), langid.fit(docs))):
+        assert all(tuple(r[n] for n in names) == names and 0 <= r["score"] <= 1 for r in made.collect())
+    import public_tokenizers
+
+    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    for n in names:
+        cut = cut.selectExpr("*", f"'{n}' as {n}")
+    assert all(tuple(r[n] for n in names) == names for r in packing.pack(cut).collect())
