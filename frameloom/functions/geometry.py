@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPS = 1e-8
@@ -49,30 +49,44 @@ def finger_curl(hand: Column, finger: str) -> Column:
     return clamp(1 - (joint_angle(p[0], p[1], p[2]) + joint_angle(p[1], p[2], p[3])) / (2 * math.pi))
 
 
-def grasp(hand: Column) -> Column:
-    """Struct (grasp_type, confidence) of a hand of 21 points; unknown at 0 for fewer."""
+def grasp_measures(hand: Column) -> Column:
+    """Struct of what grasp_rules() looks at: the five curls, and distances in units of the hand."""
     p = lambda i: F.get(hand, F.lit(i))
     scale = dist(p(0), p(12)) + 1e-6
-    pinch = dist(p(4), p(8)) / scale
-    spread = (dist(p(8), p(12)) + dist(p(12), p(16)) + dist(p(16), p(20))) / (3 * scale)
-    curl = {f: finger_curl(hand, f) for f in FINGERS}
-    mean = (curl["index"] + curl["middle"] + curl["ring"] + curl["pinky"]) / 4
-    others = (curl["middle"] + curl["ring"] + curl["pinky"]) / 3
-    side = segment_distance(p(4), p(5), p(6)) / scale
+    return F.struct(
+        *[finger_curl(hand, f).alias(f) for f in FINGERS],
+        (dist(p(4), p(8)) / scale).alias("tips"),
+        ((dist(p(8), p(12)) + dist(p(12), p(16)) + dist(p(16), p(20))) / (3 * scale)).alias("spread"),
+        (segment_distance(p(4), p(5), p(6)) / scale).alias("side"),
+        F.coalesce(F.size(hand), F.lit(0)).alias("n_points"),
+    )
+
+
+def grasp_rules(m: dict[str, Column]) -> Column:
+    """Struct (grasp_type, confidence) from grasp_measures(); unknown at 0 for fewer than 21 points. The thresholds are fixed values."""
+    mean = (m["index"] + m["middle"] + m["ring"] + m["pinky"]) / 4
+    others = (m["middle"] + m["ring"] + m["pinky"]) / 3
     of = lambda name, v: F.struct(F.lit(name).alias("grasp_type"), v.cast("double").alias("confidence"))
     sure = lambda v: F.greatest(F.lit(0.4), F.least(F.lit(1.0), v))
     return (
-        F.when(F.coalesce(F.size(hand), F.lit(0)) < 21, of("unknown", F.lit(0.0)))
-        .when((mean < 0.3) & (spread > 0.25), of("no_contact", F.least(F.lit(1.0), 0.5 + (0.3 - mean) + spread)))
-        .when((pinch < 0.25) & (others < 0.6), of("pinch", sure((0.25 - pinch) * 4)))
-        .when((mean > 0.7) & (curl["thumb"] > 0.5), of("power", sure(mean)))
-        .when((side < 0.12) & (curl["index"] > 0.4), of("lateral", sure((0.12 - side) * 8)))
-        .when((mean > 0.5) & (curl["thumb"] < 0.3), of("hook", sure(mean * 0.8)))
-        .when((mean > 0.3) & (spread > 0.2), of("spherical", sure(spread * 2)))
+        F.when(m["n_points"] < 21, of("unknown", F.lit(0.0)))
+        .when((mean < 0.3) & (m["spread"] > 0.25), of("no_contact", F.least(F.lit(1.0), 0.5 + (0.3 - mean) + m["spread"])))
+        .when((m["tips"] < 0.25) & (others < 0.6), of("pinch", sure((0.25 - m["tips"]) * 4)))
+        .when((mean > 0.7) & (m["thumb"] > 0.5), of("power", sure(mean)))
+        .when((m["side"] < 0.12) & (m["index"] > 0.4), of("lateral", sure((0.12 - m["side"]) * 8)))
+        .when((mean > 0.5) & (m["thumb"] < 0.3), of("hook", sure(mean * 0.8)))
+        .when((mean > 0.3) & (m["spread"] > 0.2), of("spherical", sure(m["spread"] * 2)))
         .otherwise(of("unknown", F.lit(0.3)))
     )
 
 
+def with_grasp(rows: DataFrame, hand: str) -> DataFrame:
+    """rows with the curls thumb to pinky, grasp_type and confidence of a hand. The measures come from a generator, so each is worked out once and not copied into every rule."""
+    names = [*FINGERS, "tips", "spread", "side", "n_points"]
+    out = rows.select(*[c for c in rows.columns if c not in (*names, "grasp_type", "confidence")], F.inline(F.array(grasp_measures(F.col(hand)))))
+    return out.select(*[c for c in out.columns if c not in names[5:]], F.inline(F.array(grasp_rules({n: F.col(n) for n in names}))))
+
+
 def box(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.struct(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
 
@@ -121,14 +135,26 @@ def contact_score(overlap: Column, depth_diff: Column, tips: Column) -> Column:
 
 
 def ncc(a: Column, b: Column) -> Column:
-    """Normalised cross-correlation of two arrays of equal length, clipped to [0, 1]."""
+    """Normalised cross-correlation of two arrays of equal length, clipped to [0, 1]: by sums that one pass over both gathers."""
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in ("a", "b", "aa", "bb", "ab")])
+    pairs = F.zip_with(a, b, lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")))
+
+    def add(s: Column, p: Column) -> Column:
+        x, y = p["x"], p["y"]
+        return F.struct((s["a"] + x).alias("a"), (s["b"] + y).alias("b"), (s["aa"] + x * x).alias("aa"), (s["bb"] + y * y).alias("bb"), (s["ab"] + x * y).alias("ab"))
+
     n = F.size(a)
-    mean = lambda v: F.aggregate(v, F.lit(0.0), lambda s, x: s + x) / n
+    std = lambda sq, v: F.greatest(F.sqrt(F.greatest(sq / n - (v / n) * (v / n), F.lit(0.0))), F.lit(EPS))
+    return F.aggregate(pairs, zero, add, lambda s: clamp((s["ab"] / n - (s["a"] / n) * (s["b"] / n)) / (std(s["aa"], s["a"]) * std(s["bb"], s["b"]))))
 
-    def z(v: Column) -> Column:
-        m = mean(v)
-        dev = F.transform(v, lambda x: x - m)
-        std = F.sqrt(F.aggregate(dev, F.lit(0.0), lambda s, x: s + x * x) / n)
-        return F.transform(dev, lambda x: x / F.greatest(std, F.lit(EPS)))
 
-    return clamp(mean(F.zip_with(z(a), z(b), lambda x, y: x * y)))
+def orientation(hand: Column) -> Column:
+    """Struct (roll, pitch, yaw) of a hand of 21 points, from the wrist, the knuckles of index, middle and little finger; null for fewer points."""
+    p = lambda i: F.get(hand, F.lit(i))
+    wrist = p(0)
+    to = lambda i: (p(i)["x"] - wrist["x"], p(i)["y"] - wrist["y"])
+    (ix, iy), (px, py), (mx, my) = to(5), to(17), to(9)
+    norm = lambda x, y: F.sqrt(x * x + y * y) + EPS
+    roll = F.acos(clamp(ix / norm(ix, iy) * (px / norm(px, py)) + iy / norm(ix, iy) * (py / norm(px, py)), -1.0, 1.0))
+    rpy = F.struct(roll.alias("roll"), F.atan2(ix * py - iy * px, norm(mx, my)).alias("pitch"), F.atan2(my, mx).alias("yaw"))
+    return F.when(F.size(hand) >= 21, rpy)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from frameloom.functions.geometry import contact_score, dist, iou, tips_inside
+from frameloom.functions.geometry import area, contact_score, dist, iou, tips_inside
 
 #: Actions that are no training classes.
 NOT_TRAINED = ("idle", "transition", "unknown")
@@ -30,11 +30,37 @@ def class_weights(samples: DataFrame) -> DataFrame:
     return raw.withColumn("weight", F.col("_w") / F.avg("_w").over(every)).drop("_w")
 
 
+def class_distribution(samples: DataFrame, classes: DataFrame) -> DataFrame:
+    """(action, n) for every action of classes, zeros included."""
+    return classes.select("action").distinct().join(samples.groupBy("action").agg(F.count("*").alias("n")), "action", "left").fillna({"n": 0})
+
+
+def metadata_features(segs: DataFrame) -> DataFrame:
+    """segs (with path_length, max_velocity, grasp_events) with features: twelve numbers, floats for training."""
+    is_hand = lambda h: F.when(F.col("hand_used") == h, 1.0).otherwise(0.0)
+    parts = ["confidence_avg", "confidence_min", "duration", "frames_analyzed", is_hand("right"), is_hand("left"), is_hand("both"), F.size("objects"), F.size("phases"), "path_length", "max_velocity", "grasp_events"]
+    return segs.withColumn("features", F.array(*[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("float"), F.lit(0.0).cast("float")) for c in parts]))
+
+
+#: Rows of the split's histogram of hashes: its size doesn't depend on the samples.
+SPLIT_BUCKETS = 4096
+
+
 def train_val_split(samples: DataFrame, *key: str, split: float = 0.2, seed: int = 42) -> DataFrame:
-    """samples with is_validation: exactly max(1, int(n * split)) rows, those with the smallest hashes. The limit is taken by merging each task's smallest, not by sorting all."""
-    n = max(1, int(samples.count() * split))
-    chosen = samples.select(*key).orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n).withColumn("is_validation", F.lit(True))
-    return samples.join(chosen, list(key), "left").fillna({"is_validation": False})
+    """samples with is_validation: exactly max(1, int(n * split)) rows, those with the smallest hashes.
+
+    A histogram of the hashes tells the bucket in which the border lies; buckets before it are in, and only the
+    border's own rows, one in SPLIT_BUCKETS, are put in order.
+    """
+    hashed = samples.withColumn("_h", F.xxhash64(*key, F.lit(seed))).withColumn("_b", F.floor((F.col("_h") / F.lit(2.0**64) + 0.5) * SPLIT_BUCKETS).cast("int"))
+    counts = sorted((r["_b"], r["n"]) for r in hashed.groupBy("_b").agg(F.count("*").alias("n")).collect())  # SPLIT_BUCKETS rows at most
+    left, border = max(1, int(sum(n for _, n in counts) * split)), -1
+    for border, n in counts:
+        if left <= n:
+            break
+        left -= n
+    chosen = hashed.where(F.col("_b") == border).select(*key, "_h").orderBy("_h", *key).limit(left).select(*key, F.lit(True).alias("_in"))
+    return hashed.join(F.broadcast(chosen), list(key), "left").withColumn("is_validation", (F.col("_b") < border) | F.coalesce("_in", F.lit(False))).drop("_h", "_b", "_in")
 
 
 def confusion_matrix(preds: DataFrame) -> DataFrame:
@@ -55,6 +81,13 @@ def class_metrics(matrix: DataFrame) -> DataFrame:
     return m.select("cls", "support", "precision", "recall", F.when(both > 0, 2 * F.col("precision") * F.col("recall") / both).otherwise(0.0).alias("f1"))
 
 
+def overall_metrics(matrix: DataFrame) -> DataFrame:
+    """One row: n, accuracy, and f1 as the classes' plain mean and by their support."""
+    f1 = class_metrics(matrix).agg(F.avg("f1").alias("macro_f1"), (F.sum(F.col("f1") * F.col("support")) / F.greatest(F.sum("support"), F.lit(1))).alias("weighted_f1"))
+    hit = matrix.agg(F.sum("n").alias("n"), (F.sum(F.when(F.col("true_cls") == F.col("pred_cls"), F.col("n")).otherwise(0)) / F.greatest(F.sum("n"), F.lit(1))).alias("accuracy"))
+    return hit.crossJoin(f1)
+
+
 def confused_pairs(matrix: DataFrame, threshold: float = 0.10) -> DataFrame:
     """(class_a, class_b, rate): how often a is taken for b, where that is over threshold."""
     total = F.sum("n").over(Window.partitionBy("true_cls"))
@@ -84,3 +117,21 @@ def activity_lite(hands: DataFrame) -> DataFrame:
     mean = F.aggregate(steps, F.lit(0.0), lambda a, x: a + x) / F.greatest(F.size("pixels"), F.lit(1))
     motion = 0.35 * F.least(F.lit(1.0), F.get(steps, F.lit(0)) / 50) + 0.25 * F.least(F.lit(1.0), mean / 30)
     return rows.withColumn("activity", F.when(F.col("missing"), 0.0).otherwise(F.least(F.lit(1.0), 0.4 * 0.5 + F.when(F.col("_same"), motion).otherwise(0.0)))).drop("_p", "_same")
+
+
+def activity(hands: DataFrame) -> DataFrame:
+    """hands (video_id, seq, handedness, pixels, hand_box, missing), one row per readable frame, with activity: presence, and since the frame before, if it shows the same hand, the motion of wrist and key points and the change of the box's area."""
+    w = Window.partitionBy("video_id").orderBy("seq")
+    rows = hands.withColumn("_a", area(F.col("hand_box"))).withColumns({"_p": F.lag("pixels").over(w), "_pa": F.lag("_a").over(w), "_same": ~F.lag("missing").over(w) & (F.lag("handedness").over(w) == F.col("handedness"))})
+    steps = F.zip_with("pixels", "_p", dist)
+    mean = F.aggregate(steps, F.lit(0.0), lambda a, x: a + x) / (F.size("pixels") + 1e-8)
+    grown = F.when(F.col("_pa") > 0, F.abs(F.col("_a") - F.col("_pa")) / F.col("_pa") / (1 + 1e-8)).otherwise(0.0)
+    one = F.lit(1.0)
+    motion = 0.3 * F.least(one, F.get(steps, F.lit(0)) / 50) + 0.2 * F.least(one, mean / 30) + 0.1 * F.least(one, grown / 0.3)
+    return rows.withColumn("activity", F.when(F.col("missing"), 0.0).otherwise(F.least(one, 0.4 * 0.5 + F.when(F.col("_same"), motion).otherwise(0.0)))).drop("_a", "_p", "_pa", "_same")
+
+
+def visibility(handedness: str | Column) -> Column:
+    """Class of a set of handedness labels."""
+    has = lambda h: F.array_contains(handedness, h)
+    return F.when(F.size(handedness) == 0, "no_hands").when(has("left") & has("right"), "both_full").when(has("left"), "left_only").when(has("right"), "right_only").otherwise("partial")

@@ -84,10 +84,12 @@ def transition_ranges(verdicts: DataFrame) -> DataFrame:
 
 
 def filter_stats(verdicts: DataFrame) -> DataFrame:
-    """Counts of each verdict by video and the percentage of good frames."""
-    n = lambda v: F.count_if(F.col("verdict") == v).alias(f"n_{v}")
-    out = verdicts.groupBy("video_id").agg(F.count("*").alias("total"), *map(n, ("good", "dark", "blur")))
-    return out.withColumn("good_pct", F.round(100.0 * F.col("n_good") / F.col("total"), 1))
+    """By video: frames, how many are good, dark, blurred or duplicates, transitions (in ranges), and each as a percentage of all frames."""
+    names = ("good", "dark", "blur", "duplicate")
+    out = verdicts.groupBy("video_id").agg(F.count("*").alias("total"), *[F.count_if(F.col("verdict") == v).alias(f"n_{v}") for v in names])
+    ranges = transition_ranges(verdicts).groupBy("video_id").agg(F.count("*").alias("n_transition"))
+    out = out.join(ranges, "video_id", "left").fillna({"n_transition": 0})
+    return out.select("*", *[F.round(100.0 * F.col(f"n_{v}") / F.col("total"), 1).alias(f"{v}_pct") for v in (*names, "transition")])
 
 
 def batches(frames: DataFrame, size: int = 5) -> DataFrame:
@@ -97,11 +99,11 @@ def batches(frames: DataFrame, size: int = 5) -> DataFrame:
 
 
 def estimate_cost(counts: DataFrame, backend: str = "gemini", size: int = 5) -> DataFrame:
-    """counts (video_id, total, kept) with n_batches, keep_ratio, cost_inr and each backend's cost."""
+    """counts (video_id, total, kept) with n_batches, keep_ratio, cost_inr, what the filter saved, and each backend's cost."""
     n = F.ceil(F.col("kept") / size).cast("long")
     price = PRICES.get(backend, PRICES["gemini"])
     ratio = F.round(F.coalesce(F.col("kept") / F.nullif(F.col("total"), F.lit(0)), F.lit(0.0)), 3)
-    return counts.withColumn("n_batches", n).withColumn("keep_ratio", ratio).withColumn("cost_inr", F.round(F.col("n_batches") * price, 2)).select("*", *[F.round(F.col("n_batches") * p, 2).alias(f"cost_{k}") for k, p in PRICES.items()])
+    return counts.withColumn("n_batches", n).withColumn("keep_ratio", ratio).withColumn("cost_inr", F.round(F.col("n_batches") * price, 2)).withColumn("saved_inr", F.round(F.ceil(F.col("total") / size).cast("long") * price - F.col("n_batches") * price, 2)).select("*", *[F.round(F.col("n_batches") * p, 2).alias(f"cost_{k}") for k, p in PRICES.items()])
 
 
 def unprocessed(frames: DataFrame, done: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Labels to segments: islands, absorption, idle splitting, transitions, enrichment, and the joins and sums around them.
 
-Every operator keeps video_id as its first partition key, so a chain of them shuffles once.
+Every operator keeps video_id as its first partition key.
 """
 
 from __future__ import annotations
@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from frameloom.functions.geometry import dist
+
 #: The order of phases.
 PHASES = ("reach", "grasp", "manipulate", "hold", "release", "retract")
 MIN_SEGMENT, IDLE_SPLIT, LOW_CONFIDENCE = 0.5, 2.0, 0.4
@@ -174,3 +176,24 @@ def steps(segs: DataFrame, frames: DataFrame) -> DataFrame:
     w = Window.partitionBy("video_id", "segment_id")
     out = frames_in(segs, frames).withColumn("step", F.row_number().over(w.orderBy("ts", "seq")).cast("long") - 1)
     return out.withColumn("is_first", F.col("step") == 0).withColumn("is_last", F.col("step") == F.count("*").over(w) - 1)
+
+
+def actions(episode: DataFrame) -> DataFrame:
+    """Steps of episodes (video_id, segment_id, step, handedness, pixels, missing, depth) with the action since the step before: dx, dy of the wrist if both show the same hand, dz of depth where both have it, and grasp (1 closed). A first step is all zeros."""
+    w = Window.partitionBy("video_id", "segment_id").orderBy("step")
+    was = lambda c: F.lag(c).over(w)
+    rows = episode.withColumns({"_p": was("pixels"), "_m": was("missing"), "_h": was("handedness"), "_d": was("depth")})
+    later, seen = F.col("step") > 0, ~F.col("missing")
+    same = later & seen & ~F.col("_m") & (F.col("_h") == F.col("handedness"))
+    wrist, before = F.get("pixels", F.lit(0)), F.get("_p", F.lit(0))
+    tips = dist(F.get("pixels", F.lit(4)), F.get("pixels", F.lit(8)))
+    or_zero = lambda when, c: F.coalesce(F.when(when, c), F.lit(0.0))
+    out = rows.withColumns({"dx": or_zero(same, wrist["x"] - before["x"]), "dy": or_zero(same, wrist["y"] - before["y"]), "dz": or_zero(later & seen & ~F.col("_m"), F.col("depth") - F.col("_d")), "grasp": or_zero(later & seen, 1 - F.least(tips / 100, F.lit(1.0)))})
+    return out.drop("_p", "_m", "_h", "_d")
+
+
+def clip_frames(segs: DataFrame, n: int = 16, fps: float = 30.0) -> DataFrame:
+    """segs with frame_indices: n evenly spaced frames from start to end; a shorter segment repeats its last. One without a frame has none."""
+    s, e = F.floor(F.col("start_time") * fps).cast("long"), F.floor(F.col("end_time") * fps).cast("long")
+    at = lambda i: F.when(e - s >= n, F.floor(s + i * (e - 1 - s) / float(max(1, n - 1))).cast("long")).otherwise(F.least(s + i, e - 1))
+    return segs.withColumn("frame_indices", F.when(e > s, F.transform(F.sequence(F.lit(0), F.lit(n - 1)), at)).otherwise(F.expr("cast(array() as array<bigint>)")))

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .segments import frames_in
+
 #: Quadratic least squares over five samples, by place in the window, in 35ths.
 SMOOTH = ((31, 9, -3, -5, 3), (9, 13, 12, 6, -5), (-3, 12, 17, 12, -3), (-5, 6, 12, 13, 9), (3, -5, -3, 9, 31))
 MAX_GAP = 5
@@ -54,11 +56,13 @@ def derivative(rows: DataFrame, dt: float, **named: str) -> DataFrame:
     return rows.select("*", *[((F.col(v) - F.lag(v).over(w)) / dt).alias(k) for k, v in named.items()])
 
 
-def path_summary(rows: DataFrame, x: str, y: str, dt: float) -> DataFrame:
-    """(video_id, handedness, n_samples, path_length, max_velocity)."""
-    steps = derivative(rows, 1.0, _dx=x, _dy=y)
-    step = F.sqrt(F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy"))
-    return steps.groupBy("video_id", "handedness").agg(F.count("*").alias("n_samples"), F.coalesce(F.sum(step), F.lit(0.0)).alias("path_length"), F.coalesce(F.max(step) / dt, F.lit(0.0)).alias("max_velocity"))
+def path_summary(moving: DataFrame) -> DataFrame:
+    """(video_id, handedness, n_samples, path_length, max_velocity) of rows with x, y, vx, vy."""
+    w = series()
+    dx, dy = (F.col(c) - F.lag(c).over(w) for c in ("x", "y"))
+    step, speed = F.sqrt(F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy")), F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy"))
+    steps = moving.withColumns({"_dx": dx, "_dy": dy})
+    return steps.groupBy("video_id", "handedness").agg(F.count("*").alias("n_samples"), F.coalesce(F.sum(step), F.lit(0.0)).alias("path_length"), F.coalesce(F.max(speed), F.lit(0.0)).alias("max_velocity"))
 
 
 def grasp_signal(rows: DataFrame, distance: str) -> DataFrame:
@@ -78,3 +82,48 @@ def grasp_events(rows: DataFrame) -> DataFrame:
     kind = F.when((was < 0.5) & (F.col("grasp") >= 0.5), "close").when((was >= 0.5) & (F.col("grasp") < 0.5), "open")
     found = rows.withColumn("event_type", kind).where("event_type is not null")
     return found.select("video_id", "handedness", "ts", "event_type", F.round(F.lead("ts").over(w) - F.col("ts"), 4).alias("duration_to_next"))
+
+
+def motion(rows: DataFrame, dt: float) -> DataFrame:
+    """rows (x, y smoothed) with vx, vy, ax, ay: each a difference over dt, then smoothed itself. A track's first sample has no velocity and its first two no acceleration."""
+    out = rows
+    for names in ({"vx": "x", "vy": "y"}, {"ax": "vx", "ay": "vy"}):
+        made = derivative(out, dt, **names)
+        there = made.where(F.col(next(iter(names))).isNotNull())
+        smoothed = smooth(there.select("video_id", "handedness", "seq", *names), *names)
+        out = out.join(smoothed, ["video_id", "handedness", "seq"], "left")
+    return out
+
+
+def median_dt(rows: DataFrame, default: float = 0.5) -> DataFrame:
+    """(video_id, dt): the median step between the times of a video's samples; default for fewer than two, 1 where it isn't positive."""
+    w = Window.partitionBy("video_id").orderBy("ts")
+    step = rows.select("video_id", (F.col("ts") - F.lag("ts").over(w)).alias("_d")).groupBy("video_id").agg(F.percentile("_d", F.lit(0.5)).alias("_m"))
+    return step.select("video_id", F.when(F.col("_m").isNull(), default).when(F.col("_m") <= 0, 1.0).otherwise(F.col("_m")).alias("dt"))
+
+
+def tracked(rows: DataFrame, value: str = "x", least: int = 2) -> DataFrame:
+    """(video_id, handedness) of hands that are seen often enough to have a track."""
+    return rows.groupBy("video_id", "handedness").agg(F.count(value).alias("_n")).where(F.col("_n") >= least).select("video_id", "handedness")
+
+
+def smoothness(moving: DataFrame) -> DataFrame:
+    """(video_id, handedness, smoothness): 1 less a hundredth of the mean jerk, not under 0; a half with fewer than two accelerations."""
+    w = series()
+    d = lambda c: F.col(c) - F.lag(c).over(w)
+    jerk = moving.where("ax is not null").withColumn("_j", F.sqrt(d("ax") * d("ax") + d("ay") * d("ay")))
+    mean = jerk.groupBy("video_id", "handedness").agg(F.avg("_j").alias("_j"))
+    return mean.select("video_id", "handedness", F.coalesce(F.greatest(F.lit(0.0), 1 - F.col("_j") / 100), F.lit(0.5)).alias("smoothness"))
+
+
+def segment_summary(segs: DataFrame, samples: DataFrame, paths: DataFrame, events: DataFrame) -> DataFrame:
+    """segs (video_id, segment_id, start_time, end_time) with path_length, max_velocity and grasp_events.
+
+    The first two are the largest of the whole-video paths (video_id, handedness, path_length, max_velocity) of hands with
+    a sample (video_id, handedness, ts) in the segment; events (video_id, ts) are counted. Both ends belong to a segment.
+    """
+    key = ["video_id", "segment_id"]
+    met = frames_in(segs.select(*key, "start_time", "end_time"), samples.select("video_id", "handedness", "ts")).select(*key, "handedness").distinct()
+    path = met.join(paths, ["video_id", "handedness"]).groupBy(*key).agg(F.max("path_length").alias("path_length"), F.max("max_velocity").alias("max_velocity"))
+    n = frames_in(segs.select(*key, "start_time", "end_time"), events.select("video_id", "ts")).groupBy(*key).agg(F.count("*").alias("grasp_events"))
+    return segs.join(path, key, "left").join(n, key, "left").fillna({"path_length": 0.0, "max_velocity": 0.0, "grasp_events": 0})

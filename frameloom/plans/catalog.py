@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameloom.functions import geometry as g
-from frameloom.operators import evaluate, frames, segments, tracks
+from frameloom.operators import evaluate, frames, scoring, segments, tracks
 from frameloom.sources import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,11 +106,15 @@ def transition_ranges(spark, d):
     return frames.transition_ranges(frames.filter_frames(v.frames(spark, d)))
 
 
-@query(f"""{F_SQL}, x AS (SELECT video_id, CASE WHEN brightness < 30 OR brightness > 240 THEN 'dark' WHEN lapvar < 50 THEN 'blur' ELSE 'good' END AS verdict FROM frames)
-SELECT video_id, count(*) AS total, count(*) FILTER (verdict = 'good') AS n_good, count(*) FILTER (verdict = 'dark') AS n_dark, count(*) FILTER (verdict = 'blur') AS n_blur,
-round(100e0 * count(*) FILTER (verdict = 'good') / count(*), 1) AS good_pct FROM x GROUP BY 1""")
+_STATS_SQL = f"""{_DEDUP_SQL}, runs AS (SELECT *, sum(CASE WHEN verdict = 'transition' THEN 0 ELSE 1 END) OVER (PARTITION BY video_id ORDER BY seq) AS run FROM verdicts WHERE verdict IN ('good', 'transition')),
+tr AS (SELECT video_id, count(DISTINCT run) AS n_transition FROM runs WHERE verdict = 'transition' GROUP BY 1),
+stats AS (SELECT video_id, count(*) AS total, count(*) FILTER (verdict = 'good') AS n_good, count(*) FILTER (verdict = 'dark') AS n_dark, count(*) FILTER (verdict = 'blur') AS n_blur, count(*) FILTER (verdict = 'duplicate') AS n_duplicate FROM verdicts GROUP BY 1),
+st AS (SELECT stats.*, coalesce(n_transition, 0) AS n_transition FROM stats LEFT JOIN tr USING (video_id))"""
+
+
+@query(f"""{_STATS_SQL} SELECT *, {", ".join(f"round(100e0 * n_{x} / total, 1) AS {x}_pct" for x in ("good", "dark", "blur", "duplicate", "transition"))} FROM st""")
 def filter_stats(spark, d):
-    return frames.filter_stats(frames.stateless_verdict(v.frames(spark, d)))
+    return frames.filter_stats(frames.filter_frames(v.frames(spark, d)))
 
 
 @query(f"""{F_SQL} SELECT video_id, batch_id, count(*) AS n_frames, min(ts) AS start, max(ts) AS "end" FROM (SELECT video_id, ts, seq // 5 AS batch_id FROM frames) GROUP BY 1, 2""")
@@ -118,12 +122,12 @@ def frame_batches(spark, d):
     return frames.batches(v.frames(spark, d))
 
 
-@query(f"""{F_SQL}, c AS (SELECT video_id, count(*) AS total, count(*) FILTER (brightness BETWEEN 30 AND 240 AND lapvar >= 50) AS kept FROM frames GROUP BY 1),
+@query(f"""{_STATS_SQL}, c AS (SELECT video_id, total, n_good AS kept FROM st),
 n AS (SELECT *, CAST(ceil(kept / 5e0) AS BIGINT) AS n_batches FROM c)
-SELECT video_id, total, kept, n_batches, round(kept / CAST(total AS DOUBLE), 3) AS keep_ratio, round(n_batches * 0.05e0, 2) AS cost_inr, round(n_batches * 0.05e0, 2) AS cost_gemini,
+SELECT video_id, total, kept, n_batches, round(kept / CAST(total AS DOUBLE), 3) AS keep_ratio, round(n_batches * 0.05e0, 2) AS cost_inr, round(CAST(ceil(total / 5e0) AS BIGINT) * 0.05e0 - n_batches * 0.05e0, 2) AS saved_inr, round(n_batches * 0.05e0, 2) AS cost_gemini,
 round(n_batches * 0.08e0, 2) AS cost_claude_haiku, round(n_batches * 0.1e0, 2) AS cost_openai, round(n_batches * 0.35e0, 2) AS cost_claude_sonnet FROM n""")
 def cost_estimate(spark, d):
-    s = frames.filter_stats(frames.stateless_verdict(v.frames(spark, d)))
+    s = frames.filter_stats(frames.filter_frames(v.frames(spark, d)))
     return frames.estimate_cost(s.select("video_id", "total", F.col("n_good").alias("kept")))
 
 
@@ -155,10 +159,23 @@ def hand_bbox(spark, d):
     return _boxed(spark, d).select("video_id", "seq", *[F.round(b[c], 6).alias(c) for c in ("x1", "y1", "x2", "y2")], F.round(g.area(b), 4).alias("area"), g.centre(b)["x"].alias("cx"), g.centre(b)["y"].alias("cy"))
 
 
-@query()
+def _angle_sql(a: int, b: int, c: int) -> str:
+    ax, ay, cx, cy = (f"(pixels[{i + 1}].{d} - pixels[{b + 1}].{d})" for i, d in ((a, "x"), (a, "y"), (c, "x"), (c, "y")))
+    return f"acos(least(greatest(({ax} * {cx} + {ay} * {cy}) / (sqrt({ax} * {ax} + {ay} * {ay}) * sqrt({cx} * {cx} + {cy} * {cy}) + 1e-8), -1), 1))"
+
+
+_P = lambda i, j: f"sqrt((pixels[{i + 1}].x - pixels[{j + 1}].x) ** 2 + (pixels[{i + 1}].y - pixels[{j + 1}].y) ** 2)"
+_CURLS_SQL = ", ".join(f"least(greatest(1 - ({_angle_sql(*j[:3])} + {_angle_sql(*j[1:])}) / (2 * pi()), 0), 1) AS {f}" for f, j in g.FINGERS.items())
+_GRASP_RULES_SQL = f"""{H_SQL}, m0 AS (SELECT video_id, seq, pixels, {_CURLS_SQL}, {_P(0, 12)} + 1e-6 AS scale, pixels[5].x AS px, pixels[5].y AS py, pixels[6].x AS ax, pixels[6].y AS ay, pixels[7].x - pixels[6].x AS dx, pixels[7].y - pixels[6].y AS dy FROM hands_v),
+m1 AS (SELECT *, {_P(4, 8)} / scale AS tips, ({_P(8, 12)} + {_P(12, 16)} + {_P(16, 20)}) / (3 * scale) AS spread, coalesce(least(greatest(((px - ax) * dx + (py - ay) * dy) / nullif(dx * dx + dy * dy, 0), 0), 1), 0) AS t, ("index" + middle + ring + pinky) / 4 AS mc, (middle + ring + pinky) / 3 AS oc FROM m0),
+m AS (SELECT *, sqrt((px - (ax + t * dx)) ** 2 + (py - (ay + t * dy)) ** 2) / scale AS side FROM m1),
+r AS (SELECT *, CASE WHEN mc < 0.3e0 AND spread > 0.25e0 THEN 'no_contact' WHEN tips < 0.25e0 AND oc < 0.6e0 THEN 'pinch' WHEN mc > 0.7e0 AND thumb > 0.5e0 THEN 'power' WHEN side < 0.12e0 AND "index" > 0.4e0 THEN 'lateral' WHEN mc > 0.5e0 AND thumb < 0.3e0 THEN 'hook' WHEN mc > 0.3e0 AND spread > 0.2e0 THEN 'spherical' ELSE 'unknown' END AS grasp_type FROM m)"""
+
+
+@query(f"""{_GRASP_RULES_SQL} SELECT video_id, seq, grasp_type, round(CASE grasp_type WHEN 'no_contact' THEN least(1, 0.5e0 + (0.3e0 - mc) + spread) WHEN 'unknown' THEN 0.3e0 ELSE greatest(0.4e0, least(1, CASE grasp_type WHEN 'pinch' THEN (0.25e0 - tips) * 4 WHEN 'power' THEN mc WHEN 'lateral' THEN (0.12e0 - side) * 8 WHEN 'hook' THEN mc * 0.8e0 ELSE spread * 2 END)) END, 6) AS confidence, {", ".join(f'round("{f}", 6) AS "{f}"' for f in g.FINGERS)} FROM r""")
 def finger_curl_grasp(spark, d):
-    h = v.hands(spark, d).withColumn("g", g.grasp(F.col("pixels")))
-    return h.select("video_id", "seq", "g.grasp_type", F.round("g.confidence", 6).alias("confidence"), *[F.round(g.finger_curl(F.col("pixels"), f), 6).alias(f) for f in g.FINGERS])
+    h = g.with_grasp(v.hands(spark, d).select("video_id", "seq", "pixels"), "pixels")
+    return h.select("video_id", "seq", "grasp_type", r6("confidence"), *map(r6, g.FINGERS))
 
 
 @query(f"""{_BOX_SQL}, {v.OBJECTS_SQL}, pairs AS (
@@ -245,10 +262,40 @@ def savgol_smooth(spark, d):
     return tracks.smooth(tracks.fill_gaps(_wrist(spark, d), "x", None), "x").select("video_id", "handedness", "seq", r6("x"))
 
 
-@query(f"{_WRIST_SQL} SELECT video_id, handedness, seq, round((s - lag(s) OVER (PARTITION BY video_id, handedness ORDER BY seq)) / 0.5e0, 5) AS vx FROM sm")
+def _smooth_sql(name: str, src: str, *cols: str) -> str:
+    """CTE with c_s for each c, smoothed over five samples."""
+    at = lambda c, row, p: "(" + " + ".join(f"{k} * " + (c if j == p else f"lag({c}, {p - j}) OVER w" if j < p else f"lead({c}, {j - p}) OVER w") for j, k in enumerate(row)) + ") / 35e0"
+    one = lambda c: f"CASE WHEN m < 5 THEN {c} WHEN i = 1 THEN {at(c, tracks.SMOOTH[0], 0)} WHEN i = 2 THEN {at(c, tracks.SMOOTH[1], 1)} WHEN i = m - 1 THEN {at(c, tracks.SMOOTH[3], 3)} WHEN i = m THEN {at(c, tracks.SMOOTH[4], 4)} ELSE {at(c, tracks.SMOOTH[2], 2)} END AS {c}_s"
+    return f"{name} AS (SELECT *, {', '.join(map(one, cols))} FROM (SELECT *, row_number() OVER (PARTITION BY video_id, handedness ORDER BY seq) AS i, count(*) OVER (PARTITION BY video_id, handedness) AS m FROM {src}) WINDOW w AS (PARTITION BY video_id, handedness ORDER BY seq))"
+
+
+_W = "PARTITION BY video_id, handedness ORDER BY seq"
+_FILL = lambda c: f"coalesce({c}, CASE WHEN n > 1 THEN coalesce(l{c}, r{c}) + (coalesce(r{c}, l{c}) - coalesce(l{c}, r{c})) * k / (n - 1) ELSE coalesce(l{c}, r{c}) END) AS {c}"
+_MOTION_CTES = f"""wr AS (SELECT video_id, handedness, seq, ts, CASE WHEN NOT missing THEN pixels[1].x END AS x, CASE WHEN NOT missing THEN pixels[1].y END AS y, CASE WHEN NOT missing THEN sqrt((pixels[5].x - pixels[9].x) ** 2 + (pixels[5].y - pixels[9].y) ** 2) END AS pinch FROM hands_v),
+rn AS (SELECT *, count(x) OVER ({_W}) AS run FROM wr),
+gp AS (SELECT *, count(*) OVER (PARTITION BY video_id, handedness, run, x IS NULL) AS n, row_number() OVER (PARTITION BY video_id, handedness, run, x IS NULL ORDER BY seq) - 1 AS k,
+  {", ".join(f"last_value({c} IGNORE NULLS) OVER ({_W} ROWS UNBOUNDED PRECEDING) AS l{c}, first_value({c} IGNORE NULLS) OVER ({_W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS r{c}" for c in "xy")} FROM rn),
+fl AS (SELECT video_id, handedness, seq, ts, pinch, {_FILL("x")}, {_FILL("y")} FROM gp),
+{_smooth_sql("pos", "fl", "x", "y")},
+v0 AS (SELECT * FROM (SELECT video_id, handedness, seq, ts, (x_s - lag(x_s) OVER ({_W})) / 0.5e0 AS vx, (y_s - lag(y_s) OVER ({_W})) / 0.5e0 AS vy FROM pos) WHERE vx IS NOT NULL),
+{_smooth_sql("vel", "v0", "vx", "vy")},
+a0 AS (SELECT * FROM (SELECT video_id, handedness, seq, ts, (vx_s - lag(vx_s) OVER ({_W})) / 0.5e0 AS ax, (vy_s - lag(vy_s) OVER ({_W})) / 0.5e0 AS ay FROM vel) WHERE ax IS NOT NULL),
+{_smooth_sql("acc", "a0", "ax", "ay")},
+stp AS (SELECT video_id, handedness, sqrt((x_s - lag(x_s) OVER ({_W})) ** 2 + (y_s - lag(y_s) OVER ({_W})) ** 2) AS step FROM pos),
+pth AS (SELECT p.video_id, p.handedness, n_samples, path_length, coalesce(max_velocity, 0) AS max_velocity FROM (SELECT video_id, handedness, count(*) AS n_samples, coalesce(sum(step), 0) AS path_length FROM stp GROUP BY 1, 2) p
+  LEFT JOIN (SELECT video_id, handedness, max(sqrt(vx_s ** 2 + vy_s ** 2)) AS max_velocity FROM vel GROUP BY 1, 2) q ON p.video_id = q.video_id AND p.handedness = q.handedness)"""
+
+
+def _motion(spark, d):
+    rows = _wrist(spark, d)
+    filled = tracks.fill_gaps(tracks.fill_gaps(rows, "x", None), "y", None)
+    return tracks.motion(tracks.smooth(filled, "x", "y"), 0.5)
+
+
+@query(f"""{H_SQL}, {_MOTION_CTES} SELECT pos.video_id, pos.handedness, pos.seq, {", ".join(f"round({c}_s, 5) AS {c}" for c in ("vx", "vy", "ax", "ay"))} FROM pos
+LEFT JOIN vel ON vel.video_id = pos.video_id AND vel.handedness = pos.handedness AND vel.seq = pos.seq LEFT JOIN acc ON acc.video_id = pos.video_id AND acc.handedness = pos.handedness AND acc.seq = pos.seq""")
 def derivatives(spark, d):
-    x = tracks.smooth(tracks.fill_gaps(_wrist(spark, d), "x", None), "x")
-    return tracks.derivative(x, 0.5, vx="x").select("video_id", "handedness", "seq", F.round("vx", 5).alias("vx"))
+    return _motion(spark, d).select("video_id", "handedness", "seq", *[F.round(c, 5).alias(c) for c in ("vx", "vy", "ax", "ay")])
 
 
 _GRASP_SQL = f"""{_WRIST_SQL}, p AS (SELECT video_id, handedness, quantile_cont(pinch, 0.05e0) AS p5, quantile_cont(pinch, 0.95e0) AS p95, count(pinch) AS valid FROM wrist GROUP BY 1, 2),
@@ -267,10 +314,9 @@ def grasp_events(spark, d):
     return tracks.grasp_events(tracks.grasp_signal(_wrist(spark, d), "pinch"))
 
 
-@query()
+@query(f"{H_SQL}, {_MOTION_CTES} SELECT video_id, handedness, n_samples, round(path_length, 4) AS path_length, round(max_velocity, 4) AS max_velocity FROM pth")
 def track_summary(spark, d):
-    filled = tracks.fill_gaps(tracks.fill_gaps(_wrist(spark, d), "x", None), "y", None)
-    return tracks.path_summary(tracks.smooth(filled, "x", "y"), "x", "y", 0.5).select("video_id", "handedness", "n_samples", F.round("path_length", 4).alias("path_length"), F.round("max_velocity", 4).alias("max_velocity"))
+    return tracks.path_summary(_motion(spark, d)).select("video_id", "handedness", "n_samples", F.round("path_length", 4).alias("path_length"), F.round("max_velocity", 4).alias("max_velocity"))
 
 
 # --- segments ---------------------------------------------------------------
@@ -343,12 +389,11 @@ def segment_frames_interval(spark, d):
     return out.groupBy("video_id", "segment_id").agg(F.count("*").alias("n_frames"), F.round(F.avg("brightness"), 6).alias("brightness"))
 
 
-@query(f"{_SEG_SQL} SELECT s.video_id, s.segment_id, round(0.7e0 * least(1, avg(f.lapvar) / 200) + 0.3e0 * greatest(0, 1 - stddev_pop(f.brightness) / 80), 6) AS frame_quality FROM seg s JOIN frames f ON f.video_id = s.video_id AND f.ts BETWEEN s.start_time AND s.end_time GROUP BY 1, 2")
+@query(f"{_SEG_SQL} SELECT s.video_id, s.segment_id, round(0.7e0 * least(1, avg(f.lapvar) / 200) + 0.3e0 * greatest(0, 1 - stddev_pop(f.brightness) / 80) + 1e-9, 6) AS frame_quality FROM seg s JOIN frames f ON f.video_id = s.video_id AND f.ts BETWEEN s.start_time AND s.end_time GROUP BY 1, 2")
 def quality_frame(spark, d):
-    s = _segments(spark, d).select("video_id", "segment_id", "start_time", "end_time")
-    out = segments.frames_in(s, v.frames(spark, d).select("video_id", "ts", "brightness", "lapvar"))
-    q = 0.7 * F.least(F.lit(1.0), F.avg("lapvar") / 200) + 0.3 * F.greatest(F.lit(0.0), 1 - F.stddev_pop("brightness") / 80)
-    return out.groupBy("video_id", "segment_id").agg(F.round(q, 6).alias("frame_quality"))
+    # off the ties of rounding, which engines break differently
+    q = scoring.frame_quality(_segments(spark, d), v.frames(spark, d).select("video_id", "ts", "brightness", "lapvar"))
+    return q.withColumn("frame_quality", F.round(F.col("frame_quality") + 1e-9, 6))
 
 
 @query(f"{_SEG_SQL} SELECT action, count(*) AS n_segments, sum(duration) AS total_duration, round(avg(confidence_avg), 6) AS mean_confidence FROM seg GROUP BY 1")
@@ -379,16 +424,6 @@ def review_queue(spark, d):
     return segments.review_queue(_segments(spark, d), v.frames(spark, d))
 
 
-_FQ_SQL = f"{_SEG_SQL}, fq AS (SELECT s.video_id, s.segment_id, round(0.7e0 * least(1, avg(f.lapvar) / 200) + 0.3e0 * greatest(0, 1 - stddev_pop(f.brightness) / 80), 6) AS q FROM seg s JOIN frames f ON f.video_id = s.video_id AND f.ts BETWEEN s.start_time AND s.end_time GROUP BY 1, 2)"
-
-
-@query(f"""{_FQ_SQL} SELECT video_id, round(avg(q), 6) AS mean, round(median(q), 6) AS median, min(q) AS min, max(q) AS max, round(stddev_pop(q), 6) AS std, count(*) FILTER (q >= 0.8e0) AS excellent, count(*) FILTER (q >= 0.6e0 AND q < 0.8e0) AS good,
-count(*) FILTER (q >= 0.4e0 AND q < 0.6e0) AS fair, count(*) FILTER (q >= 0.2e0 AND q < 0.4e0) AS poor, count(*) FILTER (q < 0.2e0) AS discard, count(*) AS n FROM fq WHERE q IS NOT NULL GROUP BY 1""")
-def quality_video(spark, d):
-    out = segments.score_summary(quality_frame(spark, d), "frame_quality")
-    return out.withColumns({c: F.round(c, 6) for c in ("mean", "median", "std")})
-
-
 @query(f"""{_SEG_SQL}, st AS (SELECT s.video_id, s.segment_id, f.seq, row_number() OVER (PARTITION BY s.video_id, s.segment_id ORDER BY f.ts, f.seq) - 1 AS step, count(*) OVER (PARTITION BY s.video_id, s.segment_id) AS n FROM seg s JOIN frames f ON f.video_id = s.video_id AND f.ts BETWEEN s.start_time AND s.end_time)
 SELECT video_id, segment_id, seq, step, step = 0 AS is_first, step = n - 1 AS is_last FROM st""")
 def episode_steps(spark, d):

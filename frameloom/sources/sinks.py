@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from frameloom.operators.segments import frames_in
+
 #: The file's columns, in order.
 CSV_COLUMNS = (
     "segment_id", "start_time", "end_time", "duration", "action", "description", "objects", "grasp_type", "hand",
@@ -34,3 +36,26 @@ def write_csv(segs: DataFrame, path: str, scores: DataFrame | None = None) -> No
     """CSV files with a header under path, a folder per video; rows of a file are in the order of segments."""
     rows = csv_rows(segs, scores).repartition("video_id").sortWithinPartitions("video_id", F.col("segment_id").cast("long"))
     rows.write.partitionBy("video_id").option("header", True).option("escape", '"').option("emptyValue", "").mode("overwrite").csv(path)
+
+
+def write_timeline(lines: DataFrame, path: str) -> None:
+    """Text files of the timeline (video_id, segment_id, line), a folder per video, in the order of segments."""
+    rows = lines.repartition("video_id").sortWithinPartitions("video_id", "segment_id")
+    rows.select("video_id", F.col("line").alias("value")).write.partitionBy("video_id").mode("overwrite").text(path)
+
+
+def review_documents(queue: DataFrame, frames: DataFrame) -> DataFrame:
+    """queue (video_id, segment_id, action, review_reason, start_time, end_time) as rows for JSON, each with the paths of its frames in order of time."""
+    shown = frames_in(queue.select("video_id", "segment_id", "start_time", "end_time"), frames.select("video_id", "ts", "frame_path"))
+    paths = shown.groupBy("video_id", "segment_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "frame_path"))), lambda x: x["frame_path"]).alias("frame_paths"))
+    return queue.join(paths, ["video_id", "segment_id"], "left").withColumn("frame_paths", F.coalesce("frame_paths", F.expr("cast(array() as array<string>)")))
+
+
+def write_json(rows: DataFrame, path: str) -> None:
+    """JSON lines under path, a folder per video where rows have a video_id. For review_documents(), confused pairs and class mappings."""
+    (rows.write.partitionBy("video_id") if "video_id" in rows.columns else rows.write).option("ignoreNullFields", False).mode("overwrite").json(path)
+
+
+def write_steps(steps: DataFrame, path: str) -> None:
+    """Episode steps as Parquet, a folder per video, in order within it."""
+    steps.repartition("video_id").sortWithinPartitions("video_id", "segment_id", "step").write.partitionBy("video_id").mode("overwrite").parquet(path)

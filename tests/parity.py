@@ -33,5 +33,5 @@ def difference(con, df, sql: str) -> str:
     ours = sorted((tuple(r[c] for c in cols) for r in df.collect()), key=lambda r: str(_key(r)))
     if len(ours) != len(theirs):
         return f"{len(ours)} and {len(theirs)} rows"
-    bad = [(a, b) for a, b in zip(ours, theirs, strict=True) if not all(x == y or isinstance(x, float) and isinstance(y, (float, int)) and math.isclose(x, y, rel_tol=1e-9, abs_tol=2e-6) for x, y in zip(a, b, strict=True))]
+    bad = [(a, b) for a, b in zip(ours, theirs, strict=True) if not all(x == y or isinstance(x, float) and isinstance(y, (float, int)) and math.isclose(x, y, rel_tol=1e-12, abs_tol=1e-9) for x, y in zip(a, b, strict=True))]
     return f"{len(bad)} of {len(ours)} rows differ, as {bad[0]}" if bad else ""
