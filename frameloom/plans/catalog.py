@@ -30,10 +30,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    from frameloom.plans import catalog_more  # noqa: F401  registers its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
 
 
