@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .quality import BOILERPLATE, NAVIGATION
+
 WARC = """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest FROM p),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d)
@@ -34,5 +36,30 @@ least_of AS (SELECT a, min(b) AS component_id FROM reach GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) JOIN least_of ON a = d.doc_id"""
 
 
+_QUOTED = lambda words: ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+QUALITY = rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+win AS (SELECT doc_id, s, array_to_string(w[s : s + 7], ' ') AS phrase FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS s FROM d WHERE len(w) >= 8)),
+twice AS (SELECT doc_id, s FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, phrase) > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(s, s + 8)) AS p FROM twice) GROUP BY 1),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+m AS (SELECT doc_id, i, line, len(regexp_split_to_array(trim(line, ' '), '[\x20\x09-\x0D]+')) AS words, len(regexp_extract_all(line, '[|›»·]')) AS bars, len(regexp_extract_all(line, '[#*$%&<>]+(?:\s|[.,;:!?]|$)')) AS marks, len(regexp_extract_all(line, '!!')) AS cries, lower(line) AS low FROM l),
+f AS (SELECT doc_id, i, line, bars >= 3 AND bars * 4 >= words OR length(line) <= 30 AND trim(low, ' ') IN ({_QUOTED(NAVIGATION)}) OR words >= 8 AND (marks * 4 > words OR cries * 4 > words) OR {" OR ".join(f"contains(low, {_QUOTED([p])})" for p in BOILERPLATE)} AS bad FROM m),
+c AS (SELECT doc_id, length(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT bad), '')) AS kept_chars FROM f GROUP BY 1),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1),
+b AS (SELECT d.doc_id, t, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, kept_chars
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN c USING (doc_id)),
+x AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND 100 * kept_chars >= 50 * length(t) AS kept FROM x"""
+
+_ESCAPED = r"\\|\[INST\]|\[/INST\]|\[REPLY\]|<s>|</s>"
+
+CHAT = rf"""WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+f AS (SELECT *, CASE WHEN role = 'assistant' THEN 12 ELSE 14 END + length(role) + len(regexp_extract_all(role, '{_ESCAPED}|\n')) + length(text) + len(regexp_extract_all(text, '{_ESCAPED}')) AS n FROM r)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256, CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": WARC, "op3_decontaminate": DECONTAMINATE, "op10_jaccard": JACCARD}
+    return {"op2_warc": WARC, "op3_decontaminate": DECONTAMINATE, "op7_quality": QUALITY, "op8_chat": CHAT, "op10_jaccard": JACCARD}
