@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ def train_val_split(samples: DataFrame, *key: str, split: float = 0.2, seed: int
     A histogram of the hashes tells the bucket in which the border lies; buckets before it are in, and only the
     border's own rows, one in SPLIT_BUCKETS, are put in order.
     """
-    hashed = samples.withColumn("_h", F.xxhash64(*key, F.lit(seed))).withColumn("_b", F.floor((F.col("_h") / F.lit(2.0**64) + 0.5) * SPLIT_BUCKETS).cast("int"))
+    hashed = samples.withColumn("_h", F.xxhash64(*key, F.lit(seed))).withColumn("_b", F.floor((F.col("_h") / F.lit(2.0**64) + 0.5) * SPLIT_BUCKETS).cast("int")).persist(StorageLevel.DISK_ONLY)  # read three times; a lost block is made again
     counts = sorted((r["_b"], r["n"]) for r in hashed.groupBy("_b").agg(F.count("*").alias("n")).collect())  # SPLIT_BUCKETS rows at most
     left, border = max(1, int(sum(n for _, n in counts) * split)), -1
     for border, n in counts:
