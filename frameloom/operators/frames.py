@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from frameloom.operators.folds import fold_in_order
+
 #: Price in INR of a batch, by backend; the first is taken for unknown ones.
 PRICES = {"gemini": 0.05, "claude_haiku": 0.08, "openai": 0.10, "claude_sonnet": 0.35}
 BRIGHT_LOW, BRIGHT_HIGH, ENTROPY_LOW, BLUR, DUPLICATE, FLOW, FLOW_WINDOW = 30.0, 240.0, 3.0, 50.0, 0.95, 15.0, 3
@@ -51,27 +55,34 @@ def stateless_verdict(frames: DataFrame) -> DataFrame:
     return frames.withColumn("dark_reason", reason).withColumn("verdict", F.when(F.col("brightness").isNull() | (reason != ""), "dark").when(F.col("lapvar") < BLUR, "blur").otherwise("good"))
 
 
+def judge(scale: float) -> Callable:
+    """A step over frames that passed the stateless checks: state is the last accepted brightness and the last flows."""
+
+    def step(state: tuple, brightness: float, flow: float) -> tuple:
+        last, flows = state
+        if last is not None and 1 - abs(brightness - last) / scale > DUPLICATE:
+            return state, "duplicate"
+        flows = (flow, *flows)[:FLOW_WINDOW]
+        if len(flows) == FLOW_WINDOW and all(x > FLOW for x in flows[: FLOW_WINDOW - 1]):
+            return (last, flows), "transition"
+        return (brightness, flows), "good"
+
+    return step
+
+
 def filter_frames(frames: DataFrame, scale: float = 100.0) -> DataFrame:
-    """stateless_verdict, then duplicates of the last accepted frame and transitions.
+    """stateless_verdict, then duplicates of the last accepted frame and transitions; seq is unique in a video.
 
     Whether a frame is a duplicate depends on which one was accepted last, and that on the verdicts before: a fold over
-    the frames that passed, in order, kept as a few numbers for each frame. Similarity is 1 - |difference| / scale of
-    brightness; a transition has FLOW_WINDOW surviving frames in its window, all with flow over FLOW.
+    the frames that passed, in order, whose state is a few numbers. Similarity is 1 - |difference| / scale of
+    brightness; a transition has FLOW_WINDOW surviving frames in its window, all with flow over FLOW. A flow that is
+    null or no number is 0.
     """
     judged = stateless_verdict(frames)
-    rows = judged.where("verdict = 'good'").groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("seq", "brightness", F.coalesce("flow", F.lit(0.0)).alias("flow")))).alias("rows"))
-    zero = F.struct(F.lit(None).cast("double").alias("last"), F.expr("cast(array() as array<double>)").alias("flows"), F.expr("cast(array() as array<string>)").alias("out"))
-
-    def step(a: Column, r: Column) -> Column:
-        duplicate = F.coalesce(1 - F.abs(r["brightness"] - a["last"]) / scale > DUPLICATE, F.lit(False))
-        flows = F.slice(F.concat(F.array(r["flow"]), a["flows"]), 1, FLOW_WINDOW)
-        moving = (F.size(flows) == FLOW_WINDOW) & F.forall(F.slice(flows, 1, FLOW_WINDOW - 1), lambda x: x > FLOW)
-        verdict = F.when(duplicate, "duplicate").when(moving, "transition").otherwise("good")
-        return F.struct(F.when(duplicate | moving, a["last"]).otherwise(r["brightness"]).alias("last"), F.when(duplicate, a["flows"]).otherwise(flows).alias("flows"), F.concat(a["out"], F.array(verdict)).alias("out"))
-
-    out = F.aggregate("rows", zero, step, lambda a: a["out"])
-    folded = rows.select("video_id", F.explode(F.arrays_zip(F.transform("rows", lambda r: r["seq"]).alias("seq"), out.alias("v"))).alias("x")).select("video_id", "x.seq", "x.v")
-    return judged.join(folded, ["video_id", "seq"], "left").withColumn("verdict", F.coalesce("v", "verdict")).drop("v")
+    flow = F.nanvl(F.coalesce(F.col("flow").cast("double"), F.lit(0.0)), F.lit(0.0))
+    rows = judged.where("verdict = 'good'").select("video_id", "seq", F.col("brightness").cast("double").alias("brightness"), flow.alias("flow"))
+    folded = fold_in_order(rows.repartition("video_id"), ["video_id"], ["seq"], ["brightness", "flow"], (None, ()), judge(scale), "v", "string")
+    return judged.join(folded.select("video_id", "seq", "v"), ["video_id", "seq"], "left").withColumn("verdict", F.coalesce("v", "verdict")).drop("v")
 
 
 def transition_ranges(verdicts: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.functions.geometry import dist
+from frameloom.operators.folds import fold_in_order
 
 #: The order of phases.
 PHASES = ("reach", "grasp", "manipulate", "hold", "release", "retract")
@@ -59,22 +60,22 @@ def split_idle(labels: DataFrame, threshold: float = IDLE_SPLIT) -> DataFrame:
     """labels (video_id, segment, start, end, seq) with chunk: a chunk ends before the label that would make it longer than threshold.
 
     Each chunk starts where the one before ended, so this is a fold over the labels of a run in order; a run that is no
-    longer than threshold stays whole.
+    longer than threshold stays whole. One shuffle: the fold takes the window's partitions and order.
     """
     key = ["video_id", "segment"]
-    row = F.struct("start", "seq", "end")
-    runs = labels.groupBy(*key).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    long = F.element_at("rows", -1)["end"] - F.get("rows", F.lit(0))["start"] > threshold
-    zero = F.struct(F.get("rows", F.lit(0))["start"].alias("at"), F.lit(0).cast("long").alias("chunk"), F.expr("cast(array() as array<bigint>)").alias("ids"))
-
-    def step(a: Column, r: Column) -> Column:
-        cut = (r["end"] - a["at"] > threshold) & (F.size(a["ids"]) > 0)
-        chunk = F.when(cut, a["chunk"] + 1).otherwise(a["chunk"])
-        return F.struct(F.when(cut, r["start"]).otherwise(a["at"]).alias("at"), chunk.alias("chunk"), F.concat(a["ids"], F.array(chunk)).alias("ids"))
-
-    ids = F.when(long, F.aggregate("rows", zero, step, lambda a: a["ids"])).otherwise(F.transform("rows", lambda r: F.lit(0).cast("long")))
-    cut = runs.select(*key, F.explode(F.arrays_zip(F.transform("rows", lambda r: r["seq"]).alias("seq"), ids.alias("chunk"))).alias("x"))
-    return labels.join(cut.select(*key, "x.seq", "x.chunk"), [*key, "seq"])
+    w = Window.partitionBy(*key).orderBy("start", "seq")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = labels.withColumn("_long", F.last("end").over(whole) - F.first("start").over(whole) > threshold)
+
+    def step(state: tuple, start: float, end: float, long: bool) -> tuple:
+        at, chunk = state
+        if at is None:
+            at = start
+        elif long and end - at > threshold:
+            at, chunk = start, chunk + 1
+        return (at, chunk), chunk
+
+    return fold_in_order(rows, key, ["start", "seq"], ["start", "end", "_long"], (None, 0), step, "chunk", "long").drop("_long")
 
 
 def phases_valid(phases: Column) -> Column:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameloom.operators.frames import BLUR, BRIGHT_HIGH, BRIGHT_LOW, DUPLICATE, FLOW, FLOW_WINDOW
+from frameloom.operators.frames import BLUR, BRIGHT_HIGH, BRIGHT_LOW, judge
 
 
 def sessions(labels: DataFrame, gap: str = "10 seconds", late: str = "1 minute") -> DataFrame:
@@ -25,9 +25,11 @@ def filter_stream(frames: DataFrame, scale: float = 100.0) -> DataFrame:
     rows of a micro-batch are taken in order of seq.
     """
 
+    passed = judge(scale)
+
     def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         last, flows = state.get if state.exists else (None, "")
-        window = [float(x) for x in flows.split(",") if x]
+        now = last, tuple(float(x) for x in flows.split(",") if x)
         rows = pd.concat(list(batches)).sort_values("seq")
         out = []
         for r in rows.itertuples(index=False):
@@ -35,15 +37,10 @@ def filter_stream(frames: DataFrame, scale: float = 100.0) -> DataFrame:
                 verdict = "dark"
             elif r.lapvar < BLUR:
                 verdict = "blur"
-            elif last is not None and 1 - abs(r.brightness - last) / scale > DUPLICATE:
-                verdict = "duplicate"
             else:
-                window = [0.0 if pd.isna(r.flow) else float(r.flow), *window][:FLOW_WINDOW]
-                moving = len(window) == FLOW_WINDOW and all(x > FLOW for x in window[: FLOW_WINDOW - 1])
-                verdict = "transition" if moving else "good"
-                last = last if moving else float(r.brightness)
+                now, verdict = passed(now, float(r.brightness), 0.0 if pd.isna(r.flow) else float(r.flow))
             out.append((key[0], r.seq, verdict))
-        state.update((last, ",".join(map(str, window))))
+        state.update((now[0], ",".join(map(str, now[1]))))
         yield pd.DataFrame(out, columns=["video_id", "seq", "verdict"])
 
     kept = frames.select("video_id", "seq", "brightness", "lapvar", "flow")

@@ -54,6 +54,34 @@ def test_idle_split(spark, times, chunks):
     assert [r["chunk"] for r in segments.split_idle(rows).orderBy("seq").collect()] == chunks
 
 
+def test_folds_over_one_long_video_are_linear(spark):
+    """200,000 frames of one video, and an idle run of 200,000 labels, against plain loops."""
+    import random
+    import time
+
+    rnd, n = random.Random(2), 200_000
+    made = [(1, i, i / 10, rnd.choice([20.0, 90.0, 92.0, 120.0, 160.0]), rnd.choice([10.0, 80.0, 90.0]), rnd.choice([None, 1.0, 20.0, 30.0])) for i in range(n)]
+    began = time.time()
+    got = frames.filter_frames(spark.createDataFrame(made, "video_id long, seq long, ts double, brightness double, lapvar double, flow double")).select("seq", "verdict").collect()
+    last, flows, want = None, [], {}
+    for _, i, _, bright, sharp, flow in made:
+        if bright < 30:
+            want[i] = "dark"
+        elif sharp < 50:
+            want[i] = "blur"
+        elif last is not None and 1 - abs(bright - last) / 100 > 0.95:
+            want[i] = "duplicate"
+        else:
+            flows = [flow or 0.0, *flows][:3]
+            want[i] = "transition" if len(flows) == 3 and min(flows[:2]) > 15 else "good"
+            last = bright if want[i] == "good" else last
+    assert {r["seq"]: r["verdict"] for r in got} == want and len(set(want.values())) == 5
+    labels = spark.createDataFrame([(1, 1, i, i / 2, i / 2 + 0.5) for i in range(n)], "video_id long, segment long, seq long, start double, end double")
+    chunks = {r["seq"]: r["chunk"] for r in segments.split_idle(labels).collect()}
+    assert chunks == {i: i // 4 for i in range(n)}
+    assert time.time() - began < 120
+
+
 def test_transitions_come_after_a_group_of_the_same_start(spark):
     groups = segments.groups_of(segments.group_labels(_labels(spark, SMOKE)))
     ranges = spark.createDataFrame([(1, 5.0, 6.5)], "video_id long, start double, end double")
