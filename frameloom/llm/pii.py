@@ -8,6 +8,8 @@ new identifiers, next to the fixed patterns' own matches, which always stay.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,46 @@ CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value made once: a lambda over an array of one."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, op: Callable[[Column, Column], Column], zero: Column, levels: int = 3, block: int = 128) -> Column:
+    """What op makes of zero and the elements before each element. A fold that appends copies its array at each step, so
+    blocks are folded alone and then joined by their totals' own running values: linear for some hundred million elements."""
+
+    def fold(a: Column) -> Column:
+        return F.aggregate(a, F.array(zero), lambda s, v: F.concat(s, F.array(op(F.element_at(s, -1), v))))
+
+    def joined(blocks: Column) -> Column:
+        totals = running(F.transform(blocks, lambda b: F.element_at(b, -1)), op, zero, levels - 1, block)
+        return bound(totals, lambda t: F.flatten(F.transform(blocks, lambda b, i: F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda v: op(v, F.get(t, i))))))
+
+    if levels == 1:
+        return fold(values)
+    last = lambda a: F.greatest(F.floor((F.size(a) - 1) / block).cast("int"), F.lit(0))
+    return bound(values, lambda a: bound(F.transform(F.sequence(F.lit(0), last(a)), lambda k: fold(F.slice(a, k * block + 1, F.lit(block)))), joined))
+
+
+WORD = "struct<start:bigint,end:bigint,value:string,left:string>"
+
+
+def with_seeds(words: Column, base: Column) -> Column:
+    """words (of type WORD) with seed: whether a span of base overlaps the word. Both are sorted together: a word meets a
+    span if, of those that start before its end, the furthest end is beyond its start."""
+    event = lambda at, tag, reach, word: F.struct(at.alias("at"), F.lit(tag).alias("tag"), reach.alias("reach"), word.alias("word"))
+    nothing = F.lit(-1).cast("long")
+    events = F.concat(F.transform(words, lambda w: event(w["end"], 0, nothing, w.cast(WORD))), F.transform(base, lambda b: event(b["start"], 1, b["end"], F.lit(None).cast(WORD))))
+
+    def marked(e: Column) -> Column:
+        reach = running(F.transform(e, lambda x: x["reach"]), F.greatest, nothing)
+        seeds = bound(reach, lambda r: F.transform(e, lambda x, i: F.struct(x["word"].alias("word"), (F.get(r, i) > x["word"]["start"]).alias("seed"))))
+        return F.filter(seeds, lambda x: x["word"].isNotNull())
+
+    return bound(F.sort_array(events), marked)
+
+
 def matches(text: Column, pattern: str, possible: Column) -> Column:
     """Array of (start, end, value) of the pattern's matches, in code points. The text is marked at each match and cut at the marks, so it is matched once, and only where `possible`."""
     marked = F.regexp_replace(F.translate(text, "\x01\x02", "\x03\x03"), pattern, "\x01$0\x02")
@@ -31,9 +73,9 @@ def matches(text: Column, pattern: str, possible: Column) -> Column:
     none = F.lit(None).cast("array<string>")
 
     def spans(p: Column) -> Column:
-        ends = F.aggregate(p, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x))))
+        ends = running(F.transform(p, F.length), lambda a, n: a + n, F.lit(0))
         odd = F.sequence(F.lit(1), F.size(p) - 2, F.lit(2))
-        return F.element_at(F.transform(F.array(ends), lambda e: F.transform(odd, lambda i: F.struct(F.get(e, i).alias("start"), F.get(e, i + 1).alias("end"), F.get(p, i).alias("value"), F.get(p, i - 1).alias("before")))), 1)
+        return bound(ends, lambda e: F.transform(odd, lambda i: F.struct(F.get(e, i).alias("start"), F.get(e, i + 1).alias("end"), F.get(p, i).alias("value"), F.get(p, i - 1).alias("before"))))
 
     kept = F.when(possible, parts).otherwise(none)
     return F.coalesce(F.element_at(F.transform(F.array(kept), lambda p: F.when(F.size(p) > 2, spans(p))), 1), F.expr("cast(array() as array<struct<start:int,end:int,value:string,before:string>>)"))
@@ -84,7 +126,7 @@ def extract(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", roun
     words = F.transform("words", lambda x: F.struct((x["start"] + lead(x)).cast("long").alias("start"), (x["start"] + lead(x) + F.length(trimmed(x))).cast("long").alias("end"), trimmed(x).alias("value"), left(x["before"]).alias("left")))
     table = written(found.select("doc_id", "th", F.array_sort(base).alias("base"), words.alias("words")), "entities")
 
-    cand = table.where(F.size("words") > 0).select("doc_id", "th", "base", F.explode("words").alias("x")).select("doc_id", "th", "x.*", F.exists("base", lambda b: (b["start"] < F.col("x.end")) & (F.col("x.start") < b["end"])).alias("seed"))
+    cand = table.where(F.size("words") > 0).select("doc_id", "th", F.explode(with_seeds(F.col("words"), F.col("base"))).alias("x")).select("doc_id", "th", "x.word.*", "x.seed")
     cand = cand.withColumn("pattern", F.concat_ws(" ", "left", shape(F.col("value"))))
     cand = written(cand.select("doc_id", "th", "start", "end", "value", "pattern", "seed"), "candidates")
     # the graph: each pattern and instance that meet, once; both sides' sums are combined before they are shuffled

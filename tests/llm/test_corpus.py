@@ -202,6 +202,25 @@ def test_pii_finds_what_shares_a_context(spark):
     assert all(kinds[i] == ["card"] for i in range(24)) and not any(kinds[i] for i in range(100, 140))
 
 
+def test_pii_of_a_long_text_full_of_identifiers(spark):
+    """60,000 addresses and numbers in one text; running values cross all blocks."""
+    text = " ".join(f"u{i}@h{i % 7}.org id{i}" if i % 2 else f"10.0.{i % 256}.7 x" for i in range(60_000))
+    (row,) = entries._span_digests(pii.extract(spark.createDataFrame([(1, text)], "doc_id long, text string")), "entities", pii.KINDS).collect()
+    assert tuple(row)[1:6] == brute.pii(text) and row["n_email"] == row["n_ip"] == 30_000
+
+
+def test_words_that_overlap_base_spans_are_seeds(spark):
+    import random
+
+    rnd = random.Random(9)
+    spans = lambda n, most: [(a, a + rnd.randrange(most)) for a in (rnd.randrange(400) for _ in range(n))]
+    rows = [([(*s, "v", "l") for s in spans(rnd.randrange(1, 300), 4)], spans(rnd.randrange(0, 40), 9)) for _ in range(40)]
+    table = spark.createDataFrame(rows, f"words array<{pii.WORD}>, base array<struct<start:bigint,end:bigint>>")
+    for r in table.select("words", "base", pii.with_seeds(table["words"], table["base"]).alias("x")).collect():
+        want = sorted((w["start"], w["end"], any(b["start"] < w["end"] and w["start"] < b["end"] for b in r["base"])) for w in r["words"])
+        assert sorted((x["word"]["start"], x["word"]["end"], x["seed"]) for x in r["x"]) == want
+
+
 def test_packing(spark, tiny, docs):
     import numpy as np
     import public_tokenizers
