@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hot_salt, salted_join, written
+from .common import hot_keys, hot_salt, salted_join, written
 
 #: The template's control strings. Inside texts and roles each gets ESCAPE before it, as does ESCAPE itself.
 TURN, REPLY, END_TURN, END_REPLY = "[INST]", "[REPLY]", "[/INST]", "</s>"
@@ -66,26 +66,33 @@ def best_paths(nodes: DataFrame, *, keep: int = 1, max_rounds: int = 63) -> Data
     step = written(start.select("node", F.when(F.col("_there"), F.col("parent")).alias("up"), "score", F.when(F.col("_there"), 1).otherwise(0).cast("long").alias("depth"), F.when(F.col("_there"), F.col("parent")).otherwise(F.col("node")).alias("root")), "step")
     jumps = []  # jumps[k]: node and the one 2^k replies above it
     size = own.count()
-    while 2 ** len(jumps) <= size and not step.where("up is not null").isEmpty():
+    ended = done = step.where("up is null")
+    live = step.where("up is not null")
+    while 2 ** len(jumps) <= size and not live.isEmpty():
         if len(jumps) == max_rounds:
             raise RuntimeError(f"paths are longer than {max_rounds} rounds reach")
-        jumps.append(step.where("up is not null").select("node", "up"))
-        far = step.select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("score").alias("_score"), F.col("depth").alias("_depth"), F.col("root").alias("_root"))
-        moved = salted_join(step, far, "up", hot_salt(step, "up"), F.col("node"), "left")
-        there = F.col("_depth").isNotNull()
-        step = written(moved.select("node", F.col("_up").alias("up"), F.when(there, F.col("score") + F.col("_score")).otherwise(F.col("score")).alias("score"), F.when(there, F.col("depth") + F.col("_depth")).otherwise(F.col("depth")).alias("depth"), F.when(there, F.col("_root")).otherwise(F.col("root")).alias("root")), "step")
-    done = step.where("up is null")
+        jumps.append(live.select("node", "up"))
+        asked = written(live.groupBy("up").agg(F.count("*").alias("n")), "asked")
+        # a node that nothing is 2^k replies below has nothing further below: of the ended ones, only those asked for now can be again
+        ended = written(ended.join(asked.select(F.col("up").alias("node")), "node", "left_semi"), "ended")
+        far = ended.unionByName(live).select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("score").alias("_score"), F.col("depth").alias("_depth"), F.col("root").alias("_root"))
+        moved = salted_join(live, far, "up", hot_keys(asked, "up", "n"), F.col("node"))
+        step = written(moved.select("node", F.col("_up").alias("up"), (F.col("score") + F.col("_score")).alias("score"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_root").alias("root")), "step")
+        now, live = step.where("up is null"), step.where("up is not null")
+        ended, done = ended.unionByName(now), done.unionByName(now)
     leaves = done.join(own.select(F.col("parent").alias("node")).distinct(), "node", "left_anti")
     if keep == 1:  # an aggregate is combined before its shuffle; a hot tree needs no window
         best = leaves.groupBy("root").agg(F.min_by("node", F.struct(-F.col("score"), "node")).alias("node"), F.min_by("depth", F.struct(-F.col("score"), "node")).alias("depth"))
     else:
         best = leaves.withColumn("_k", F.row_number().over(Window.partitionBy("root").orderBy(F.desc("score"), "node"))).where(F.col("_k") <= keep)
-    path = written(best.select(F.col("node").alias("path"), "node", "depth"), "paths")
+    ends = written(best.select(F.col("node").alias("path"), "node", "depth"), "ends")
+    path = ends.where("false")
     for k in reversed(range(len(jumps))):
-        # nodes of paths so far are at distances that are multiples of 2^(k+1); add those halfway
-        up = path.join(jumps[k], "node").select("path", F.col("up").alias("node"), (F.col("depth") - 2**k).alias("depth"))
+        # nodes of paths so far are at distances that are multiples of 2^(k+1); add those halfway. A path enters once it has 2^k replies
+        path = path.unionByName(ends.where((F.col("depth") >= 2**k) & (F.col("depth") < 2 ** (k + 1))))
+        up = path.where(F.col("depth") >= 2**k).join(jumps[k], "node").select("path", F.col("up").alias("node"), (F.col("depth") - 2**k).alias("depth"))
         path = written(path.unionByName(up), "paths")
-    return path
+    return path.unionByName(ends.where("depth = 0"))
 
 
 def formatted_turns(turns: DataFrame) -> DataFrame:

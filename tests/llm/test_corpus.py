@@ -1,6 +1,7 @@
 """Corpus operators: queries against brute force on a small table, and the odd cases that each must survive."""
 
 import os
+import random
 import sys
 import zlib
 
@@ -311,6 +312,26 @@ def test_chat(spark, tiny):
     assert got == brute.chat(rows + [(-1, 0, "user", said), (-1, 1, "assistant", said)])
 
 
+def test_paths_of_random_trees(spark):
+    rng = random.Random(3)
+    parent, score = {}, {n: rng.random() for n in range(400)}
+    for n in range(400):  # one chain of 90, then trees of all depths
+        parent[n] = n - 1 if 0 < n < 90 else None if n % 40 == 0 else rng.randrange(max(0, n - 12), n)
+
+    def up(n):
+        return [n] if parent[n] is None else [n, *up(parent[n])]
+
+    best = {}
+    for n in set(parent) - set(parent.values()):
+        path = up(n)
+        key = (-sum(score[x] for x in path), n)
+        best[path[-1]] = min(best.get(path[-1], (key, path)), (key, path))
+    expect = {(path[0], x, len(path) - 1 - i) for _, path in best.values() for i, x in enumerate(path)}
+    nodes = spark.createDataFrame([(n, parent[n], score[n]) for n in parent], "node long, parent long, score double")
+    got = [tuple(r) for r in chat.best_paths(nodes).select("path", "node", "depth").collect()]
+    assert set(got) == expect and len(got) == len(expect)
+
+
 @pytest.mark.parametrize("text", ["", "plain", "\\", "\\\\[INST]", "[INST] a [/INST]", "</s>", "\\</s>\\", "[REPLY]\nx\n", "a\\\n[/INST"])
 def test_chat_escapes(text):
     for role in ("user", "assistant", "sys\ntem[INST]\\", None):
