@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from frameloom.functions import geometry as g
 from frameloom.functions import values
-from frameloom.operators import evaluate, frames, labels, scoring, segments, tracks
+from frameloom.operators import context, evaluate, frames, labels, scoring, segments, tracks
 from frameloom.plans import catalog as c
 from frameloom.plans.catalog import query, r6
 from frameloom.sources import media
@@ -223,6 +223,30 @@ def topk_interactions(spark, d):
     return labels.top_interactions(rows).select("video_id", "batch_id", "hand", "class_name", "contact_score", "rank")
 
 
+_CONTEXT = f"""{_CONTACTS.rstrip()}{_ACT.removeprefix(c._BOX_SQL)}{c._GRASP_RULES_SQL.removeprefix(c.H_SQL)},
+sp AS (SELECT h.video_id, h.seq // 5 AS batch_id, min(h.ts) AS a, max(h.ts) AS z, avg(activity) AS mean FROM hands_v h JOIN act ON act.video_id = h.video_id AND act.seq = h.seq GROUP BY 1, 2),
+hp AS (SELECT video_id, batch_id, string_agg(handedness || ' hand detected (conf ' || printf('%.2f', mean + 1e-9) || ')', ', ' ORDER BY first) AS t FROM (SELECT video_id, seq // 5 AS batch_id, handedness, avg(0.5e0 + abs(e[44])) AS mean, min(seq) AS first FROM hands_v WHERE NOT missing GROUP BY 1, 2, 3) GROUP BY 1, 2),
+ob AS (SELECT *, seq // 5 AS batch_id, min(seq * 2 + ordinal) OVER (PARTITION BY video_id, seq // 5, class_name) AS first, row_number() OVER (PARTITION BY video_id, seq // 5, class_name ORDER BY confidence DESC, seq, ordinal) AS place FROM objects_v),
+op AS (SELECT video_id, batch_id, string_agg(class_name || ' (conf ' || printf('%.2f', confidence + 1e-9) || ', center [' || CAST(floor((x1 + x2) / 2) AS INT) || ',' || CAST(floor((y1 + y2) / 2) AS INT) || '])', ', ' ORDER BY confidence DESC, first) AS t FROM ob WHERE place = 1 GROUP BY 1, 2),
+ix AS (SELECT video_id, batch_id, string_agg(hand || ' hand contacting ' || class_name || ' (IoU ' || printf('%.2f', iou + 1e-9) || ', grasp: ' || grasp_type || ', conf ' || printf('%.2f', contact_score + 1e-9) || ')', '; ' ORDER BY place) AS t FROM (SELECT * FROM (
+  SELECT w.video_id, w.class_name, w.iou, w.contact_score, h.handedness AS hand, r.grasp_type, w.seq // 5 AS batch_id, row_number() OVER (PARTITION BY w.video_id, w.seq // 5 ORDER BY w.contact_score DESC, w.seq, w.ordinal) AS place FROM w JOIN hands_v h ON h.video_id = w.video_id AND h.seq = w.seq JOIN r ON r.video_id = w.video_id AND r.seq = w.seq WHERE w.contact_score >= 0.3e0)
+  WHERE place <= 5 QUALIFY row_number() OVER (PARTITION BY video_id, batch_id, hand, class_name ORDER BY place) = 1) GROUP BY 1, 2),
+cx AS (SELECT sp.*, CASE WHEN round(mean, 9) > 0.6e0 THEN 'active manipulation' WHEN round(mean, 9) > 0.2e0 THEN 'possible activity' ELSE 'idle/observing' END AS name, hp.t AS hands, op.t AS objects, ix.t AS contacts FROM sp LEFT JOIN hp ON hp.video_id = sp.video_id AND hp.batch_id = sp.batch_id LEFT JOIN op ON op.video_id = sp.video_id AND op.batch_id = sp.batch_id LEFT JOIN ix ON ix.video_id = sp.video_id AND ix.batch_id = sp.batch_id)"""
+
+
+@query(f"""{_CONTEXT} SELECT video_id, batch_id, round(mean, 6) AS mean_activity, name AS activity_name, 'Local CV metadata for frames ' || printf('%.1f', a + 1e-9) || 's - ' || printf('%.1f', z + 1e-9) || 's:' || chr(10) || '  Hands: ' || coalesce(hands, 'none detected') || chr(10) || '  Objects: ' || coalesce(objects, 'none detected') || chr(10) || '  Interactions: ' || coalesce(contacts, 'none detected') || chr(10) || '  Activity: ' || printf('%.2f', mean + 1e-9) || ' (' || name || ')' AS context FROM cx""")
+def prompt_context(spark, d):
+    batch = F.floor(F.col("seq") / 5).cast("long").alias("batch_id")
+    boxed = c._boxed(spark, d)
+    seen = evaluate.activity(boxed.select("video_id", "seq", "ts", "handedness", "pixels", "hand_box", "missing")).select("video_id", batch, "ts", "activity")
+    hands = boxed.where(~F.col("missing")).select("video_id", batch, "seq", "handedness", (0.5 + F.abs(F.get("e", F.lit(43)))).alias("confidence"))
+    at = g.centre(F.col("bbox"))
+    objects = v.objects(spark, d).select("video_id", batch, "seq", "ordinal", "class_name", "confidence", at["x"].alias("cx"), at["y"].alias("cy"))
+    held = g.with_grasp(boxed.select("video_id", "seq", "handedness", "pixels", "hand_box"), "pixels").select("video_id", "seq", "handedness", "pixels", "hand_box", "grasp_type")
+    contacts = evaluate.contacts(held, v.objects(spark, d)).select("video_id", batch, F.col("handedness").alias("hand"), "class_name", "iou", "grasp_type", "contact_score", "seq", "ordinal")
+    return context.batch_context(seen, hands, objects, contacts).select("video_id", "batch_id", r6("mean_activity"), "activity_name", "context")
+
+
 # --- sources and small functions ------------------------------------------------
 
 
