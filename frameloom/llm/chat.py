@@ -80,6 +80,7 @@ def best_paths(nodes: DataFrame, *, keep: int = 1, max_rounds: int = 63) -> Data
         step = written(moved.select("node", F.col("_up").alias("up"), (F.col("score") + F.col("_score")).alias("score"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_root").alias("root")), "step")
         now, live = step.where("up is null"), step.where("up is not null")
         ended, done = ended.unionByName(now), done.unionByName(now)
+    done = written(done, "done")  # or the join below would be made for the nodes of each round
     leaves = done.join(own.select(F.col("parent").alias("node")).distinct(), "node", "left_anti")
     if keep == 1:  # an aggregate is combined before its shuffle; a hot tree needs no window
         best = leaves.groupBy("root").agg(F.min_by("node", F.struct(-F.col("score"), "node")).alias("node"), F.min_by("depth", F.struct(-F.col("score"), "node")).alias("depth"))
