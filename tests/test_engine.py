@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frameloom.functions import geometry as g
-from frameloom.operators import evaluate, frames, segments, tracks
+from frameloom.operators import context, evaluate, frames, segments, tracks
 from frameloom.plans import catalog
 
 
@@ -178,3 +178,22 @@ def test_whole_videos_are_strided_and_named(spark):
     count = views.frames(spark, d).count()
     assert catalog.queries()["frame_names_whole"](spark, d).count() == count
     assert catalog.queries()["frame_stride_whole"](spark, d).count() == views.frames(spark, d).where("seq % 4 = 0").count()
+
+
+def test_batch_context(spark):
+    frames = spark.createDataFrame([(1, 0, 0.0, 0.9), (1, 0, 0.5, 0.7), (1, 1, 2.5, 0.2), (1, 1, 3.0, 0.2)], "video_id long, batch_id long, ts double, activity double")
+    hands = spark.createDataFrame([(1, 0, 0, "right", 0.5), (1, 0, 1, "left", 0.9), (1, 0, 1, "right", 0.75)], "video_id long, batch_id long, seq long, handedness string, confidence double")
+    seen = [(1, 0, 0, 0, "nut", 0.5, 1, 2), (1, 0, 0, 1, "bolt", 0.5, 3, 4), (1, 0, 1, 0, "bolt", 0.5, 9, 9), (1, 0, 1, 1, "gear", 0.8, 5, 6)]
+    objects = spark.createDataFrame(seen, "video_id long, batch_id long, seq long, ordinal long, class_name string, confidence double, cx int, cy int")
+    held = [(1, 0, "left", "nut", 0.25, "pinch", 0.75, 0, 0), (1, 0, "left", "nut", 0.5, "hook", 0.5, 1, 0), (1, 0, "right", "gear", 0.1, "power", 0.5, 1, 1)]
+    contacts = spark.createDataFrame(held, "video_id long, batch_id long, hand string, class_name string, iou double, grasp_type string, contact_score double, seq long, ordinal long")
+    got = {r["batch_id"]: r["context"].split("\n") for r in context.batch_context(frames, hands, objects, contacts).collect()}
+    assert got[0] == [
+        "Local CV metadata for frames 0.0s - 0.5s:",
+        "  Hands: right hand detected (conf 0.63), left hand detected (conf 0.90)",
+        "  Objects: gear (conf 0.80, center [5,6]), nut (conf 0.50, center [1,2]), bolt (conf 0.50, center [3,4])",
+        "  Interactions: left hand contacting nut (IoU 0.25, grasp: pinch, conf 0.75); right hand contacting gear (IoU 0.10, grasp: power, conf 0.50)",
+        "  Activity: 0.80 (active manipulation)",
+    ]
+    assert got[1][1:] == ["  Hands: none detected", "  Objects: none detected", "  Interactions: none detected", "  Activity: 0.20 (idle/observing)"]
+    assert context.batch_context(frames.limit(0), hands, objects, contacts).isEmpty()
