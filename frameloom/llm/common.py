@@ -87,8 +87,8 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
         both = cur.union(cur.select(F.col("b"), F.col("a"))).toDF("u", "v")
         low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
         large = salted_join(both.where("v > u"), low.drop("n"), "u", hot_keys(low, "u", "n"), F.col("v")).select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.withColumnRenamed("a", "u").join(down.withColumnRenamed("a", "u"), "u")
+        down = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = salted_join(large.withColumnRenamed("a", "u"), down.drop("n"), "u", hot_keys(down, "u", "n"), F.col("b"))
         new = written(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("u", "m")).where("a <> b").distinct(), "edges")
         state = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if cur is not first:

@@ -184,7 +184,10 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b), those whose overlaps, counted fragment by fragment and added, reach percent of their union."""
     parts = sets.select("doc", "v", "n", F.posexplode("parts").alias("fragment", "grams"))
     side = lambda x: parts.select(F.col("doc").alias(x), F.col("v").alias(f"v{x}"), F.col("n").alias(f"n{x}"), "fragment", F.col("grams").alias(f"g{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), ["b", "fragment"])
+    both = salted_join(pairs, side("a"), "a", hot_salt(pairs, "a"), F.col("b"))
+    at = F.struct("b", "fragment").alias("at")
+    hot = hot_salt(pairs, "b").select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda f: F.struct(F.col("_hot").alias("b"), f.alias("fragment")))).alias("_hot"))
+    both = salted_join(both.select("*", at), side("b").select(at, "vb", "nb", "gb"), "at", hot, F.col("a"))
     key = ["a", "b", "va", "vb"]
     # repeated rows of a document give the same overlap again
     once = both.select(*key, "fragment", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("o")).groupBy(*key, "fragment").agg(*[F.max(x).alias(x) for x in ("o", "na", "nb")])
@@ -236,7 +239,8 @@ def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     size = sample.groupBy("gid").agg(F.count("*").alias("m"))
     core = seen.join(size, "gid").where("2 * c > m").groupBy("gid").agg(F.array_sort(F.collect_list(F.struct("c", "gram")))["gram"].alias("core"))
     core = written(core, "core")
-    at = salted_join(members.join(whole, "doc"), core, "gid", hot_salt(members, "gid"), F.col("doc"), "left")
+    with_sets = salted_join(members, whole, "doc", hot_salt(members, "doc"), F.col("gid"))
+    at = salted_join(with_sets, core, "gid", hot_salt(members, "gid"), F.col("doc"), "left")
     at = at.select("gid", "doc", "grams", F.coalesce("core", F.expr("cast(array() as array<bigint>)")).alias("core"))
     at = at.select("gid", "doc", F.size("core").alias("c"), F.array_except("grams", "core").alias("more"), F.array_except("core", "grams").alias("less"))
     out = at.select("gid", "doc", (F.col("c") * (100 - percent)).cast("long").alias("cc"), (100 * F.size("less") + percent * F.size("more")).cast("long").alias("w"), (F.size("less") + F.size("more")).cast("long").alias("d"), F.concat("more", "less").alias("tokens"))
@@ -245,15 +249,43 @@ def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return out
 
 
-def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75, levels: int = 6) -> DataFrame:
+def group_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """For members (gid, doc) of groups: links (a, b), and pairs (a, b) that may be links, which together connect all linked members of each group.
+
+    No pair is made of members whose differences from the core share none of their rarest n-grams. A hot difference
+    makes a group of its own. It is never a whole group: what all members have is in the core, which most of a sample
+    have. So groups shrink from level to level and the loop ends, about halving them each time.
+    """
+    unit, pairs, links = 100 + percent, [], []
+    d, pos, w, cc, low = map(F.col, ("d", "pos", "w", "cc", "low"))
+    while not members.isEmpty():
+        own = differences(members, sets, percent)
+        least = own.groupBy("gid").agg(F.min(F.struct("w", "doc")).alias("least"))
+        own = salted_join(own, least, "gid", hot_salt(members, "gid"), F.col("doc"))
+        own = own.select("gid", "doc", "cc", "w", "d", "tokens", F.col("least.w").alias("low"), F.col("least.doc").alias("near"))
+        links.append(written(own.where("w + low <= cc and doc <> near").select(F.col("near").alias("a"), F.col("doc").alias("b")), "links"))
+        # only a document beyond the core's reach needs partners; its own prefix is long, for partners of any smaller w, that of partners is short
+        long = F.when(w + low > cc, d - ceil_div(w + low - cc, unit) + 1).otherwise(0)
+        short = d - ceil_div(w + F.greatest(w, cc - low + 1) - cc, unit) + 1
+        own = own.select("gid", "doc", "cc", "w", "d", long.alias("_l"), short.alias("_s"), "tokens").where("greatest(_l, _s) > 0")
+        own = own.select("gid", "doc", "cc", "w", "d", "_l", "_s", F.posexplode(F.slice("tokens", F.lit(1), F.greatest("_l", "_s").cast("int"))).alias("pos", "token"))
+        rows = own.select(F.xxhash64("gid", "token").alias("token"), "doc", "cc", "w", (d - pos).alias("room"), (pos < F.col("_l")).alias("long"), (pos < F.col("_s")).alias("short"))
+        rows = shared_by(rows, "shared", {"l": F.count_if("long"), "s": F.count_if("short")}, "g > 1 and l > 0 and s > 0")
+        few = (F.least("l", "s") <= FAN) & (F.col("g") <= FAN_ROWS)
+        pairs.append(written(pairs_of(rows.where(few), unit), "pairs"))
+        members = groups(rows.where(~few))
+    return links, pairs
+
+
+def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included).
 
     A document's set is its distinct n-word shingles (all its words as one, if fewer). Null and empty texts have no
     set and link with nothing. Repeated rows are linked copies; rows that share a doc_id but not their text count
     as one node of the graph and are told apart only in n_shingles. Rows without doc_id are their own component (null).
-    Other columns of docs are ignored. After `levels` levels, hot tokens make their pairs like any other.
+    Other columns of docs are ignored.
     """
-    spark, unit = docs.sparkSession, 100 + percent
+    spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     ids, classes = read_documents(docs, n)
     shared = spark.sparkContext.broadcast(classes)
@@ -278,30 +310,12 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     kept = written(made.groupBy("key").agg(F.min("doc").alias("doc"), F.any_value("d").alias("d"), F.any_value("prefix").alias("prefix")).drop("key"), "prefixes")
     rows = shared_by(kept.select("doc", "d", F.explode("prefix").alias("token")), "shared", {}, "g > 1")
     dropped(kept)
-    pairs, links = [written(first_pairs(rows.where(F.col("g") <= FAN), percent), "pairs")], []
-    hot = rows.where(F.col("g") > FAN)
-    members = groups(hot)
-    sets = cut_sets(docs, shared, members.select("doc").union(pairs[0].select("a")).union(pairs[0].select("b")).distinct(), n)
-    d, pos, w, cc, low = map(F.col, ("d", "pos", "w", "cc", "low"))
-    for level in range(levels):
-        if members.isEmpty():
-            break
-        own = differences(members, sets, percent)
-        least = own.groupBy("gid").agg(F.min(F.struct("w", "doc")).alias("least"))
-        own = salted_join(own, least, "gid", hot_salt(members, "gid"), F.col("doc"))
-        own = own.select("gid", "doc", "cc", "w", "d", "tokens", F.col("least.w").alias("low"), F.col("least.doc").alias("near"))
-        links.append(written(own.where("w + low <= cc and doc <> near").select(F.col("near").alias("a"), F.col("doc").alias("b")), "links"))
-        # only a document beyond the core's reach needs partners; its own prefix is long, for partners of any smaller w, that of partners is short
-        long = F.when(w + low > cc, d - ceil_div(w + low - cc, unit) + 1).otherwise(0)
-        short = d - ceil_div(w + F.greatest(w, cc - low + 1) - cc, unit) + 1
-        own = own.select("gid", "doc", "cc", "w", "d", long.alias("_l"), short.alias("_s"), "tokens").where("greatest(_l, _s) > 0")
-        own = own.select("gid", "doc", "cc", "w", "d", "_l", "_s", F.posexplode(F.slice("tokens", F.lit(1), F.greatest("_l", "_s").cast("int"))).alias("pos", "token"))
-        rows = own.select(F.xxhash64("gid", "token").alias("token"), "doc", "cc", "w", (d - pos).alias("room"), (pos < F.col("_l")).alias("long"), (pos < F.col("_s")).alias("short"))
-        rows = shared_by(rows, "shared", {"l": F.count_if("long"), "s": F.count_if("short")}, "g > 1 and l > 0 and s > 0")
-        few = (F.least("l", "s") <= FAN) & (F.col("g") <= FAN_ROWS) if level + 1 < levels else F.lit(True)
-        pairs.append(written(pairs_of(rows.where(few), unit), "pairs"))
-        members = groups(rows.where(~few))
-    links.append(similar(union(*pairs).distinct(), sets, percent))
+    pairs = written(first_pairs(rows.where(F.col("g") <= FAN), percent), "pairs")
+    members = groups(rows.where(F.col("g") > FAN))
+    sets = cut_sets(docs, shared, members.select("doc").union(pairs.select("a")).union(pairs.select("b")).distinct(), n)
+    links, more = group_links(members, sets, percent)
+    pairs = union(pairs, *more)
+    links.append(similar(written(pairs.distinct(), "candidates"), sets, percent))
     copies = salted_join(named, first.where("c > 1"), "key", hot_salt(named, "key"), F.col("doc_id")).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     labels = components(union(copies, *links))
     return ids.join(labels, ids.doc_id == labels.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
