@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, langid, oracles, packing, pii, quality, secrets, toxicity, warc
+from . import chat, clusters, codes, decontaminate, jaccard, langid, minhash, oracles, packing, pii, quality, secrets, toxicity, warc
 from .common import written
 
 
@@ -89,8 +89,20 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op2_warc, op3_decontaminate, op4_toxicity, op5_pii, op6_packing, op7_quality, op8_chat, op9_language, op10_jaccard)}
+    return {f.__name__: f for f in (op1_secrets, op2_warc, op3_decontaminate, op4_toxicity, op5_pii, op6_packing, op7_quality, op8_chat, op9_language, op10_jaccard, op11_minhash, op12_clusters, op13_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
