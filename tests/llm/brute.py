@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -134,3 +135,62 @@ def chat(rows):
 
 def held(doc_id, n, remainder):
     return zlib.crc32(str(doc_id).encode()) % n == remainder
+
+
+def near(docs, n, percent):
+    """(doc_id, text) -> (doc_id, size of its set of n-word shingles, smallest doc_id reachable by links of percent)."""
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", low(t)) for i, t in docs}
+    sets = {i: {tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))} if w else set() for i, w in words.items()}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return [(i, len(s), find(i)) for i, s in sets.items()]
+
+
+def lloyd(rows, first, rounds):
+    """Integer vectors and starting points -> (index of the nearest point, squared distance) of each vector, and the points, after some rounds."""
+    points = [list(p) for p in first]
+    nearest = lambda v: min((sum((x - y) ** 2 for x, y in zip(v, p, strict=True)), i) for i, p in enumerate(points))
+    for _ in range(rounds):
+        own = {}
+        for v in rows:
+            own.setdefault(nearest(v)[1], []).append(v)
+        for i, vs in own.items():
+            points[i] = [sum(x) // len(vs) for x in zip(*vs, strict=True)]
+    return [nearest(v)[::-1] for v in rows], points
+
+
+def clusters(rows, k, rounds, scale, seed=1):
+    """(vec_id, vector) -> rows of op12."""
+    kept = [(i, [math.floor(scale * x) for x in v]) for i, v in rows]
+    first = sorted((sha(f"{seed}:{i}"), v) for i, v in kept if i is not None)[:k]
+    found, points = lloyd([v for _, v in kept], [v for _, v in first], rounds)
+    inertia = Counter()
+    for c, d in found:
+        inertia[c] += d
+    return [(i, c, d, inertia[c], sum(inertia.values()), sha(",".join(map(str, points[c])))) for (i, _), (c, d) in zip(kept, found, strict=True)]
+
+
+def codes(rows, parts, entries, rounds, scale):
+    """(vec_id, label, vector) -> rows of op13."""
+    kept = [(i, lab, [math.floor(scale * x) for x in v]) for i, lab, v in rows]
+    first, width = sorted((i, v) for i, _, v in kept if i is not None)[:entries], len(kept[0][2]) // parts
+    cut = lambda v, p: v[p * width : (p + 1) * width]
+    found = [lloyd([cut(v, p) for *_, v in kept], [cut(v, p) for _, v in first], rounds) for p in range(parts)]
+    digest = sha(",".join(str(x) for _, points in found for e in points for x in e))
+    error = [sum(f[0][k][1] for f in found) for k in range(len(kept))]
+    by = Counter()
+    for (_, lab, _), e in zip(kept, error, strict=True):
+        by[lab] += e
+    return [(i, "".join(f"{f[0][k][0]:02x}" for f in found), error[k], by[lab], digest) for k, (i, lab, _) in enumerate(kept)]
