@@ -5,7 +5,7 @@ All are windows over (video_id, handedness) in order of seq; series columns are
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .segments import frames_in
@@ -19,38 +19,49 @@ def series() -> Window:
     return Window.partitionBy("video_id", "handedness").orderBy("seq")
 
 
-def fill_gaps(rows: DataFrame, value: str, max_gap: int | None = MAX_GAP) -> DataFrame:
-    """rows with value's gaps of at most max_gap samples filled: from the left neighbour at the gap's first sample to the right one at its last.
+def gap_sizes(rows: DataFrame, value: str) -> DataFrame:
+    """rows with, for value: _i (place in the series), _l and _r (struct i, v: the known samples next before and after, null at an edge) and _n (samples of the gap that a null is in).
 
-    A gap of one takes the left neighbour, a gap at an edge the only one there is; longer gaps stay. None fills all.
+    Offsets that skip nulls read each sample once, so a series takes linear time however long its gaps are.
     """
     w = series()
-    before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    known = F.col(value).isNotNull()
-    rows = rows.withColumn("_run", F.sum(F.when(known, 1).otherwise(0)).over(before)).withColumn("_l", F.last(value, ignorenulls=True).over(before)).withColumn("_r", F.first(value, ignorenulls=True).over(after))
-    gap = Window.partitionBy("video_id", "handedness", "_run", F.col(value).isNull())
-    rows = rows.withColumn("_n", F.count("*").over(gap)).withColumn("_k", F.row_number().over(gap.orderBy("seq")) - 1)
-    left, right = F.coalesce("_l", "_r"), F.coalesce("_r", "_l")
-    filled = F.when(F.col("_n") > 1, left + (right - left) * F.col("_k") / (F.col("_n") - 1)).otherwise(left)
-    ok = F.lit(True) if max_gap is None else F.col("_n") <= max_gap
-    return rows.withColumn(value, F.when(known, F.col(value)).when(ok, filled)).drop("_run", "_l", "_r", "_n", "_k")
-
-
-def smooth(rows: DataFrame, *values: str) -> DataFrame:
-    """rows with each of values smoothed over five samples; series of fewer stay as they are. The first and last two samples use the first and last five."""
+    over = "IGNORE NULLS OVER (PARTITION BY video_id, handedness ORDER BY seq)"
+    known = f"IF({value} IS NULL, NULL, named_struct('i', _i, 'v', {value}))"
+    rows = rows.withColumn("_i", F.row_number().over(w)).withColumn("_m", F.count("*").over(Window.partitionBy("video_id", "handedness")))
+    rows = rows.withColumns({"_l": F.expr(f"lag({known}, 1) {over}"), "_r": F.expr(f"lead({known}, 1) {over}")})
+    return rows.withColumn("_n", F.when(F.col(value).isNull(), F.coalesce("_r.i", F.col("_m") + 1) - F.coalesce("_l.i", F.lit(0)) - 1)).drop("_m")
+
+
+def fill_gaps(rows: DataFrame, *values: str, max_gap: int | None = MAX_GAP) -> DataFrame:
+    """rows with each value's gaps of at most max_gap samples filled: from the left neighbour at the gap's first sample to the right one at its last.
+
+    A gap of one takes the left neighbour, a gap at an edge the only one there is; longer gaps stay. None fills all.
+    """
+    for value in values:
+        rows = gap_sizes(rows, value)
+        left, right = F.coalesce("_l.v", "_r.v"), F.coalesce("_r.v", "_l.v")
+        k = F.col("_i") - F.coalesce("_l.i", F.lit(0)) - 1
+        filled = F.when(F.col("_n") > 1, left + (right - left) * k / (F.col("_n") - 1)).otherwise(left)
+        ok = F.lit(True) if max_gap is None else F.col("_n") <= max_gap
+        rows = rows.withColumn(value, F.when(F.col(value).isNotNull(), F.col(value)).when(ok, filled)).drop("_i", "_l", "_r", "_n")
+    return rows
+
+
+def smooth(rows: DataFrame, *values: str, skip: int = 0) -> DataFrame:
+    """rows with each of values smoothed over five samples; series of fewer stay as they are. The first and last two samples use the first and last five. The first `skip` samples have no values and are not part of the series."""
     w, whole = series(), Window.partitionBy("video_id", "handedness")
-    rows = rows.withColumn("_i", F.row_number().over(w)).withColumn("_n", F.count("*").over(whole))
+    rows = rows.withColumn("_i", F.row_number().over(w) - skip).withColumn("_n", F.count("*").over(whole) - skip)
     place = F.when(F.col("_i") <= 2, F.col("_i") - 1).when(F.col("_i") > F.col("_n") - 2, F.col("_i") - F.col("_n") + 4).otherwise(2)
+    rows, fits = rows.withColumn("_place", place), {}
     for v in values:
-        fit = F.col(v)
+        fits[v] = F.col(v)
         for p, row in enumerate(SMOOTH):
             at = sum((F.lag(v, p - j).over(w) if p > j else F.lead(v, j - p).over(w) if j > p else F.col(v)) * c for j, c in enumerate(row)) / 35.0
-            fit = F.when((F.col("_n") >= 5) & (F.col("_place") == p), at).otherwise(fit)
-        rows = rows.withColumn("_place", place).withColumn(v, fit).drop("_place")
-    return rows.drop("_i", "_n")
+            fits[v] = F.when((F.col("_n") >= 5) & (F.col("_i") >= 1) & (F.col("_place") == p), at).otherwise(fits[v])
+    return rows.withColumns(fits).drop("_i", "_n", "_place")
 
 
-def derivative(rows: DataFrame, dt: float, **named: str) -> DataFrame:
+def derivative(rows: DataFrame, dt: float | Column, **named: str) -> DataFrame:
     """rows with new columns: name=value gives value's difference to the sample before, over dt. First samples have none."""
     w = series()
     return rows.select("*", *[((F.col(v) - F.lag(v).over(w)) / dt).alias(k) for k, v in named.items()])
@@ -84,22 +95,24 @@ def grasp_events(rows: DataFrame) -> DataFrame:
     return found.select("video_id", "handedness", "ts", "event_type", F.round(F.lead("ts").over(w) - F.col("ts"), 4).alias("duration_to_next"))
 
 
-def motion(rows: DataFrame, dt: float) -> DataFrame:
-    """rows (x, y smoothed) with vx, vy, ax, ay: each a difference over dt, then smoothed itself. A track's first sample has no velocity and its first two no acceleration."""
-    out = rows
-    for names in ({"vx": "x", "vy": "y"}, {"ax": "vx", "ay": "vy"}):
-        made = derivative(out, dt, **names)
-        there = made.where(F.col(next(iter(names))).isNotNull())
-        smoothed = smooth(there.select("video_id", "handedness", "seq", *names), *names)
-        out = out.join(smoothed, ["video_id", "handedness", "seq"], "left")
-    return out
+def motion(rows: DataFrame, dt: float | Column, position: tuple[str, ...] = ("x", "y")) -> DataFrame:
+    """rows (x, y smoothed) with vx, vy, ax, ay: each a difference over dt, then smoothed itself. A track's first sample has no velocity and its first two no acceleration. All in one partitioning, without a join."""
+    for skip, (new, old) in enumerate((("v", ""), ("a", "v")), 1):
+        names = {new + c: old + c for c in position}
+        rows = smooth(derivative(rows, dt, **names), *names, skip=skip)
+    return rows
 
 
 def median_dt(rows: DataFrame, default: float = 0.5) -> DataFrame:
     """(video_id, dt): the median step between the times of a video's samples; default for fewer than two, 1 where it isn't positive."""
     w = Window.partitionBy("video_id").orderBy("ts")
     step = rows.select("video_id", (F.col("ts") - F.lag("ts").over(w)).alias("_d")).groupBy("video_id").agg(F.percentile("_d", F.lit(0.5)).alias("_m"))
-    return step.select("video_id", F.when(F.col("_m").isNull(), default).when(F.col("_m") <= 0, 1.0).otherwise(F.col("_m")).alias("dt"))
+    return step.select("video_id", step_of(F.col("_m"), default).alias("dt"))
+
+
+def step_of(median: Column, default: float = 0.5) -> Column:
+    """The time step that a median of steps stands for: default where there is none, 1 where it isn't positive."""
+    return F.when(median.isNull(), default).when(median <= 0, 1.0).otherwise(median)
 
 
 def tracked(rows: DataFrame, value: str = "x", least: int = 2) -> DataFrame:

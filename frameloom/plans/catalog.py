@@ -30,7 +30,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from frameloom.plans import catalog_more  # noqa: F401  registers its own
+    from frameloom.plans import catalog_hands, catalog_more  # noqa: F401  register their own
 
     return dict(_QUERIES)
 
@@ -262,7 +262,7 @@ def wrist_gapfill(spark, d):
 
 @query(f"{_WRIST_SQL} SELECT video_id, handedness, seq, round(s, 6) AS x FROM sm")
 def savgol_smooth(spark, d):
-    return tracks.smooth(tracks.fill_gaps(_wrist(spark, d), "x", None), "x").select("video_id", "handedness", "seq", r6("x"))
+    return tracks.smooth(tracks.fill_gaps(_wrist(spark, d), "x", max_gap=None), "x").select("video_id", "handedness", "seq", r6("x"))
 
 
 def _smooth_sql(name: str, src: str, *cols: str) -> str:
@@ -291,7 +291,7 @@ pth AS (SELECT p.video_id, p.handedness, n_samples, path_length, coalesce(max_ve
 
 def _motion(spark, d):
     rows = _wrist(spark, d)
-    filled = tracks.fill_gaps(tracks.fill_gaps(rows, "x", None), "y", None)
+    filled = tracks.fill_gaps(rows, "x", "y", max_gap=None)
     return tracks.motion(tracks.smooth(filled, "x", "y"), 0.5)
 
 

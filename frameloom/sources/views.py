@@ -8,6 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from frameloom.functions.geometry import box_of
+from frameloom.functions.values import depth_at
+
 #: Fixed values of the domain.
 ACTIONS = ("pick_up", "place", "tighten_bolt", "inspect", "assemble")
 PHASES = ("reach", "grasp", "manipulate", "hold", "release", "retract")
@@ -92,6 +95,41 @@ hands_v AS (
   FROM emb)"""
 
 
+def hand_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(video_id, seq, ts, vec_id, hands, depth): frames of 0 to 3 hands (handedness, pixels, box), labels repeated among them, some hands with 5 points only. hands is null where the frame can't be read; depth is an 8 x 8 map that every third frame of each second video has."""
+    h = hands(spark, sf_dir)
+    at = lambda i: F.get("e", (i % 64).cast("int")) + 0.5
+    vec = F.col("vec_id")
+
+    def one(i: Column) -> Column:
+        other = F.when((i == 1) & (F.floor(vec / 8) % 4 != 0), 1).otherwise(0)
+        n = F.when((vec + i) % 7 == 0, 5).otherwise(21)
+        points = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.struct((at(2 * j + 10 * i) * WIDTH).alias("x"), (at(2 * j + 1 + 10 * i) * HEIGHT).alias("y")))
+        return F.struct(F.when((F.floor(vec / 4) + other) % 2 == 0, "right").otherwise("left").alias("handedness"), points.alias("pixels"))
+
+    # one pass makes the hands, a second their boxes, which need the points
+    rows = h.withColumn("hands", F.when(vec % 13 != 5, F.transform(F.slice(F.array(*map(F.lit, range(3))), F.lit(1), (vec % 4).cast("int")), one)))
+    boxed = F.transform("hands", lambda x: F.struct(x["handedness"].alias("handedness"), x["pixels"].alias("pixels"), box_of(x["pixels"], WIDTH, HEIGHT).alias("box")))
+    return rows.select("video_id", "seq", "ts", "vec_id", boxed.alias("hands"), F.when((F.col("video_id") % 2 == 0) & (F.col("seq") % 3 == 0), F.col("e")).alias("depth"))
+
+
+def map_at(depth: Column, x: Column, y: Column) -> Column:
+    """The 8 x 8 map's value at a pixel of the image."""
+    return depth_at(depth, 8, 8, x / (WIDTH / 8), y / (HEIGHT / 8))
+
+
+HAND_FRAMES_SQL = """hf AS (
+  SELECT video_id, seq, ts, vec_id, CASE WHEN vec_id % 13 <> 5 THEN list_transform(range(vec_id % 4), lambda i: {
+      'handedness': CASE WHEN (vec_id // 4 + CASE WHEN i = 1 AND (vec_id // 8) % 4 <> 0 THEN 1 ELSE 0 END) % 2 = 0 THEN 'right' ELSE 'left' END,
+      'pixels': list_transform(range(CASE WHEN (vec_id + i) % 7 = 0 THEN 5 ELSE 21 END), lambda j: {'x': (e[1 + (2 * j + 10 * i) % 64] + 0.5e0) * 640, 'y': (e[1 + (2 * j + 1 + 10 * i) % 64] + 0.5e0) * 480})}) END AS hands,
+    CASE WHEN video_id % 2 = 0 AND seq % 3 = 0 THEN e END AS depth
+  FROM hands_v)"""
+
+
+def map_sql(depth: str, x: str, y: str) -> str:
+    return f"{depth}[1 + greatest(least(CAST(floor({y} / 60e0) AS INT), 7), 0) * 8 + greatest(least(CAST(floor({x} / 80e0) AS INT), 7), 0)]"
+
+
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(video_id, seq, ordinal, class_name, confidence, bbox): two boxes for each frame."""
     h = hands(spark, sf_dir)
