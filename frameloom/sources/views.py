@@ -130,6 +130,33 @@ def map_sql(depth: str, x: str, y: str) -> str:
     return f"{depth}[1 + greatest(least(CAST(floor({y} / 60e0) AS INT), 7), 0) * 8 + greatest(least(CAST(floor({x} / 80e0) AS INT), 7), 0)]"
 
 
+#: Side of the rasters that the views have.
+SIDE = 8
+
+
+def raster_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(video_id, seq, ts, raster, height, width): grey rasters of 8 x 8 bytes from embeddings. Runs of six frames show the video's first frame with noise, the next six do not; every fourth repeats the one before; some are dark, bright, of two greys, smooth or missing."""
+    h = hands(spark, sf_dir).select("video_id", "seq", "ts", "vec_id", "e")
+    w = Window.partitionBy("video_id").orderBy("seq")
+    mixed = F.zip_with(F.first("e").over(w), "e", lambda b, x: 0.75 * b + 0.25 * x)
+    h = h.withColumn("_e", F.when(F.floor(F.col("seq") / 6) % 2 == 0, mixed).otherwise(F.col("e")))
+    h = h.withColumn("_e", F.when(F.col("seq") % 4 == 1, F.lag("_e").over(w)).otherwise(F.col("_e")))
+    kind = F.col("vec_id") % 11
+
+    def grey(x: Column, j: Column) -> Column:
+        plain = F.greatest(F.least(F.floor((x + 0.5) * 255), F.lit(255)), F.lit(0))
+        return F.when(kind == 0, F.floor(plain / 12)).when(kind == 1, 255 - F.floor(plain / 40)).when(kind == 2, 100 + 10 * (j % 2)).when(kind == 3, 100 + 2 * F.floor(j / SIDE)).otherwise(plain)
+
+    data = F.unhex(F.array_join(F.transform("_e", lambda x, j: F.lpad(F.hex(grey(x, j).cast("long")), 2, "0")), ""))
+    return h.select("video_id", "seq", "ts", F.when(kind != 4, data).alias("raster"), F.lit(SIDE).alias("height"), F.lit(SIDE).alias("width"))
+
+
+RASTERS_SQL = """mix AS (SELECT video_id, seq, ts, vec_id, CASE WHEN (seq // 6) % 2 = 0 THEN list_transform(range(1, 65), lambda j: 0.75e0 * b[j] + 0.25e0 * e[j]) ELSE e END AS m FROM (SELECT *, first_value(e) OVER (PARTITION BY video_id ORDER BY seq) AS b FROM hands_v)),
+rep AS (SELECT video_id, seq, ts, vec_id, CASE WHEN seq % 4 = 1 THEN lag(m) OVER (PARTITION BY video_id ORDER BY seq) ELSE m END AS m FROM mix),
+px AS (SELECT video_id, seq, ts, vec_id, j, j // 8 AS r, j % 8 AS c, greatest(least(CAST(floor((m[j + 1] + 0.5e0) * 255) AS INT), 255), 0) AS p FROM (SELECT *, unnest(range(64)) AS j FROM rep) WHERE vec_id % 11 <> 4),
+grey AS (SELECT video_id, seq, r, c, CASE vec_id % 11 WHEN 0 THEN p // 12 WHEN 1 THEN 255 - p // 40 WHEN 2 THEN 100 + 10 * (j % 2) WHEN 3 THEN 100 + 2 * r ELSE p END AS v FROM px)"""
+
+
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(video_id, seq, ordinal, class_name, confidence, bbox): two boxes for each frame."""
     h = hands(spark, sf_dir)
