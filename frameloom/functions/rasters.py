@@ -54,6 +54,18 @@ def shrunk(r: np.ndarray, most: tuple[int, int]) -> np.ndarray:
     return out if out is r else np.clip(np.rint(out), 0, 255).astype(np.uint8)
 
 
+def resized(r: np.ndarray, to: tuple[int, int]) -> np.ndarray:
+    """The raster at this height and width, between the four nearest pixels' centres; bytes are rounded."""
+    out = r.astype(np.float64)
+    for axis, size in enumerate(to):
+        n = out.shape[axis]
+        at = np.clip((np.arange(size) + 0.5) * n / size - 0.5, 0, n - 1)
+        low = np.minimum(at.astype(int), max(n - 2, 0))
+        share = (at - low).reshape([-1 if a == axis else 1 for a in range(2)])
+        out = out.take(low, axis) * (1 - share) + out.take(np.minimum(low + 1, n - 1), axis) * share
+    return np.rint(out).astype(np.uint8) if r.dtype == np.uint8 else out.astype(r.dtype)
+
+
 def window_means(f: np.ndarray) -> np.ndarray:
     """Mean of each whole window, by an integral image."""
     s = np.pad(f, ((1, 0), (1, 0))).cumsum(0).cumsum(1)

@@ -6,11 +6,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from frameloom.functions import rasters as k
-from frameloom.operators import rasters
+from frameloom.operators import hands, rasters, segments
+from frameloom.sources import episodes
 from frameloom.sources import views as v
 
 from . import catalog as c
 from .catalog import query
+from .catalog_more import _ALL
 
 _G = f"{c.H_SQL}, {v.RASTERS_SQL}"
 
@@ -54,3 +56,23 @@ def raster_ssim(spark, d):
 def raster_verdicts(spark, d):
     """The whole filter; a fold with a raster as its state has no SQL, so a test holds it against a plain loop."""
     return rasters.filter_rasters(rasters.stateless(rasters.measured(v.raster_frames(spark, d)))).select("video_id", "seq", "dark_reason", "verdict")
+
+
+_FIRST = lambda side: f"list_filter(hands, lambda h: h.handedness = '{side}')[1].pixels[1]"
+
+
+@query(f"""{_ALL}, {v.HAND_FRAMES_SQL}, {v.RASTERS_SQL}, ends AS (SELECT video_id, seq, max(CASE WHEN r = 0 AND c = 0 THEN v END) AS first_grey, max(CASE WHEN r = 7 AND c = 7 THEN v END) AS last_grey FROM grey GROUP BY 1, 2),
+fz AS (SELECT hf.video_id, hf.seq, ts, depth, {_FIRST("right")} AS rw, {_FIRST("left")} AS lw FROM hf),
+es AS (SELECT s.video_id, s.segment_id, s.action, fz.seq, row_number() OVER w - 1 AS step, count(*) OVER (PARTITION BY s.video_id, s.segment_id) AS n, rw, lw, lag(rw) OVER w AS rw0, lag(lw) OVER w AS lw0, depth FROM seg s JOIN fz ON fz.video_id = s.video_id AND fz.ts BETWEEN s.start_time AND s.end_time WINDOW w AS (PARTITION BY s.video_id, s.segment_id ORDER BY fz.ts, fz.seq))
+SELECT video_id, segment_id, step, step = 0 AS is_first, step = n - 1 AS is_last, step = n - 1 AS is_terminal, action AS language_instruction, CASE WHEN step > 0 THEN round(coalesce(rw.x - rw0.x, lw.x - lw0.x, 0), 2) ELSE 0 END AS dx, 196608 AS image_bytes, CAST(first_grey AS BIGINT) AS first_grey, CAST(last_grey AS BIGINT) AS last_grey, CASE WHEN depth IS NULL THEN 0 ELSE 262144 END AS depth_bytes
+FROM es JOIN ends USING (video_id, seq)""")
+def episode_features(spark, d):
+    """What an episode's records hold, by its sizes, ends and flags."""
+    s = c._segments(spark, d).select("video_id", "segment_id", "start_time", "end_time", "action")
+    frames = v.hand_frames(spark, d).select("video_id", "seq", "ts", "hands", "depth").join(v.raster_frames(spark, d).drop("ts"), ["video_id", "seq"])
+    steps = segments.steps(s, frames).withColumnRenamed("action", "instruction")
+    moved = hands.actions(steps, "depth", v.map_at).withColumn("action", F.array("dx", "dy", "dz", "droll", "dpitch", "dyaw", "grasp"))
+    made = episodes.step_features(moved)
+    image, deep = F.col("`observation/image`"), F.col("`observation/depth`")
+    grey = lambda at: F.conv(F.hex(F.substring(image, at, 1)), 16, 10).cast("long")
+    return made.select("video_id", "segment_id", "step", "is_first", "is_last", "is_terminal", "language_instruction", F.round(F.get("action", F.lit(0)).cast("double"), 2).alias("dx"), F.length(image).alias("image_bytes"), grey(1).alias("first_grey"), grey(episodes.SIDE**2 * 3).alias("last_grey"), F.length(deep).alias("depth_bytes"))
