@@ -14,6 +14,8 @@ from frameloom.operators.folds import fold_in_order
 #: The order of phases.
 PHASES = ("reach", "grasp", "manipulate", "hold", "release", "retract")
 MIN_SEGMENT, IDLE_SPLIT, LOW_CONFIDENCE = 0.5, 2.0, 0.4
+#: What a label may say of itself beside its action; a segment has it from its first label.
+DESCRIBED = ("action_description", "task_hierarchy", "labelling_method")
 
 
 def _ordered() -> Window:
@@ -85,14 +87,14 @@ def phases_valid(phases: Column) -> Column:
 
 
 def enrich(chunks: DataFrame) -> DataFrame:
-    """One row per (video_id, segment, chunk) of labels: times, confidences, first values, ordered distinct objects and phases, review flags and a running id."""
+    """One row per (video_id, segment, chunk) of labels: times, confidences, first values (of a description, a hierarchy and a method too, if labels have them), ordered distinct objects and phases, review flags and a running id."""
     o = F.struct("start", "seq")
     first = lambda c: F.min_by(c, o)
     in_order = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("start", "seq", c))), lambda x: x[c])
     seg = chunks.groupBy("video_id", "segment", "chunk").agg(
         first("segment_action").alias("action"), F.min("start").alias("start_time"), F.max_by("end", o).alias("end_time"),
         F.avg("confidence").alias("confidence_avg"), F.min("confidence").alias("confidence_min"), F.count("*").alias("frames_analyzed"),
-        first("hand").alias("hand_used"), first("grasp").alias("grasp_type"),
+        first("hand").alias("hand_used"), first("grasp").alias("grasp_type"), *[first(c).alias(c) for c in DESCRIBED if c in chunks.columns],
         F.array_distinct(F.flatten(in_order("objects"))).alias("objects"),
         F.array_distinct(F.filter(in_order("phase"), lambda p: p != "")).alias("phases"),
         F.avg(F.when(F.col("hand") == "none", 1.0).otherwise(0.0)).alias("_hidden"),
@@ -105,8 +107,9 @@ def enrich(chunks: DataFrame) -> DataFrame:
 def segments(labels: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
     """Labels all the way to segments; idle runs are split."""
     merged = merge_labels(labels, ranges)
-    idle = split_idle(merged.where("segment_action = 'idle'"))
-    rest = merged.where("segment_action <> 'idle'").withColumn("chunk", F.lit(0).cast("long"))
+    is_idle = F.col("segment_action").eqNullSafe("idle")
+    idle = split_idle(merged.where(is_idle))
+    rest = merged.where(~is_idle).withColumn("chunk", F.lit(0).cast("long"))
     return enrich(idle.unionByName(rest))
 
 

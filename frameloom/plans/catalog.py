@@ -30,7 +30,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from frameloom.plans import catalog_hands, catalog_more, catalog_rasters  # noqa: F401  register their own
+    from frameloom.plans import catalog_hands, catalog_more, catalog_outputs, catalog_rasters  # noqa: F401  register their own
 
     return dict(_QUERIES)
 

@@ -61,6 +61,14 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def described_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """labels with a description, a hierarchy and the method that made them."""
+    rows = labels(spark, sf_dir)
+    text = F.concat(F.lit("Do "), "action", F.lit(" with "), F.get("objects", F.lit(0)))
+    levels = F.struct(F.lit("work").alias("high_level"), F.col("action").alias("mid_level"), F.col("phase").alias("low_level"))
+    return rows.withColumns({"action_description": text, "task_hierarchy": levels, "labelling_method": F.when(F.col("action") == "idle", "rule").otherwise("vlm")})
+
+
 def _sql_pick(values: tuple[str, ...], at: str) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + f"][1 + CAST({at} AS INT)]"
 
