@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, dropped, hot_salt, salted_join, written
+from .common import BROADCAST_ROWS, dropped, hot_rows, salted_join, written
 from .vectors import NARROWER, WIDER, Sums, added, at_least, at_most, finite, integers, lists, matrix, means, moved, squared
 
 #: Lower bounds are kept as 16-bit multiples of a power of two, rounded down; larger ones as the largest, which holds as well.
@@ -154,5 +154,5 @@ def compress(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "em
     if sums.count() <= BROADCAST_ROWS:
         out = out.join(F.broadcast(sums), "_label")
     else:
-        out = salted_join(out, sums, "_label", hot_salt(out, "_label"), F.col("vec_id"))
+        out = salted_join(out, sums, "_label", hot_rows(out, "_label"), F.col("vec_id"))
     return out.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))

@@ -66,8 +66,25 @@ def hot_salt(df: DataFrame, key: str) -> DataFrame:
     return hot_keys(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")), key, "n")
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, by: Column, how: str = "inner") -> DataFrame:
-    """left join right on key, with right unique on key; left rows of a hot key are spread over HOT_SALTS partitions by the hash of `by`."""
+def hot_table(counts: DataFrame, key: str, n: str = "n") -> DataFrame | None:
+    """The keys of hot_keys, found at once and kept as a local table, so plans don't carry the search along; None where no key is hot. At most HOT_SHARE keys come to the driver."""
+    total, most = counts.agg(F.sum(n), F.max(n)).first()
+    least = max(1001, -(-(total or 0) // HOT_SHARE))
+    if not most or most < least:
+        return None
+    rows = counts.where(F.col(n) >= least).select(F.col(key).alias("_hot"))
+    return counts.sparkSession.createDataFrame(rows.collect(), rows.schema)
+
+
+def hot_rows(df: DataFrame, key: str) -> DataFrame | None:
+    """hot_table of the rows of df."""
+    return hot_table(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")), key)
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None, by: Column, how: str = "inner") -> DataFrame:
+    """left join right on key, with right unique on key; left rows of a hot key are spread over HOT_SALTS partitions by the hash of `by`. A plain join where hot is None."""
+    if hot is None:
+        return left.join(right, key, how)
     hot = F.broadcast(hot)
     left = left.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(by), F.lit(HOT_SALTS))).otherwise(F.lit(0).cast("long"))).drop("_hot")
     right = right.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0).cast("long"), F.lit(HOT_SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long"))))).drop("_hot")
@@ -85,11 +102,12 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     seen = None
     for _ in range(rounds):
         both = cur.union(cur.select(F.col("b"), F.col("a"))).toDF("u", "v")
-        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = salted_join(both.where("v > u"), low.drop("n"), "u", hot_keys(low, "u", "n"), F.col("v")).select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        down = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        small = salted_join(large.withColumnRenamed("a", "u"), down.drop("n"), "u", hot_keys(down, "u", "n"), F.col("b"))
+        low = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "low")
+        large = written(salted_join(both.where("v > u"), low.drop("n"), "u", hot_table(low, "u"), F.col("v")).select(F.col("v").alias("u"), F.col("m").alias("b")).where("u <> b").distinct(), "large")
+        down = large.groupBy("u").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = salted_join(large, down.drop("n"), "u", hot_table(down, "u"), F.col("b"))
         new = written(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("u", "m")).where("a <> b").distinct(), "edges")
+        dropped(low, large)
         state = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if cur is not first:
             dropped(cur)

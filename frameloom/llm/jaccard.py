@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, components, dropped, hot_keys, hot_salt, salted_join, union, written
+from .common import BROADCAST_ROWS, components, dropped, hot_rows, hot_table, salted_join, union, written
 
 FRAGMENTS = 8
 #: Counters of the sketch that orders n-grams: a fixed size, sent to every worker; and the parts in which it is summed.
@@ -38,6 +38,8 @@ HASHED_AT_ONCE, BYTES_AT_ONCE, ROWS_AT_ONCE = 1 << 16, 1 << 20, 1000
 LONG_WORD = 256
 #: A token makes its pairs at once if at most FAN documents have it; a group's, if one of two sides has at most FAN and both FAN_ROWS.
 FAN, FAN_ROWS = 32, 1024
+#: The same for tokens of groups' differences, where a join row must also fit by its place: one more level of groups costs more than so many comparisons a row.
+NEAR_FAN = 128
 #: A group's core is what most of at most this many of its documents have.
 CORE_SAMPLE = 32
 _BASE = 0x9E3779B97F4A7C15
@@ -184,9 +186,10 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b), those whose overlaps, counted fragment by fragment and added, reach percent of their union."""
     parts = sets.select("doc", "v", "n", F.posexplode("parts").alias("fragment", "grams"))
     side = lambda x: parts.select(F.col("doc").alias(x), F.col("v").alias(f"v{x}"), F.col("n").alias(f"n{x}"), "fragment", F.col("grams").alias(f"g{x}"))
-    both = salted_join(pairs, side("a"), "a", hot_salt(pairs, "a"), F.col("b"))
+    both = salted_join(pairs, side("a"), "a", hot_rows(pairs, "a"), F.col("b"))
     at = F.struct("b", "fragment").alias("at")
-    hot = hot_salt(pairs, "b").select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda f: F.struct(F.col("_hot").alias("b"), f.alias("fragment")))).alias("_hot"))
+    hot = hot_rows(pairs, "b")
+    hot = hot and hot.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda f: F.struct(F.col("_hot").alias("b"), f.alias("fragment")))).alias("_hot"))
     both = salted_join(both.select("*", at), side("b").select(at, "vb", "nb", "gb"), "at", hot, F.col("a"))
     key = ["a", "b", "va", "vb"]
     # repeated rows of a document give the same overlap again
@@ -198,7 +201,7 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def shared_by(rows: DataFrame, name: str, counts: dict[str, Column], possible: str) -> DataFrame:
     """rows (token, doc, ...) of tokens that can make a pair, with the token's counts, g of its rows among them. Counted with a combine before the shuffle; hot tokens are then spread by document."""
     found = written(rows.groupBy("token").agg(F.count("*").alias("g"), *[c.alias(k) for k, c in counts.items()]).where(possible), "counts")
-    out = written(salted_join(rows, found, "token", hot_keys(found, "token", "g"), F.col("doc")), name)
+    out = written(salted_join(rows, found, "token", hot_table(found, "token", "g"), F.col("doc")), name)
     dropped(found)
     return out
 
@@ -228,10 +231,10 @@ def groups(hot: DataFrame) -> DataFrame:
     """(gid, doc): the documents of each hot token, as members of the group that is named by the token's first document in a hashed order. That order is the same for all tokens, so tokens of the same near copies name few groups."""
     first = hot.groupBy("token").agg(F.min_by("doc", F.struct(F.xxhash64("doc"), "doc")).alias("gid"))
     counts = hot.groupBy("token").agg(F.count("*").alias("g"))
-    return written(salted_join(hot.select("token", "doc"), first, "token", hot_keys(counts, "token", "g"), F.col("doc")).select("gid", "doc").distinct(), "members")
+    return written(salted_join(hot.select("token", "doc"), first, "token", hot_table(counts, "token", "g"), F.col("doc")).select("gid", "doc").distinct(), "members")
 
 
-def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def differences(members: DataFrame, sets: DataFrame, percent: int, hot: DataFrame | None) -> DataFrame:
     """(gid, doc, cc, w, d, tokens) of each member: tokens are the d n-grams in which it differs from its group's core, rarest first and the core's own last."""
     whole = sets.select("doc", F.flatten("parts").alias("grams"))
     sample = members.groupBy("gid", F.pmod(F.xxhash64("doc", "gid"), F.lit(CORE_SAMPLE)).alias("k")).agg(F.min_by("doc", F.struct(F.xxhash64("doc"), "doc")).alias("doc"))
@@ -239,8 +242,8 @@ def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     size = sample.groupBy("gid").agg(F.count("*").alias("m"))
     core = seen.join(size, "gid").where("2 * c > m").groupBy("gid").agg(F.array_sort(F.collect_list(F.struct("c", "gram")))["gram"].alias("core"))
     core = written(core, "core")
-    with_sets = salted_join(members, whole, "doc", hot_salt(members, "doc"), F.col("gid"))
-    at = salted_join(with_sets, core, "gid", hot_salt(members, "gid"), F.col("doc"), "left")
+    with_sets = salted_join(members, whole, "doc", hot_rows(members, "doc"), F.col("gid"))
+    at = salted_join(with_sets, core, "gid", hot, F.col("doc"), "left")
     at = at.select("gid", "doc", "grams", F.coalesce("core", F.expr("cast(array() as array<bigint>)")).alias("core"))
     at = at.select("gid", "doc", F.size("core").alias("c"), F.array_except("grams", "core").alias("more"), F.array_except("core", "grams").alias("less"))
     out = at.select("gid", "doc", (F.col("c") * (100 - percent)).cast("long").alias("cc"), (100 * F.size("less") + percent * F.size("more")).cast("long").alias("w"), (F.size("less") + F.size("more")).cast("long").alias("d"), F.concat("more", "less").alias("tokens"))
@@ -259,9 +262,10 @@ def group_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[list
     unit, pairs, links = 100 + percent, [], []
     d, pos, w, cc, low = map(F.col, ("d", "pos", "w", "cc", "low"))
     while not members.isEmpty():
-        own = differences(members, sets, percent)
+        hot = hot_rows(members, "gid")
+        own = differences(members, sets, percent, hot)
         least = own.groupBy("gid").agg(F.min(F.struct("w", "doc")).alias("least"))
-        own = salted_join(own, least, "gid", hot_salt(members, "gid"), F.col("doc"))
+        own = salted_join(own, least, "gid", hot, F.col("doc"))
         own = own.select("gid", "doc", "cc", "w", "d", "tokens", F.col("least.w").alias("low"), F.col("least.doc").alias("near"))
         links.append(written(own.where("w + low <= cc and doc <> near").select(F.col("near").alias("a"), F.col("doc").alias("b")), "links"))
         # only a document beyond the core's reach needs partners; its own prefix is long, for partners of any smaller w, that of partners is short
@@ -271,7 +275,7 @@ def group_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[list
         own = own.select("gid", "doc", "cc", "w", "d", "_l", "_s", F.posexplode(F.slice("tokens", F.lit(1), F.greatest("_l", "_s").cast("int"))).alias("pos", "token"))
         rows = own.select(F.xxhash64("gid", "token").alias("token"), "doc", "cc", "w", (d - pos).alias("room"), (pos < F.col("_l")).alias("long"), (pos < F.col("_s")).alias("short"))
         rows = shared_by(rows, "shared", {"l": F.count_if("long"), "s": F.count_if("short")}, "g > 1 and l > 0 and s > 0")
-        few = (F.least("l", "s") <= FAN) & (F.col("g") <= FAN_ROWS)
+        few = (F.least("l", "s") <= NEAR_FAN) & (F.col("g") <= FAN_ROWS)
         pairs.append(written(pairs_of(rows.where(few), unit), "pairs"))
         members = groups(rows.where(~few))
     return links, pairs
@@ -316,6 +320,6 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     links, more = group_links(members, sets, percent)
     pairs = union(pairs, *more)
     links.append(similar(written(pairs.distinct(), "candidates"), sets, percent))
-    copies = salted_join(named, first.where("c > 1"), "key", hot_salt(named, "key"), F.col("doc_id")).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    copies = salted_join(named, first.where("c > 1"), "key", hot_rows(named, "key"), F.col("doc_id")).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     labels = components(union(copies, *links))
     return ids.join(labels, ids.doc_id == labels.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

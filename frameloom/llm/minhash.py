@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, dropped, hot_keys, hot_salt, salted_join, union, written
+from .common import components, dropped, hot_rows, hot_table, salted_join, union, written
 from .jaccard import FAN, Hasher, cut_sets, group_links, normal, rows_of, similar
 
 BANDS, ROWS = 50, 6
@@ -82,7 +82,7 @@ def stars(signed: DataFrame, percent: int) -> DataFrame:
     """(a, b, wide) for documents (doc, n, bands): a is the centre of a bucket that b is in; wide, if one of them has more than these two."""
     rows = signed.select("doc", "n", F.explode("bands").alias("bucket"))
     centres = written(rows.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), "doc", "n")).alias("c"), F.count("*").alias("g")).where("g > 1"), "buckets")
-    edges = salted_join(rows, centres, "bucket", hot_keys(centres, "bucket", "g"), F.col("doc")).where("doc <> c.doc")
+    edges = salted_join(rows, centres, "bucket", hot_table(centres, "bucket", "g"), F.col("doc")).where("doc <> c.doc")
     out = written(edges.groupBy(F.col("c.doc").alias("a"), F.col("doc").alias("b")).agg((F.max("g") > 2).alias("wide"), F.any_value("n").alias("nb"), F.any_value("c.n").alias("na")), "stars")
     dropped(centres)
     return out.withColumn("fits", 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).drop("na", "nb")
@@ -113,7 +113,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     seen = written(wide.select("a", "b").join(linked.select("a", "b", F.lit(True).alias("linked")), ["a", "b"], "left"), "seen")
     open_ = seen.groupBy("a").agg(F.count("*").alias("m"), F.count("linked").alias("k")).where("m > 1 and k < m")
     open_ = written(open_, "open")
-    rest = written(salted_join(seen, open_, "a", hot_keys(open_, "a", "m"), F.col("b")).select("a", F.col("b").alias("doc"), "linked", "m"), "rest")
+    rest = written(salted_join(seen, open_, "a", hot_table(open_, "a", "m"), F.col("b")).select("a", F.col("b").alias("doc"), "linked", "m"), "rest")
     few, many = rest.where(F.col("m") <= FAN), rest.where(F.col("m") > FAN)
     # at most FAN partners for each unlinked member
     x, y = few.where("linked is null").select("a", F.col("doc").alias("x")), few.select("a", F.col("doc").alias("y"))
@@ -121,7 +121,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     links, more = group_links(written(many.select(F.col("a").alias("gid"), "doc"), "members"), sets, percent)
     pairs = written(union(pairs, *more).distinct(), "candidates")
     links += [linked, similar(pairs, sets, percent)]
-    copies = salted_join(named.select("key", "doc_id"), first.where("c > 1").select("key", "doc"), "key", hot_salt(named, "key"), F.col("doc_id")).where("doc_id <> doc").select(F.col("doc").alias("a"), F.col("doc_id").alias("b"))
+    copies = salted_join(named.select("key", "doc_id"), first.where("c > 1").select("key", "doc"), "key", hot_rows(named, "key"), F.col("doc_id")).where("doc_id <> doc").select(F.col("doc").alias("a"), F.col("doc_id").alias("b"))
     labels = components(union(copies, *links))
     out = ids.join(labels, ids.doc_id == labels.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
