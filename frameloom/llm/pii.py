@@ -23,6 +23,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "context")
 #: A word that may be an identifier, and what a word is.
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+TELLING = r"\p{L}|[0-9][^0-9]*[0-9][^0-9]*[0-9][^0-9]*[0-9]"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -110,9 +111,9 @@ def _ranked(rank: int, kind: str):
 def extract(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rounds: int = 3, support: int = 5, confidence: float = 0.9, out: str = "entities") -> DataFrame:
     """(doc_id, entities) for each row of docs; entities: array of (kind, start, end, value) by start, then kind as listed in KINDS; code points, end exclusive.
 
-    A "context" entity is a word with a digit or an @ that overlaps no other entity and one of whose patterns (word
+    A "context" entity is a word with a digit or an @, and a letter or four digits, that overlaps no other entity and whose pattern (word
     before, lower-cased, and shape) matched at least `support` different seeds and scores `confidence` or more. Every
-    such word counts for or against its patterns; identifiers of several words are found only by the fixed patterns.
+    word with a digit or an @ counts for or against its pattern; identifiers of several words are found only by the fixed patterns.
     Null and empty texts have no entities; repeated rows each get theirs. Other columns of docs are ignored.
     """
     t = F.coalesce(F.col(text), F.lit(""))
@@ -137,9 +138,10 @@ def extract(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", roun
         patterns = salted_join(edges, score, "value", hot_values, F.col("pattern")).groupBy("pattern").agg((F.sum("s") / F.count("*")).alias("q"), F.sum(F.col("seed").cast("long")).alias("seeds"))
         trusted = patterns.where(F.col("seeds") >= support)
         score = written(salted_join(edges, trusted, "pattern", hot_patterns, F.col("value"), "left").groupBy("value").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(F.coalesce("q", F.lit(0.0)))).alias("s")), "scores")
-    sure = score.where(F.col("s") >= confidence).select("value")
-    free = cand.where(~F.col("seed"))
-    new = salted_join(free, sure, "value", hot_salt(free, "value"), F.struct("doc_id", "start")).select("doc_id", "th", "start", "end", "value")
+    # the word's own pattern decides, not what its value met elsewhere; a few digits alone identify nobody
+    sure = written(trusted.where(F.col("q") >= confidence).select("pattern"), "patterns")
+    free = cand.where(~F.col("seed") & F.col("value").rlike(TELLING))
+    new = salted_join(free, sure, "pattern", hot_salt(free, "pattern"), F.struct("doc_id", "start")).select("doc_id", "th", "start", "end", "value")
     new = new.distinct().groupBy("doc_id", "th").agg(F.collect_list(F.struct(F.lit(4).alias("rank"), F.lit("context").alias("kind"), "start", "end", "value")).alias("new"))
     joined = table.alias("t").join(new.alias("n"), F.col("t.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("t.th") == F.col("n.th")), "left")
     whole = F.array_sort(F.transform(F.concat("base", F.coalesce("new", F.expr("cast(array() as array<struct<rank:int,kind:string,start:bigint,end:bigint,value:string>>)"))), lambda x: F.struct(x["start"], x["rank"], x["kind"], x["end"], x["value"])))

@@ -27,10 +27,12 @@ ASSIGN = re.compile(r"(?ai:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")  # the same as all AKIA[A-Z0-9]+ of 16 characters or more, as are those of HEX
 HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "format")
-#: A candidate for its format: a whole run of these characters, however long, of 16 or more, or of 8 or more with a letter and a digit.
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])(?:[A-Za-z0-9+/_=-]{16,}+|(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{8,}+)")
+#: A candidate for its format: a whole run of these characters, with single dots inside, however long, of 16 or more, or of 8 or more with a letter and a digit.
+RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])(?<![A-Za-z0-9+/_=-]\.)[A-Za-z0-9+/_=-]++(?:\.[A-Za-z0-9+/_=-]++)*+")
+LONG_RUN, SHORT_RUN = 16, 8
 #: Ordinary words teach the contrast too: one in WORDS of those with 8 letters or more, by hash.
 WORD, WORDS = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{8,}(?![A-Za-z0-9+/_=-])"), 64
+DIGIT, LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 CUE = re.compile(r"(?ai:passw|secret|token|api)")
 
 SEPARATORS = "+/_=-."
@@ -53,6 +55,9 @@ def candidates(text: str, base: list[tuple[int, int, str, str]]) -> Iterator[re.
     ends = sorted((s, e) for s, e, *_ in base)
     at, last = 0, 0
     for m in RUN.finditer(text):
+        n = m.end() - m.start()
+        if n < SHORT_RUN or n < LONG_RUN and not (DIGIT.search(m[0]) and LETTER.search(m[0])):
+            continue
         while at < len(ends) and ends[at][0] < m.end():
             last, at = max(last, ends[at][1]), at + 1
         if last <= m.start():
@@ -179,13 +184,17 @@ class Automaton:
         return (total + self.logp[at][END]) / (len(s) + 1) if ends else total / len(s)
 
 
-def fit(docs: DataFrame, *, text: str = "text", max_labelled: int = 2000, margin: float = 0.15) -> dict | None:
+def fit(docs: DataFrame, *, text: str = "text", max_labelled: int = 2000, longest: int = 1000, margin: float = 0.15) -> dict | None:
     """One automaton for each kind of credential and one of ordinary strings, from at most max_labelled distinct values of each (the smallest by hash over all documents); None without credentials.
 
+    A value that was found as several kinds teaches each of them. Values of more than `longest` characters teach
+    nothing, so what comes to the driver is bounded in bytes, however long a text or a run is; they are scored like all others.
+    A kind of one value has no threshold of its own and finds nothing.
+
     Ordinary strings are the candidates of all texts that overlap no fixed pattern's match, and words, but for those that
     a first round finds likelier as credentials. A kind's
     threshold is the lowest likelihood ratio of the upper nineteen twentieths of its labelled values, each held out in
-    turn with a third of them, or margin if that is more: it doesn't depend on the size of docs.
+    turn with a third of them (one by one, if there are fewer than six), or margin if that is more: it doesn't depend on the size of docs.
     """
 
     def values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -201,8 +210,9 @@ def fit(docs: DataFrame, *, text: str = "text", max_labelled: int = 2000, margin
 
     found = docs.select(F.col(text).alias("t")).where(F.col("t").isNotNull()).mapInPandas(values, "value string, kind string")
     # what is labelled anywhere is no ordinary string elsewhere
-    found = written(found.groupBy("value").agg(F.max("kind").alias("kind")), "values")
-    take = lambda k: [r[0] for r in found.where(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(max_labelled).select("value").collect()]
+    found = written(found.where(F.length("value") <= longest).groupBy("value").agg(*[F.max(F.col("kind") == k).alias(f"is_{k}") for k in KINDS[:3]]), "values")
+    is_kind = {k: F.col(f"is_{k}") for k in KINDS[:3]} | {"": ~F.greatest(*[F.col(f"is_{k}") for k in KINDS[:3]])}
+    take = lambda k: [r[0] for r in found.where(is_kind[k]).orderBy(F.xxhash64("value"), "value").limit(max_labelled).select("value").collect()]
     secrets = {k: v for k in KINDS[:3] if (v := take(k))}
     if not secrets:
         return None
@@ -213,7 +223,10 @@ def fit(docs: DataFrame, *, text: str = "text", max_labelled: int = 2000, margin
     other = Automaton.infer([s for s in plain if all(a.score(s) < other.score(s, False) for a in kinds.values())] or plain, lengths=False)
     model = {"other": (other.step, other.logp), "kinds": {}}
     for k, v in secrets.items():
-        folds = [(Automaton.infer([s for i, s in enumerate(v) if i % 3 != out]), v[out::3]) for out in range(3)] if len(v) >= 6 else [(kinds[k], v)]
+        if len(v) < 2:
+            continue
+        n = 3 if len(v) >= 6 else len(v)
+        folds = [(Automaton.infer([s for i, s in enumerate(v) if i % n != out]), v[out::n]) for out in range(n)]
         ratios = sorted(a.score(s) - other.score(s, False) for a, held in folds for s in held)
         model["kinds"][k] = (kinds[k].step, kinds[k].logp, max(margin, ratios[len(ratios) // 20]))
     return model
