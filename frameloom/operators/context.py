@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from frameloom.operators import hands as many
 from frameloom.operators.labels import top_interactions
 
 KEY = ["video_id", "batch_id"]
-#: The text's wording, and the mean activity above which a batch has a name.
+#: The text's wording, and the mean activity above which a batch has a name; how many contacts the short text and the line on depth tell of.
 NONE = "none detected"
-ACTIVE, POSSIBLE = (0.6, "active manipulation"), (0.2, "possible activity")
+ACTIVE, POSSIBLE = (many.ACTIVE, "active manipulation"), (many.POSSIBLE, "possible activity")
+SHORT, DEEP = 3, 2
 QUIET = "idle/observing"
 
 
@@ -51,16 +55,56 @@ def contact_line(contacts: DataFrame) -> DataFrame:
     return _line(top_interactions(contacts), [F.col("rank")], text, "contacts", "; ")
 
 
-def batch_context(frames: DataFrame, hands: DataFrame, objects: DataFrame, contacts: DataFrame) -> DataFrame:
+def depth_line(frames: DataFrame, contacts: DataFrame, depth: str, look_up: Callable[[Column, Column, Column], Column]) -> DataFrame:
+    """(video_id, batch_id, deep): depths in the first frame of a batch that has a map, under each of its hands' wrists and under the strongest contacts' objects. Only batches with contacts have the line.
+
+    frames is (video_id, batch_id, seq, hands, a map or null), contacts (video_id, batch_id, class_name, contact_score, seq, ordinal, cx, cy).
+    """
+    first = frames.where(F.col(depth).isNotNull()).groupBy(*KEY).agg(F.min_by(F.struct("hands", F.col(depth).alias("map")), "seq").alias("f")).select(*KEY, "f.*")
+    strongest = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("contact_score"), "seq", "ordinal"))
+    best = contacts.withColumn("_r", strongest).where(F.col("_r") <= DEEP).groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("_r", "class_name", "cx", "cy"))).alias("best"))
+    rows = first.join(best, KEY)
+    seen = F.filter("hands", lambda h: F.size(h["pixels"]) > 0)
+    wrist = F.transform(seen, lambda h: F.concat(F.lit("hand at "), digits(look_up(F.col("map"), F.get(h["pixels"], F.lit(0))["x"], F.get(h["pixels"], F.lit(0))["y"]))))
+    held = F.transform("best", lambda b: F.concat(b["class_name"], F.lit(" at "), digits(look_up(F.col("map"), b["cx"], b["cy"]))))
+    return rows.select(*KEY, F.array_join(F.concat(F.coalesce(wrist, F.expr("cast(array() as array<string>)")), held), ", ").alias("deep"))
+
+
+def heading(start: Column, end: Column) -> Column:
+    return F.concat(F.lit("Local CV metadata for frames "), digits(start, 1), F.lit("s - "), digits(end, 1), F.lit("s:"))
+
+
+def short_context(frames: DataFrame, hands: DataFrame, objects: DataFrame, contacts: DataFrame) -> DataFrame:
+    """(video_id, batch_id, context): the short text of a batch. Hands by name, the surest confidence of each class, the three strongest contacts, mean activity; what a batch doesn't have has no line, but for hands.
+
+    frames, hands, objects and contacts are as for batch_context(); contacts need no iou and no grasp_type.
+    """
+    span = frames.groupBy(*KEY).agg(F.min("ts").alias("_a"), F.max("ts").alias("_z"), F.avg("activity").alias("_m"))
+    named = hands.groupBy(*KEY).agg(F.array_join(F.array_sort(F.collect_set("handedness")), ", ").alias("hands"))
+    each = objects.groupBy(*KEY, "class_name").agg(F.max("confidence").alias("c"), F.min(F.struct("seq", "ordinal")).alias("first"))
+    classes = _line(each, [-F.col("c"), F.col("first")], F.concat("class_name", F.lit(" (conf "), digits(F.col("c")), F.lit(")")), "objects")
+    strongest = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("contact_score"), "seq", "ordinal"))
+    top = contacts.withColumn("rank", strongest).where(F.col("rank") <= SHORT)
+    held = _line(top, [F.col("rank")], F.concat("hand", F.lit(" hand -> "), "class_name", F.lit(" (score "), digits(F.col("contact_score")), F.lit(")")), "contacts", "; ")
+    rows = span.join(named, KEY, "left").join(classes, KEY, "left").join(held, KEY, "left")
+    lines = [heading(F.col("_a"), F.col("_z")), F.concat(F.lit("  Hands: "), F.coalesce(F.concat("hands", F.lit(" detected")), F.lit(NONE)))]
+    lines += [F.concat(F.lit("  Objects: "), "objects"), F.concat(F.lit("  Interactions: "), "contacts"), F.concat(F.lit("  Activity score: "), digits(F.col("_m")))]
+    return rows.select(*KEY, F.concat_ws("\n", *lines).alias("context"))
+
+
+def batch_context(frames: DataFrame, hands: DataFrame, objects: DataFrame, contacts: DataFrame, deep: DataFrame | None = None) -> DataFrame:
     """(video_id, batch_id, mean_activity, activity_name, context) for each batch of frames (video_id, batch_id, ts, activity).
 
-    The other three are as for their lines; a batch without rows in one says so. Depth is not told.
+    The other three are as for their lines; a batch without rows in one says so. deep is what depth_line() gives; without it, or for a batch that it lacks, depth is not told.
     """
     span = frames.groupBy(*KEY).agg(F.min("ts").alias("_a"), F.max("ts").alias("_z"), F.avg("activity").alias("mean_activity"))
     for part in (hand_line(hands), object_line(objects), contact_line(contacts)):
         span = span.join(part, KEY, "left")
     name = activity_name(F.col("mean_activity"))
-    lines = [F.concat(F.lit("Local CV metadata for frames "), digits(F.col("_a"), 1), F.lit("s - "), digits(F.col("_z"), 1), F.lit("s:"))]
+    lines = [heading(F.col("_a"), F.col("_z"))]
     lines += [F.concat(F.lit(f"  {title}: "), F.coalesce(c, F.lit(NONE))) for title, c in (("Hands", "hands"), ("Objects", "objects"), ("Interactions", "contacts"))]
     lines += [F.concat(F.lit("  Activity: "), digits(F.col("mean_activity")), F.lit(" ("), name, F.lit(")"))]
+    if deep is not None:
+        span = span.join(deep, KEY, "left")
+        lines.append(F.concat(F.lit("  Depth: "), "deep"))
     return span.select(*KEY, "mean_activity", name.alias("activity_name"), F.concat_ws("\n", *lines).alias("context"))

@@ -43,25 +43,43 @@ def metadata_features(segs: DataFrame) -> DataFrame:
     return segs.withColumn("features", F.array(*[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("float"), F.lit(0.0).cast("float")) for c in parts]))
 
 
-#: Rows of the split's histogram of hashes: its size doesn't depend on the samples.
-SPLIT_BUCKETS = 4096
+#: Bits of a hash that one histogram of the split tells apart, and rows that may be put in order at once: neither depends on the samples.
+SPLIT_BITS, SPLIT_ROWS = 12, 4096
 
 
 def train_val_split(samples: DataFrame, *key: str, split: float = 0.2, seed: int = 42) -> DataFrame:
-    """samples with is_validation: exactly max(1, int(n * split)) rows, those with the smallest hashes.
+    """samples with is_validation: exactly max(1, int(n * split)) rows, those with the smallest hashes (n is the number of rows; none of none).
 
-    A histogram of the hashes tells the bucket in which the border lies; buckets before it are in, and only the
-    border's own rows, one in SPLIT_BUCKETS, are put in order.
+    The border hash is found by histograms: of the first bits of all hashes, then of the next bits inside the border's
+    bucket, until few rows are left, whose hashes and keys are put in order. Then each row is compared with the border
+    on its own: no join and no table that grows with the samples. Rows of one key have one side, so key should be
+    unique; equal ones at the border are all in.
     """
-    hashed = samples.withColumn("_h", F.xxhash64(*key, F.lit(seed))).withColumn("_b", F.floor((F.col("_h") / F.lit(2.0**64) + 0.5) * SPLIT_BUCKETS).cast("int")).persist(StorageLevel.DISK_ONLY)  # read three times; a lost block is made again
-    counts = sorted((r["_b"], r["n"]) for r in hashed.groupBy("_b").agg(F.count("*").alias("n")).collect())  # SPLIT_BUCKETS rows at most
-    left, border = max(1, int(sum(n for _, n in counts) * split)), -1
-    for border, n in counts:
-        if left <= n:
+    h = F.xxhash64(*key, F.lit(seed))
+    hashed = samples.select(h.alias("_h"), *key).persist(StorageLevel.DISK_ONLY)  # read a few times; a lost block is made again
+    inside, left, shift = hashed, None, 64
+    while True:
+        shift = max(0, shift - SPLIT_BITS)
+        bucket = F.shiftright("_h", shift)
+        counts = sorted((r["b"], r["n"]) for r in inside.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect())  # 2 ** SPLIT_BITS rows at most
+        if not counts:
+            hashed.unpersist()
+            return samples.withColumn("is_validation", F.lit(False))
+        left = max(1, int(sum(n for _, n in counts) * split)) if left is None else left
+        for border, n in counts:
+            if left <= n:
+                break
+            left -= n
+        inside = inside.where(bucket == border)
+        if n <= SPLIT_ROWS or not shift:
+            # with all bits used, only rows of one hash are left: of these no more are fetched than count
+            last = inside.orderBy("_h", *key).limit(min(left, SPLIT_ROWS)).collect()[-1]
             break
-        left -= n
-    chosen = hashed.where(F.col("_b") == border).select(*key, "_h").orderBy("_h", *key).limit(left).select(*key, F.lit(True).alias("_in"))
-    return hashed.join(F.broadcast(chosen), list(key), "left").withColumn("is_validation", (F.col("_b") < border) | F.coalesce("_in", F.lit(False))).drop("_h", "_b", "_in")
+    hashed.unpersist()
+    place = F.struct(h.alias("_h"), *[F.col(k).alias(k) for k in key])
+    kinds = inside.schema
+    limit = samples.sparkSession.createDataFrame([tuple(last)], kinds).select(F.struct("_h", *key).alias("_last"))
+    return samples.join(F.broadcast(limit)).withColumn("is_validation", place <= F.col("_last")).drop("_last")
 
 
 def confusion_matrix(preds: DataFrame) -> DataFrame:

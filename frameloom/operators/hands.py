@@ -88,11 +88,17 @@ def actions(episode: DataFrame, depth: str, look_up: Callable[[Column, Column, C
 
 
 def contacts(frames: DataFrame, depth: str, look_up: Callable[[Column, Column, Column], Column], least: float = 0.3) -> DataFrame:
-    """Pairs of a hand and an object in one frame (video_id, seq, hands, objects, a depth map or null): hand_no, object_no, handedness, class_name, iou, tips, depth_diff, contact_score, contact_rank in the frame. Pairs are made inside a row, so nothing is shuffled for them; weak ones are dropped."""
+    """Pairs of a hand and an object in one frame (video_id, seq, hands, objects, a depth map or null): hand_no, object_no, handedness, class_name, iou, tips, depth_diff, contact_score, contact_rank in the frame, centre of the object. Pairs are made inside a row, so nothing is shuffled for them; weak ones are dropped."""
     pair = frames.select("video_id", "seq", F.col(depth).alias("_map"), "objects", F.posexplode("hands").alias("hand_no", "_h")).select("video_id", "seq", "_map", "hand_no", "_h", F.posexplode("objects").alias("object_no", "_o"))
     wrist, middle = F.get("_h.pixels", F.lit(WRIST)), centre(F.col("_o.bbox"))
     deep = F.when(F.col("_map").isNotNull() & wrist.isNotNull(), F.abs(look_up(F.col("_map"), wrist["x"], wrist["y"]) - look_up(F.col("_map"), middle["x"], middle["y"])))
     pair = pair.withColumns({"iou": iou(F.col("_h.box"), F.col("_o.bbox")), "tips": tips_inside(F.col("_h.pixels"), F.col("_o.bbox")), "depth_diff": deep})
     pair = pair.withColumn("contact_score", contact_score(F.col("iou"), F.col("depth_diff"), F.col("tips"))).where(F.col("contact_score") >= least)
     rank = F.row_number().over(Window.partitionBy("video_id", "seq").orderBy(F.desc("contact_score"), "hand_no", "object_no"))
-    return pair.select("video_id", "seq", F.col("hand_no").cast("long").alias("hand_no"), F.col("object_no").cast("long").alias("object_no"), F.col("_h.handedness").alias("handedness"), F.col("_o.class_name").alias("class_name"), "iou", "tips", "depth_diff", "contact_score", rank.cast("long").alias("contact_rank"))
+    return pair.select("video_id", "seq", F.col("hand_no").cast("long").alias("hand_no"), F.col("object_no").cast("long").alias("object_no"), F.col("_h.handedness").alias("handedness"), F.col("_o.class_name").alias("class_name"), "iou", "tips", "depth_diff", "contact_score", rank.cast("long").alias("contact_rank"), centre(F.col("_o.bbox")).alias("centre"))
+
+
+def confident(frames: DataFrame, objects: str = "objects", least: float = 0.3) -> DataFrame:
+    """frames with the detections of confidence `least` or more, surest first, equals in their order; null confidences go."""
+    order = lambda a, b: F.when(a["confidence"] > b["confidence"], -1).when(a["confidence"] < b["confidence"], 1).otherwise(0)
+    return frames.withColumn(objects, F.array_sort(F.filter(objects, lambda o: o["confidence"] >= least), order))

@@ -36,6 +36,14 @@ def parse_responses(responses: DataFrame, text: str = "response") -> DataFrame:
     )
 
 
+def at_frames(frames: DataFrame, annotations: DataFrame, order: str = "seq") -> DataFrame:
+    """frames (video_id, ts, ...) with the annotation of their time (video_id, ts, ...): joined by whole milliseconds, which doubles of one time share. Of several for one time the last by `order` counts; frames without one are dropped. Columns that both have are the frame's."""
+    ms = F.round(F.col("ts") * 1000).cast("long")
+    mine = [c for c in annotations.columns if c not in frames.columns]
+    last = annotations.withColumn("_ms", ms).groupBy("video_id", "_ms").agg(F.max_by(F.struct(*mine), order).alias("_a"))
+    return frames.withColumn("_ms", ms).join(last, ["video_id", "_ms"]).select(*[F.col(c) for c in frames.columns], "_a.*")
+
+
 def with_idle(labels: DataFrame, idle_frames: DataFrame) -> DataFrame:
     """labels (video_id, start, end, action, hand, grasp, phase, confidence) and a point label for each idle frame (video_id, ts), with place by start; on a tie labels come first."""
     mine = labels.select("video_id", "start", "end", *[c for c in IDLE if c != "description"], F.lit(0).alias("_rank"), F.col("seq").alias("_seq"))

@@ -153,6 +153,25 @@ def timeline(segs: DataFrame) -> DataFrame:
     return segs.select("video_id", "segment_id", F.concat(span, line).alias("line"))
 
 
+#: A timeline's rule and what it says of a transition.
+RULE, MOVING = "=" * 80, "[---]  TRANSITION -- Head movement / walking"
+
+
+def timeline_text(segs: DataFrame, title: str = "Annotation Timeline") -> DataFrame:
+    """(video_id, place, line): a video's whole timeline, with heading and end; places count from -3, segments by their ids. Segments may have an action_description."""
+    two = lambda c: F.format_string("%.2f", c + 1e-9)  # noqa: E731  what lies between two goes up
+    described = F.coalesce(F.col("action_description"), F.lit("")) if "action_description" in segs.columns else F.lit("")
+    span = F.concat(clock(F.col("start_time")), F.lit(" - "), clock(F.col("end_time")), F.lit("  "))
+    sure = F.concat(F.lit("["), two(F.round("confidence_avg", 4)), F.lit("] "), F.coalesce("action", F.lit("")), F.lit(" -- "))
+    phases = F.when(F.size("phases") > 0, F.concat(F.lit(", "), F.array_join("phases", " -> "))).otherwise("")
+    body = F.when(F.col("action") == "transition", F.lit(MOVING)).when(F.col("needs_review"), F.concat(sure, F.lit("NEEDS REVIEW ("), "review_reason", F.lit(")"))).otherwise(F.concat(sure, described, F.lit(" ("), F.coalesce("hand_used", F.lit("")), phases, F.lit(")")))
+    rows = segs.select("video_id", F.col("segment_id").alias("place"), F.concat(span, body).alias("line"))
+    around = F.array(*[F.struct(F.lit(i).cast("long").alias("place"), F.lit(t).alias("line")) for i, t in ((-3, title), (-2, RULE), (-1, ""))])
+    last = F.array(*[F.struct((F.col("_n") + i).alias("place"), F.lit(t).alias("line")) for i, t in ((1, ""), (2, RULE))])
+    ends = segs.groupBy("video_id").agg(F.max("segment_id").alias("_n")).select("video_id", F.explode(F.concat(around, last)).alias("x")).select("video_id", "x.place", "x.line")
+    return rows.unionByName(ends)
+
+
 def review_queue(segs: DataFrame, frames: DataFrame, minutes_each: int = 5) -> DataFrame:
     """Segments for review with how many frames they show and the minutes that a reviewer needs for the video."""
     todo = segs.where("needs_review")

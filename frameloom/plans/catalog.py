@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameloom.functions import geometry as g
-from frameloom.operators import evaluate, frames, scoring, segments, tracks
+from frameloom.operators import evaluate, frames, hands, scoring, segments, tracks
 from frameloom.sources import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -224,8 +224,8 @@ sc AS (SELECT video_id, round(CASE WHEN missing THEN 0 ELSE least(1, 0.2e0 + CAS
 SELECT video_id, count(*) AS total, count(*) FILTER (a >= 0.6e0) AS n_active, count(*) FILTER (a >= 0.2e0 AND a < 0.6e0) AS n_possible, count(*) FILTER (a < 0.2e0) AS n_idle, round(sum(a) / (count(*) + 1e-8), 3) AS mean_activity FROM sc GROUP BY 1""")
 def activity_route(spark, d):
     a = evaluate.activity_lite(v.hands(spark, d)).select("video_id", r6("activity"))
-    kind = F.when(F.col("activity") >= 0.6, "active").when(F.col("activity") >= 0.2, "possible").otherwise("idle")
-    n = lambda k: F.count_if(kind == k).alias(f"n_{k}")
+    kind = hands.activity_class(F.col("activity"))
+    n = lambda k: F.count_if(kind.startswith(k)).alias(f"n_{k}")
     return a.groupBy("video_id").agg(F.count("*").alias("total"), n("active"), n("possible"), n("idle"), F.round(F.sum("activity") / (F.count("*") + 1e-8), 3).alias("mean_activity"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from frameloom.operators import hands, segments, trajectories
+from frameloom.operators import context, hands, labels, segments, trajectories
 from frameloom.sources import views as v
 
 from . import catalog as c
@@ -67,7 +67,7 @@ def hands_actions(spark, d):
     return hands.actions(steps, "depth", v.map_at).select("video_id", "segment_id", "step", *[c.r6(k) for k in seven])
 
 
-@query(f"""{_LIST}, ob AS (SELECT video_id, seq, k, vec_id, e FROM hands_v, (SELECT unnest([0, 1]) AS k)),
+_CONTACTS = f"""{_LIST}, ob AS (SELECT video_id, seq, k, vec_id, e FROM hands_v, (SELECT unnest([0, 1]) AS k)),
 bx AS (SELECT video_id, seq, k, ['wrench', 'bolt', 'screw', 'panel', 'cable', 'plate', 'gear'][1 + CAST((vec_id + k) % 7 AS INT)] AS class_name, CAST(floor((e[47 + 4 * k] + 0.5e0) * 640) AS BIGINT) AS x1, CAST(floor((e[48 + 4 * k] + 0.5e0) * 480) AS BIGINT) AS y1 FROM ob),
 pa AS (SELECT hd.video_id, hd.seq, hd.i - 1 AS hand_no, bx.k AS object_no, label AS handedness, class_name, px, x1, y1, x1 + 100 + 20 * k AS x2, y1 + 80 AS y2, hf.depth,
   {_BOX("px", "x")} AS a1, {_BOX("px", "y")} AS b1, {_END("px", "x", 640)} AS a2, {_END("px", "y", 480)} AS b2 FROM hd JOIN bx USING (video_id, seq) JOIN hf USING (video_id, seq)),
@@ -76,12 +76,72 @@ io AS (SELECT *, greatest(least(a2, x2) - greatest(a1, x1), 0) * greatest(least(
   CASE WHEN depth IS NOT NULL THEN abs({v.map_sql("depth", "px[1].x", "px[1].y")} - {v.map_sql("depth", "((x1 + x2) // 2)", "((y1 + y2) // 2)")}) END AS depth_diff FROM pa),
 s0 AS (SELECT *, coalesce(inter / nullif(areas - inter, 0), 0) AS iou FROM io),
 s1 AS (SELECT *, round(CASE WHEN depth_diff IS NULL THEN 0.525e0 * least(1, iou / 0.3e0) + 0.475e0 * least(1, tips / 3e0) ELSE 0.4e0 * least(1, iou / 0.3e0) + 0.25e0 * greatest(0, 1 - depth_diff / 0.1e0) + 0.35e0 * least(1, tips / 3e0) END, 4) AS b0 FROM s0),
-s2 AS (SELECT *, greatest(b0, CASE WHEN iou > 0.3e0 THEN 0.5e0 ELSE 0 END, CASE WHEN iou > 0.1e0 AND depth_diff < 0.05e0 THEN 0.6e0 ELSE 0 END, CASE WHEN tips >= 1 THEN 0.4e0 ELSE 0 END) AS contact_score FROM s1)
+s2 AS (SELECT *, greatest(b0, CASE WHEN iou > 0.3e0 THEN 0.5e0 ELSE 0 END, CASE WHEN iou > 0.1e0 AND depth_diff < 0.05e0 THEN 0.6e0 ELSE 0 END, CASE WHEN tips >= 1 THEN 0.4e0 ELSE 0 END) AS contact_score FROM s1)"""
+
+
+@query(f"""{_CONTACTS}
 SELECT video_id, seq, hand_no, CAST(object_no AS BIGINT) AS object_no, handedness, class_name, round(iou, 6) AS iou, tips, round(depth_diff, 6) AS depth_diff, contact_score, row_number() OVER (PARTITION BY video_id, seq ORDER BY contact_score DESC, hand_no, object_no) AS contact_rank FROM s2 WHERE contact_score >= 0.3e0""")
 def hands_contacts(spark, d):
+    return _contacts(spark, d).drop("centre").withColumns({k: F.round(k, 6) for k in ("iou", "depth_diff")})
+
+
+def _contacts(spark, d):
     seen = v.objects(spark, d).groupBy("video_id", "seq").agg(F.array_sort(F.collect_list(F.struct("ordinal", "class_name", "bbox"))).alias("objects"))  # two in a frame
     rows = v.hand_frames(spark, d).select("video_id", "seq", "hands", "depth").join(seen, ["video_id", "seq"])
-    return hands.contacts(rows, "depth", v.map_at).withColumns({k: F.round(k, 6) for k in ("iou", "depth_diff")})
+    return hands.contacts(rows, "depth", v.map_at)
+
+
+@query(f"""{v.OBJECTS_SQL.join(["WITH " + v.HANDS_SQL + ", ", ""])} SELECT video_id, seq, string_agg(class_name, ',' ORDER BY confidence DESC, ordinal) FILTER (confidence - 0.05e0 >= 0.3e0) AS names FROM objects_v GROUP BY 1, 2""")
+def confident_objects(spark, d):
+    """Detections of enough confidence, the surest first; the view's are lowered so that some are not."""
+    seen = v.objects(spark, d).groupBy("video_id", "seq").agg(F.array_sort(F.collect_list(F.struct("ordinal", "class_name", (F.col("confidence") - 0.05).alias("confidence")))).alias("objects"))
+    named = F.transform("objects", lambda o: o["class_name"])
+    return hands.confident(seen).select("video_id", "seq", F.when(F.size("objects") > 0, F.array_join(named, ",")).alias("names"))
+
+
+# --- text of a batch ------------------------------------------------------------
+
+_BATCH = F.floor(F.col("seq") / 5).cast("long").alias("batch_id")
+_TOP = f"""{_score_sql(hands.LIGHT)}{_CONTACTS.removeprefix(_LIST)}, {v.OBJECTS_SQL},
+ct AS (SELECT s2.*, seq // 5 AS batch_id, (x1 + x2) // 2 AS cx, (y1 + y2) // 2 AS cy, row_number() OVER (PARTITION BY video_id, seq ORDER BY contact_score DESC, hand_no, object_no) AS rank FROM s2 WHERE contact_score >= 0.3e0),
+tp AS (SELECT *, row_number() OVER (PARTITION BY video_id, batch_id ORDER BY contact_score DESC, seq, rank) AS place FROM ct)"""
+
+
+def _batches(spark, d):
+    """Frames that could be read, their hands, objects and contacts, by batch."""
+    seen = hands.activity(v.hand_frames(spark, d), hands.LIGHT).where("hands is not null").select("video_id", _BATCH, "seq", "ts", "activity", "hands", "depth")
+    each = seen.select("video_id", "batch_id", "seq", F.explode("hands.handedness").alias("handedness"))
+    objects = v.objects(spark, d).select("video_id", _BATCH, "seq", "ordinal", "class_name", "confidence")
+    held = _contacts(spark, d).select("video_id", _BATCH, "seq", F.col("handedness").alias("hand"), "class_name", "contact_score", F.col("contact_rank").alias("ordinal"), "centre.x", "centre.y").toDF("video_id", "batch_id", "seq", "hand", "class_name", "contact_score", "ordinal", "cx", "cy")
+    return seen, each, objects, held
+
+
+@query(f"""{_TOP}, sp AS (SELECT hf.video_id, hf.seq // 5 AS batch_id, min(ts) AS a, max(ts) AS z, avg(activity) AS m FROM hf JOIN act USING (video_id, seq) WHERE hands IS NOT NULL GROUP BY 1, 2),
+hn AS (SELECT video_id, batch_id, string_agg(label, ', ' ORDER BY label) AS t FROM (SELECT DISTINCT video_id, seq // 5 AS batch_id, label FROM hd) GROUP BY 1, 2),
+cn AS (SELECT video_id, batch_id, string_agg(class_name || ' (conf ' || printf('%.2f', c + 1e-9) || ')', ', ' ORDER BY c DESC, first) AS t FROM (SELECT video_id, seq // 5 AS batch_id, class_name, max(confidence) AS c, min((seq, ordinal)) AS first FROM objects_v GROUP BY 1, 2, 3) GROUP BY 1, 2),
+ix AS (SELECT video_id, batch_id, string_agg(handedness || ' hand -> ' || class_name || ' (score ' || printf('%.2f', contact_score + 1e-9) || ')', '; ' ORDER BY place) AS t FROM tp WHERE place <= 3 GROUP BY 1, 2)
+SELECT sp.video_id, sp.batch_id, 'Local CV metadata for frames ' || printf('%.1f', a + 1e-9) || 's - ' || printf('%.1f', z + 1e-9) || 's:' || chr(10) || '  Hands: ' || coalesce(hn.t || ' detected', 'none detected') || coalesce(chr(10) || '  Objects: ' || cn.t, '') || coalesce(chr(10) || '  Interactions: ' || ix.t, '') || chr(10) || '  Activity score: ' || printf('%.2f', m + 1e-9) AS context
+FROM sp LEFT JOIN hn USING (video_id, batch_id) LEFT JOIN cn USING (video_id, batch_id) LEFT JOIN ix USING (video_id, batch_id)""")
+def inline_context(spark, d):
+    seen, each, objects, held = _batches(spark, d)
+    return context.short_context(seen, each, objects, held)
+
+
+@query(f"""{_TOP}, fd AS (SELECT video_id, seq // 5 AS batch_id, arg_min(hands, seq) AS hands, arg_min(depth, seq) AS m FROM hf WHERE depth IS NOT NULL AND hands IS NOT NULL GROUP BY 1, 2),
+hw AS (SELECT video_id, batch_id, string_agg('hand at ' || printf('%.2f', {v.map_sql("m", "h.pixels[1].x", "h.pixels[1].y")} + 1e-9), ', ' ORDER BY i) AS t FROM (SELECT video_id, batch_id, m, unnest(hands) AS h, generate_subscripts(hands, 1) AS i FROM fd) GROUP BY 1, 2),
+ow AS (SELECT tp.video_id, tp.batch_id, string_agg(class_name || ' at ' || printf('%.2f', {v.map_sql("m", "cx", "cy")} + 1e-9), ', ' ORDER BY place) AS t FROM tp JOIN fd USING (video_id, batch_id) WHERE place <= 2 GROUP BY 1, 2)
+SELECT video_id, batch_id, CASE WHEN hw.t IS NULL THEN ow.t ELSE hw.t || ', ' || ow.t END AS deep FROM ow LEFT JOIN hw USING (video_id, batch_id)""")
+def depth_lines(spark, d):
+    seen, _, _, held = _batches(spark, d)
+    return context.depth_line(seen, held, "depth", v.map_at)
+
+
+@query(f"""{c._SEG_SQL.replace("WITH RECURSIVE ", "WITH RECURSIVE " + v.HANDS_SQL + ", ", 1)}, an AS (SELECT video_id, CAST(round(ts * 1000) AS BIGINT) AS ms, arg_max(vec_id, vec_id) AS vec_id FROM (SELECT label % 10 AS video_id, (vec_id % 40) * 0.5e0 + 1e-7 AS ts, vec_id FROM embeddings) GROUP BY 1, 2)
+SELECT f.video_id, f.seq, an.vec_id FROM frames f JOIN an ON an.video_id = f.video_id AND an.ms = CAST(round(f.ts * 1000) AS BIGINT)""")
+def annotations_at_frames(spark, d):
+    """Frames with the last annotation of their millisecond; the annotations' times are a little off and repeat."""
+    e = v.table(spark, d, "embeddings").select((F.col("label") % 10).cast("long").alias("video_id"), ((F.col("vec_id") % 40) * 0.5 + 1e-7).alias("ts"), "vec_id")
+    return labels.at_frames(v.frames(spark, d).select("video_id", "seq", "ts"), e, "vec_id").select("video_id", "seq", "vec_id")
 
 
 # --- trajectories -------------------------------------------------------------

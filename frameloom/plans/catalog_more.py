@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from frameloom.functions import geometry as g
 from frameloom.functions import values
-from frameloom.operators import context, evaluate, frames, labels, scoring, segments, tracks
+from frameloom.operators import context, evaluate, frames, hands, labels, scoring, segments, tracks
 from frameloom.plans import catalog as c
 from frameloom.plans.catalog import query, r6
 from frameloom.sources import media
@@ -106,8 +106,7 @@ act AS (SELECT video_id, seq, CASE WHEN missing THEN 0 ELSE least(1, 0.2e0 + CAS
 @query(f"{_ACT} SELECT video_id, seq, round(activity, 6) AS activity, CASE WHEN activity >= 0.6e0 THEN 'active_manipulation' WHEN activity >= 0.2e0 THEN 'possible_activity' ELSE 'idle_or_observing' END AS activity_class FROM act")
 def activity_score(spark, d):
     a = evaluate.activity(c._boxed(spark, d).select("video_id", "seq", "handedness", "pixels", "hand_box", "missing"))
-    kind = F.when(F.col("activity") >= 0.6, "active_manipulation").when(F.col("activity") >= 0.2, "possible_activity").otherwise("idle_or_observing")
-    return a.select("video_id", "seq", r6("activity"), kind.alias("activity_class"))
+    return a.select("video_id", "seq", r6("activity"), hands.activity_class(F.col("activity")).alias("activity_class"))
 
 
 _TRAJ = f"""{_ALL}, pctl AS (SELECT video_id, handedness, quantile_cont(pinch, 0.05e0) AS p5, quantile_cont(pinch, 0.95e0) AS p95, count(pinch) AS valid FROM wr GROUP BY 1, 2),
@@ -257,20 +256,24 @@ def multicam_sync(spark, d):
     return media.camera_frames(manifest, v.frames(spark, d).select("video_id", "seq", "ts")).select("video_id", "camera", "mount", "seq", r6("ts"))
 
 
+#: What a probe says of a video, by event: two streams, a container's duration, no frame rate, no video at all.
 _PROBES = (
-    '{"streams": [{"codec_type": "audio"}, {"codec_type": "video", "r_frame_rate": "30000/1001", "duration": "10.5", "width": 640, "height": 480, "codec_name": "h264"}]}',
-    '{"streams": [{"codec_type": "video", "r_frame_rate": "25/1", "width": 1920, "height": 1080}], "format": {"duration": "7.25"}}',
-    '{"streams": [{"codec_type": "video", "r_frame_rate": "0/0"}]}',
-    '{"streams": [{"codec_type": "audio"}]}',
+    ('{"streams": [{"codec_type": "audio"}, {"codec_type": "video", "r_frame_rate": "', '001/1001", "duration": "10.5", "width": 640, "height": 480, "codec_name": "h264"}]}'),
+    ('{"streams": [{"codec_type": "video", "r_frame_rate": "25/1", "width": 19', ', "height": 1080}], "format": {"duration": "7.25"}}'),
+    ('{"streams": [{"codec_type": "video", "r_frame_rate": "', '/0"}]}'),
+    ('{"streams": [{"codec_type": "audio", "duration": "', '"}]}'),
 )
+_K_SQL = "CAST(json_extract(props, '$.k') AS BIGINT)"
 
 
-@query(f"""WITH p AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{t}')" for i, t in enumerate(_PROBES))}) t(id, probe)), s AS (SELECT id, probe, list_filter(CAST(json_extract(probe, '$.streams') AS JSON[]), lambda x: json_extract_string(x, '$.codec_type') = 'video')[1] AS v FROM p),
+@query(f"""WITH p AS (SELECT event_id AS id, CASE event_id % 4 {" ".join(f"WHEN {i} THEN '{a}' || {_K_SQL} || '{z}'" for i, (a, z) in enumerate(_PROBES))} END AS probe FROM events), s AS (SELECT id, probe, list_filter(CAST(json_extract(probe, '$.streams') AS JSON[]), lambda x: json_extract_string(x, '$.codec_type') = 'video')[1] AS v FROM p),
 r AS (SELECT *, string_split(coalesce(json_extract_string(v, '$.r_frame_rate'), '0/1'), '/') AS f FROM s)
 SELECT CAST(id AS BIGINT) AS id, CASE WHEN v IS NOT NULL THEN coalesce(CAST(json_extract_string(v, '$.duration') AS DOUBLE), CAST(json_extract_string(probe, '$.format.duration') AS DOUBLE), 0) END AS duration, CASE WHEN v IS NOT NULL THEN CASE WHEN CAST(f[2] AS DOUBLE) = 0 THEN 0 ELSE round(CAST(f[1] AS DOUBLE) / CAST(f[2] AS DOUBLE), 2) END END AS fps,
 CASE WHEN v IS NOT NULL THEN coalesce(json_extract_string(v, '$.width'), '0') || 'x' || coalesce(json_extract_string(v, '$.height'), '0') END AS resolution, CASE WHEN v IS NOT NULL THEN coalesce(json_extract_string(v, '$.codec_name'), 'unknown') END AS codec, CASE WHEN v IS NULL THEN 'no video stream' END AS error FROM r""")
 def probe_metadata(spark, d):
-    rows = spark.createDataFrame(list(enumerate(_PROBES)), "id long, probe string")
+    k, kind = F.get_json_object("props", "$.k"), F.col("event_id") % 4
+    probe = F.coalesce(*[F.when(kind == i, F.concat(F.lit(a), k, F.lit(z))) for i, (a, z) in enumerate(_PROBES)])
+    rows = v.table(spark, d, "events").select(F.col("event_id").alias("id"), probe.alias("probe"))
     return media.probe_metadata(rows).select("id", "duration", "fps", "resolution", "codec", "error")
 
 

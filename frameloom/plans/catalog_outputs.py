@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from frameloom.functions import rasters
 from frameloom.operators import classify, clips, documents, segments, stages
+from frameloom.sources import media, sinks
 from frameloom.sources import views as v
 
 from . import catalog as c
@@ -49,6 +50,34 @@ def video_documents(spark, d):
     )
 
 
+_TWO = lambda x: f"printf('%.2f', round({x}, 4) + 1e-9)"
+
+
+@query(f"""{c._SEG_SQL}, f0 AS (SELECT video_id, segment, chunk, arg_min(seq, i) AS seq FROM chunks GROUP BY ALL), sg AS (SELECT s.*, 'Do ' || l.action || ' with ' || l.objects[1] AS told FROM seg s JOIN f0 USING (video_id, segment, chunk) JOIN labels_v l ON l.video_id = s.video_id AND l.seq = f0.seq)
+SELECT video_id, segment_id AS place, {c._clock("start_time")} || ' - ' || {c._clock("end_time")} || '  ' || CASE WHEN action = 'transition' THEN '[---]  TRANSITION -- Head movement / walking' WHEN review_reason IS NOT NULL THEN '[' || {_TWO("confidence_avg")} || '] ' || action || ' -- NEEDS REVIEW (' || review_reason || ')'
+  ELSE '[' || {_TWO("confidence_avg")} || '] ' || action || ' -- ' || told || ' (' || hand_used || CASE WHEN len(phases) > 0 THEN ', ' || array_to_string(phases, ' -> ') ELSE '' END || ')' END AS line FROM sg
+UNION ALL SELECT video_id, unnest([-3, -2, -1, n + 1, n + 2]), unnest(['Annotation Timeline', repeat('=', 80), '', '', repeat('=', 80)]) FROM (SELECT video_id, max(segment_id) AS n FROM seg GROUP BY 1)""")
+def timeline_text(spark, d):
+    return segments.timeline_text(segments.segments(v.described_labels(spark, d)))
+
+
+@query(f"""{c._SEG_SQL}, todo AS (SELECT * FROM seg WHERE review_reason IS NOT NULL), n AS (SELECT s.video_id, s.segment_id, string_agg(frame_path, ',' ORDER BY ts) AS paths FROM todo s JOIN frames f ON f.video_id = s.video_id AND f.ts BETWEEN s.start_time AND s.end_time GROUP BY 1, 2)
+SELECT t.video_id, t.segment_id, start_time, end_time, review_reason AS reason, action AS suggested_action, coalesce(paths, '') AS frame_paths FROM todo t LEFT JOIN n USING (video_id, segment_id)""")
+def review_clips(spark, d):
+    """The review queue with the paths of each clip's frames, in order."""
+    todo = c._segments(spark, d).where("needs_review").select("video_id", "segment_id", "action", "review_reason", "start_time", "end_time")
+    made = sinks.review_documents(todo, v.frames(spark, d))
+    return made.select("video_id", "segment_id", "start_time", "end_time", F.col("review_reason").alias("reason"), F.col("action").alias("suggested_action"), F.array_join("frame_paths", ",").alias("frame_paths"))
+
+
+@query("""SELECT event_id, CASE WHEN k % 30 > 0 THEN round(k * 10 / (k % 30), 6) ELSE 0 END AS duration, (640 + k) || 'x480' AS resolution, chr(CAST(97 + k % 26 AS INT)) || 'vc1' AS codec FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""")
+def counted_metadata(spark, d):
+    """Facts of videos that can't be probed, from their counts of frames."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    rows = v.table(spark, d, "events").select("event_id", (k * 10).alias("frame_count"), (k % 30).cast("double").alias("fps"), (k + 640).alias("width"), F.lit(480).alias("height"), (97 + k % 26 + 256 * ord("v") + 65536 * ord("c") + 16777216 * ord("1")).cast("int").alias("code"))
+    return media.counted_metadata(rows).select("event_id", F.round("duration", 6).alias("duration"), "resolution", "codec")
+
+
 # --- training clips -------------------------------------------------------------
 
 _U = lambda *parts: "(CAST('0x' || substr(sha256('7/=' || " + " || '/=' || ".join(f"CAST({p} AS VARCHAR)" for p in parts) + "), 1, 12) AS BIGINT) / 281474976710656e0)"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from frameloom.functions.values import fourcc
+
 #: Video files by extension, in order of preference for the first four.
 VIDEO_EXTENSIONS = ("mp4", "avi", "mkv", "mov", "webm", "flv")
 PROBE = "struct<streams:array<struct<codec_type:string,r_frame_rate:string,duration:string,width:int,height:int,codec_name:string>>,format:struct<duration:string>>"
@@ -28,12 +30,18 @@ def probe_metadata(rows: DataFrame, column: str = "probe") -> DataFrame:
     w, h = F.coalesce("_v.width", F.lit(0)), F.coalesce("_v.height", F.lit(0))
     made = {
         "duration": F.coalesce(F.col("_v.duration").cast("double"), F.col("_p.format.duration").cast("double"), F.lit(0.0)),
-        "fps": F.round(F.when(den == 0, 0.0).otherwise(F.try_divide(num, den)) + 1e-9, 2), "width": w.cast("long"), "height": h.cast("long"),
+        "fps": F.round(F.when(den == 0, 0.0).otherwise(F.try_divide(num, den)), 2), "width": w.cast("long"), "height": h.cast("long"),
         "resolution": F.concat(w.cast("string"), F.lit("x"), h.cast("string")), "codec": F.coalesce("_v.codec_name", F.lit("unknown")),
     }
     return v.select(*rows.columns, *[F.when(there, c).alias(k) for k, c in made.items()], F.when(~there, "no video stream").alias("error"))
 
 
+def counted_metadata(rows: DataFrame) -> DataFrame:
+    """rows (frame_count, fps, width, height, code) of videos that can't be probed, with duration (0 without a rate), resolution and codec, the code's four characters."""
+    made = {"duration": F.when(F.col("fps") > 0, F.col("frame_count") / F.col("fps")).otherwise(0.0), "resolution": F.concat(F.col("width").cast("string"), F.lit("x"), F.col("height").cast("string")), "codec": fourcc(F.col("code"))}
+    return rows.withColumns(made)
+
+
 def video_files(files: DataFrame) -> DataFrame:
     """files (path) that are videos by their extension, in order of path."""
     return files.where(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*VIDEO_EXTENSIONS)).orderBy("path")

@@ -39,8 +39,8 @@ def write_csv(segs: DataFrame, path: str, scores: DataFrame | None = None) -> No
 
 
 def write_timeline(lines: DataFrame, path: str) -> None:
-    """Text files of the timeline (video_id, segment_id, line), a folder per video, in the order of segments."""
-    rows = lines.repartition("video_id").sortWithinPartitions("video_id", "segment_id")
+    """Text files of a timeline, a folder per video: lines (video_id, segment_id, line) in the order of segments, or (video_id, place, line) of segments.timeline_text()."""
+    rows = lines.repartition("video_id").sortWithinPartitions("video_id", "place" if "place" in lines.columns else "segment_id")
     rows.select("video_id", F.col("line").alias("value")).write.partitionBy("video_id").mode("overwrite").text(path)
 
 
