@@ -38,34 +38,46 @@ def segment_fields(segs: DataFrame, scores: DataFrame | None = None) -> DataFram
     return segs.select(*KEY, F.struct(*[made.get(c, F.col(c)).alias(c) for c in SEGMENT]).alias("segment"))
 
 
-def action_totals(segs: DataFrame) -> DataFrame:
-    """(video_id, action_summary): by action, the longest first, equals by their first segment."""
-    by = segs.groupBy("video_id", "action").agg(F.count("*").alias("count"), F.sum("duration").alias("_d"), F.avg("confidence_avg").alias("_c"), F.min("segment_id").alias("_first"))
-    one = F.struct("action", "count", F.round("_d", 2).alias("total_duration"), F.round("_c", 4).alias("avg_confidence"))
-    return by.withColumn("_by", -F.col("_d")).groupBy("video_id").agg(_in_order(one, "_by", "_first").alias("action_summary"))
-
-
-def _distribution(segs: DataFrame, value: str, name: str, top: str, default: str) -> DataFrame:
-    """(video_id, top, name): the commonest value other than none, of equals the one met first, and how often each occurs, in the order that they were met."""
-    n = segs.where(F.col(value) != "none").groupBy("video_id", value).agg(F.count("*").alias("n"), F.min("segment_id").alias("first"))
-    entries = _in_order(F.struct(F.col(value).alias("key"), F.col("n").alias("value")), "first")
-    out = n.groupBy("video_id").agg(F.map_from_entries(entries).alias(name), F.max_by(value, F.struct("n", -F.col("first"))).alias(top))
-    return out.withColumn(top, F.coalesce(top, F.lit(default)))
-
-
-def profiles(segs: DataFrame) -> DataFrame:
-    """(video_id, manipulation_profile): dominant hand and grasp, shares of both hands and of idle time, distributions, totals."""
-    per = segs.groupBy("video_id").agg(F.count("*").alias("n"), F.sum("duration").alias("all"), F.sum(F.when(F.col("action") == "idle", F.col("duration")).otherwise(0.0)).alias("idle"), F.count_if(F.col("hand_used") == "both").alias("both"))
-    hand, grasp = _distribution(segs, "hand_used", "hand_distribution", "dominant_hand", "unknown"), _distribution(segs, "grasp_type", "grasp_distribution", "most_used_grasp", "none")
-    rows = per.join(hand, "video_id", "left").join(grasp, "video_id", "left")
-    total = F.when(F.col("all") != 0, F.col("all")).otherwise(1.0)
-    empty = F.expr("cast(map() as map<string,bigint>)")
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
+def _met(values: Column) -> Column:
+    """The distinct values of an array in the order that they were met, each as (n, place, value): how often it occurs, minus its place."""
+    distinct = F.array_distinct(values)
+    return F.transform(distinct, lambda v, i: F.struct(F.size(F.filter(values, lambda x: x.eqNullSafe(v))).cast("long").alias("n"), (-i).alias("place"), v.alias("value")))
+
+
+def action_totals(segs: Column) -> Column:
+    """By action of an array of segments: count, total duration and mean confidence; the longest first, equals by their first segment."""
+    actions = F.array_distinct(F.transform(segs, lambda s: s["action"]))
+
+    def one(action: Column, place: Column) -> Column:
+        own = F.filter(segs, lambda s: s["action"].eqNullSafe(action))
+        time, sure = _sum(F.transform(own, lambda s: s["duration"])), _sum(F.transform(own, lambda s: s["confidence_avg"]))
+        told = F.struct(action.alias("action"), F.size(own).cast("long").alias("count"), F.round(time, 2).alias("total_duration"), F.round(sure / F.size(own), 4).alias("avg_confidence"))
+        return F.struct((-time).alias("by"), place.alias("place"), told.alias("told"))
+
+    return F.transform(F.array_sort(F.transform(actions, one)), lambda x: x["told"])
+
+
+def profile(segs: Column) -> Column:
+    """Of an array of segments: dominant hand and grasp (the commonest but none, of equals the one met first), shares of both hands and of idle time, distributions in the order that they were met, totals. Null of no segments."""
+
+    def of(field: str, default: str) -> tuple[Column, Column]:
+        met = _met(F.filter(F.transform(segs, lambda s: s[field]), lambda x: x != "none"))
+        return F.coalesce(F.array_max(met)["value"], F.lit(default)), F.map_from_entries(F.transform(met, lambda m: F.struct(m["value"].alias("key"), m["n"].alias("value"))))
+
+    (hand, hands), (grasp, grasps) = of("hand_used", "unknown"), of("grasp_type", "none")
+    time = _sum(F.transform(segs, lambda s: s["duration"]))
+    total = F.when(time != 0, time).otherwise(1.0)
+    idle = _sum(F.transform(F.filter(segs, lambda s: s["action"] == "idle"), lambda s: s["duration"]))
+    both = F.size(F.filter(segs, lambda s: s["hand_used"] == "both"))
     parts = [
-        F.coalesce("dominant_hand", F.lit("unknown")).alias("dominant_hand"), F.round(100 * F.col("both") / F.col("n"), 1).alias("bimanual_pct"), F.round(100 * F.col("idle") / total, 1).alias("idle_pct"),
-        F.coalesce("most_used_grasp", F.lit("none")).alias("most_used_grasp"), F.coalesce("grasp_distribution", empty).alias("grasp_distribution"), F.coalesce("hand_distribution", empty).alias("hand_distribution"),
-        F.col("n").alias("total_segments"), F.round(total, 2).alias("total_duration"),
+        hand.alias("dominant_hand"), F.round(100.0 * both / F.size(segs), 1).alias("bimanual_pct"), F.round(100 * idle / total, 1).alias("idle_pct"), grasp.alias("most_used_grasp"),
+        grasps.alias("grasp_distribution"), hands.alias("hand_distribution"), F.size(segs).cast("long").alias("total_segments"), F.round(total, 2).alias("total_duration"),
     ]
-    return rows.select("video_id", F.struct(*parts).alias("manipulation_profile"))
+    return F.when(F.size(segs) > 0, F.struct(*parts))
 
 
 def documents(videos: DataFrame, segs: DataFrame, scores: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
@@ -73,18 +85,20 @@ def documents(videos: DataFrame, segs: DataFrame, scores: DataFrame | None = Non
 
     videos is (video_id, and of VIDEO what is known); a video without segments has empty lists. segs is what
     segments.enrich gives, stats (video_id, ...) whatever the processing tells. Only a video's segments, never its
-    frames, come together in a row. Null fields are written as null.
+    frames, come together in a row, once; summaries are made of them there. Null fields are written as null.
     """
     if "quality_score" in segs.columns:
         raise ValueError("scores are given apart")
     one = segment_fields(segs, scores).groupBy("video_id").agg(_in_order("segment", "segment_id").alias("segments"))
-    rows = videos.join(one, "video_id", "left").join(action_totals(segs), "video_id", "left").join(profiles(segs), "video_id", "left")
+    rows = videos.join(one, "video_id", "left")
     if scores is not None:
         total = score_summary(scores, "quality_score")
         rows = rows.join(total.select("video_id", F.struct(*[c for c in total.columns if c != "video_id"]).alias("quality_aggregate")), "video_id", "left")
     if stats is not None:
         rows = rows.join(stats.select("video_id", F.struct(*[c for c in stats.columns if c != "video_id"]).alias("processing_stats")), "video_id", "left")
     known = [F.coalesce(F.col(c) if c in videos.columns else F.lit(None), F.lit(d)).alias(c) for c, d in VIDEO.items()]
-    lists = [F.coalesce(c, F.array()).alias(c) for c in ("segments", "action_summary")]
-    parts = [*known, *(["processing_stats"] if stats is not None else []), *lists, "manipulation_profile", *(["quality_aggregate"] if scores is not None else [])]
+    own = F.coalesce("segments", F.array()).alias("segments")
+    about = [action_totals(F.col("segments")).alias("action_summary"), profile(F.col("segments")).alias("manipulation_profile")]
+    rows = rows.select(*[c for c in rows.columns if c != "segments"], own)
+    parts = [*known, *(["processing_stats"] if stats is not None else []), "segments", *about, *(["quality_aggregate"] if scores is not None else [])]
     return rows.select("video_id", F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}).alias("document"))

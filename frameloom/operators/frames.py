@@ -95,11 +95,12 @@ def transition_ranges(verdicts: DataFrame) -> DataFrame:
 
 
 def filter_stats(verdicts: DataFrame) -> DataFrame:
-    """By video: frames, how many are good, dark, blurred or duplicates, transitions (in ranges), and each as a percentage of all frames."""
+    """By video: frames, how many are good, dark, blurred or duplicates, transitions (in ranges, see transition_ranges), and each as a percentage of all frames. One pass over the verdicts: a range is counted where it begins."""
     names = ("good", "dark", "blur", "duplicate")
-    out = verdicts.groupBy("video_id").agg(F.count("*").alias("total"), *[F.count_if(F.col("verdict") == v).alias(f"n_{v}") for v in names])
-    ranges = transition_ranges(verdicts).groupBy("video_id").agg(F.count("*").alias("n_transition"))
-    out = out.join(ranges, "video_id", "left").fillna({"n_transition": 0})
+    kept = F.col("verdict").isin("transition", "good")
+    before = F.lag("verdict").over(Window.partitionBy("video_id", kept).orderBy("seq"))
+    begins = (F.col("verdict") == "transition") & ~before.eqNullSafe("transition")
+    out = verdicts.withColumn("_begins", begins).groupBy("video_id").agg(F.count("*").alias("total"), *[F.count_if(F.col("verdict") == v).alias(f"n_{v}") for v in names], F.count_if("_begins").alias("n_transition"))
     return out.select("*", *[F.round(100.0 * F.col(f"n_{v}") / F.col("total"), 1).alias(f"{v}_pct") for v in (*names, "transition")])
 
 

@@ -392,11 +392,10 @@ def segment_frames_interval(spark, d):
     return out.groupBy("video_id", "segment_id").agg(F.count("*").alias("n_frames"), F.round(F.avg("brightness"), 6).alias("brightness"))
 
 
-@query(f"{_SEG_SQL} SELECT s.video_id, s.segment_id, round(0.7e0 * least(1, avg(f.lapvar) / 200) + 0.3e0 * greatest(0, 1 - stddev_pop(f.brightness) / 80) + 1e-9, 6) AS frame_quality FROM seg s JOIN frames f ON f.video_id = s.video_id AND f.ts BETWEEN s.start_time AND s.end_time GROUP BY 1, 2")
+@query(f"{_SEG_SQL} SELECT s.video_id, s.segment_id, round(0.7e0 * least(1, avg(f.lapvar) / 200) + 0.3e0 * greatest(0, 1 - stddev_pop(f.brightness) / 80), 9) AS frame_quality FROM seg s JOIN frames f ON f.video_id = s.video_id AND f.ts BETWEEN s.start_time AND s.end_time GROUP BY 1, 2")
 def quality_frame(spark, d):
-    # off the ties of rounding, which engines break differently
     q = scoring.frame_quality(_segments(spark, d), v.frames(spark, d).select("video_id", "ts", "brightness", "lapvar"))
-    return q.withColumn("frame_quality", F.round(F.col("frame_quality") + 1e-9, 6))
+    return q.withColumn("frame_quality", F.round("frame_quality", 9))
 
 
 @query(f"{_SEG_SQL} SELECT action, count(*) AS n_segments, sum(duration) AS total_duration, round(avg(confidence_avg), 6) AS mean_confidence FROM seg GROUP BY 1")

@@ -35,46 +35,44 @@ parts AS (SELECT s.video_id, s.segment_id, coalesce(pose, 0) AS pose, coalesce(o
   coalesce(CASE hand_used WHEN 'left' THEN l.smooth WHEN 'right' THEN r.smooth WHEN 'both' THEN coalesce(r.smooth, l.smooth) END, 0.5e0) AS smoothness, CASE WHEN pos = list_sort(pos) THEN least(1, confidence_avg + 0.1e0) ELSE confidence_avg END AS clarity
   FROM seg s LEFT JOIN po ON po.video_id = s.video_id AND po.segment_id = s.segment_id LEFT JOIN dep ON dep.video_id = s.video_id AND dep.segment_id = s.segment_id LEFT JOIN fq ON fq.video_id = s.video_id AND fq.segment_id = s.segment_id
   LEFT JOIN jr l ON l.video_id = s.video_id AND l.handedness = 'left' LEFT JOIN jr r ON r.video_id = s.video_id AND r.handedness = 'right'),
-scored AS (SELECT *, round(least(1, greatest(0, 0.25e0 * pose + 0.2e0 * objects_seen + 0.2e0 * smoothness + 0.15e0 * clarity + 0.1e0 * frame_quality + 0.1e0 * depth_steady)) + 1e-9, 4) AS composite FROM parts)"""
-_OFF = lambda x: F.round(F.col(x) + 1e-9, 6).alias(x)
+scored AS (SELECT *, CAST(round(CAST(least(1, greatest(0, round(0.25e0 * pose + 0.2e0 * objects_seen + 0.2e0 * smoothness + 0.15e0 * clarity + 0.1e0 * frame_quality + 0.1e0 * depth_steady, 9))) AS DECIMAL(18, 9)), 4) AS DOUBLE) AS composite FROM parts)"""
+_OFF = lambda x: F.round(F.col(x), 9).alias(x)
 
 
 def _scored(spark, d):
-    s = scoring.pose_and_objects(c._segments(spark, d), _seen(spark, d))
-    s = scoring.track_of_segment(scoring.clarity(s), tracks.smoothness(c._motion(spark, d)))
-    q = scoring.frame_quality(s, v.frames(spark, d).select("video_id", "ts", "brightness", "lapvar"))
-    return scoring.composite(s.join(q, scoring.KEY, "left").fillna({"frame_quality": 0.5}))
+    s = scoring.parts(c._segments(spark, d), _seen(spark, d), v.frames(spark, d).select("video_id", "ts", "brightness", "lapvar"))
+    return scoring.composite(scoring.track_of_segment(scoring.clarity(s), tracks.smoothness(c._motion(spark, d))))
 
 
-@query(f"{_PARTS} SELECT video_id, segment_id, round(pose + 1e-9, 6) AS pose FROM parts")
+@query(f"{_PARTS} SELECT video_id, segment_id, round(pose, 9) AS pose FROM parts")
 def quality_pose(spark, d):
     return scoring.pose_and_objects(c._segments(spark, d), _seen(spark, d)).select("video_id", "segment_id", _OFF("pose"))
 
 
-@query(f"{_PARTS} SELECT video_id, segment_id, round(objects_seen + 1e-9, 6) AS objects_seen FROM parts")
+@query(f"{_PARTS} SELECT video_id, segment_id, round(objects_seen, 9) AS objects_seen FROM parts")
 def quality_objects(spark, d):
     return scoring.pose_and_objects(c._segments(spark, d), _seen(spark, d)).select("video_id", "segment_id", _OFF("objects_seen"))
 
 
-@query(f"{_PARTS} SELECT video_id, segment_id, round(smoothness + 1e-9, 6) AS smoothness FROM parts")
+@query(f"{_PARTS} SELECT video_id, segment_id, round(smoothness, 9) AS smoothness FROM parts")
 def quality_smooth(spark, d):
     return scoring.track_of_segment(c._segments(spark, d), tracks.smoothness(c._motion(spark, d))).select("video_id", "segment_id", _OFF("smoothness"))
 
 
-@query(f"{_PARTS} SELECT video_id, segment_id, round(depth_steady + 1e-9, 6) AS depth_steady FROM parts")
+@query(f"{_PARTS} SELECT video_id, segment_id, round(depth_steady, 9) AS depth_steady FROM parts")
 def quality_depth(spark, d):
     return scoring.pose_and_objects(c._segments(spark, d), _seen(spark, d)).select("video_id", "segment_id", _OFF("depth_steady"))
 
 
-@query(f"{_PARTS} SELECT video_id, segment_id, composite, composite < 0.2e0 AS may_discard, round(clarity + 1e-9, 6) AS clarity FROM scored")
+@query(f"{_PARTS} SELECT video_id, segment_id, composite, composite < 0.2e0 AS may_discard, round(clarity, 9) AS clarity FROM scored")
 def quality_composite(spark, d):
     return _scored(spark, d).select("video_id", "segment_id", "composite", "may_discard", _OFF("clarity"))
 
 
-@query(f"""{_PARTS} SELECT video_id, round(avg(composite) + 1e-9, 6) AS mean, round(median(composite) + 1e-9, 6) AS median, min(composite) AS min, max(composite) AS max, round(stddev_pop(composite) + 1e-9, 6) AS std, count(*) FILTER (composite >= 0.8e0) AS excellent, count(*) FILTER (composite >= 0.6e0 AND composite < 0.8e0) AS good,
+@query(f"""{_PARTS} SELECT video_id, round(avg(composite), 9) AS mean, round(median(composite), 9) AS median, min(composite) AS min, max(composite) AS max, round(stddev_pop(composite), 9) AS std, count(*) FILTER (composite >= 0.8e0) AS excellent, count(*) FILTER (composite >= 0.6e0 AND composite < 0.8e0) AS good,
 count(*) FILTER (composite >= 0.4e0 AND composite < 0.6e0) AS fair, count(*) FILTER (composite >= 0.2e0 AND composite < 0.4e0) AS poor, count(*) FILTER (composite < 0.2e0) AS discard, count(*) AS n FROM scored GROUP BY 1""")
 def quality_video(spark, d):
-    return segments.score_summary(_scored(spark, d), "composite").withColumns({x: F.round(F.col(x) + 1e-9, 6) for x in ("mean", "median", "std")})
+    return segments.score_summary(_scored(spark, d), "composite").withColumns({x: F.round(F.col(x), 9) for x in ("mean", "median", "std")})
 
 
 # --- tracks and activity ------------------------------------------------------
