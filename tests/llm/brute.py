@@ -194,3 +194,96 @@ def codes(rows, parts, entries, rounds, scale):
     for (_, lab, _), e in zip(kept, error, strict=True):
         by[lab] += e
     return [(i, "".join(f"{f[0][k][0]:02x}" for f in found), error[k], by[lab], digest) for k, (i, lab, _) in enumerate(kept)]
+
+
+def clause_patterns(symbols):
+    """Symbols of a clause -> its matched patterns, by looking around each insult (I) and threat (H)."""
+    out = []
+    for i, s in enumerate(symbols):
+        if s not in ("I", "H"):
+            continue
+        if "N" in symbols[max(0, i - 5) : i]:
+            out.append(s + "-")
+        elif "R" in symbols[:i]:
+            out.append(s + "~")
+        elif "T" in symbols[max(0, i - 5) : i] or "T" in symbols[i + 1 : i + 5]:
+            out.append(s + "@")
+        else:
+            out.append(s)
+    return out
+
+
+def toxicity(text, model, fixed):
+    """Score of a text by a model; fixed has the transducers' own words."""
+    entries = {e: ("T", 0.0) for e in fixed.TARGETS} | {e: ("N", 0.0) for e in fixed.NEGATIONS} | {e: ("R", 0.0) for e in fixed.REPORTS}
+    entries |= {e: ("H", 1.0) for e in (*fixed.THREATS, *fixed.THREAT_PHRASES)} | {e: ("I", w) for e, w in model["insults"].items()}
+    longest = max(len(e.split()) for e in entries)
+    clauses = re.split(r"[.!?;:\n]+", (text or "").lower())
+    in_clauses, matched, most, heaviest = Counter(), 0, 0, 0.0
+    for c in clauses:
+        words, symbols, weight, i = re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)?", c), [], 0.0, 0
+        while i < len(words):
+            for k in range(min(longest, len(words) - i), 0, -1):
+                if (e := entries.get(" ".join(words[i : i + k]))) is not None:
+                    break
+            else:
+                e, k = ("w", 0.0), 1
+            symbols.append(e[0])
+            weight, i = weight + e[1], i + k
+        if found := clause_patterns(symbols):
+            matched, most = matched + 1, max(most, len(found))
+            if any(f[-1] not in "-~" for f in found):
+                heaviest = max(heaviest, weight)
+            in_clauses.update(set(found))
+    order = ("I", "I@", "I-", "I~", "H", "H@", "H-", "H~")
+    f = [*(math.log1p(in_clauses[p]) for p in order), float(matched > 0), 10 * matched / (len(clauses) + 5) if matched else 0.0, heaviest, math.log1p(most)]
+    z = sum(w * x for w, x in zip(model["weights"], f, strict=True)) + model["bias"]
+    return 1 / (1 + math.exp(-z))
+
+
+def language_vector(text, idf, bits=14):
+    """{feature: value} of a text's character n-grams; empty without a letter."""
+    if not text or not any(c.isalpha() for c in text):
+        return {}
+    s = f" {re.sub(r'[\W\d_]+', ' ', text).lower().strip()} "
+    n = Counter()
+    for size in (1, 2, 3):
+        for i in range(len(s) - size + 1):
+            code = 0
+            for c in s[i : i + size]:
+                code = code << 21 | ord(c)
+            n[((code * 0x9E3779B97F4A7C15 + size - 1) % (1 << 64)) >> (64 - bits)] += 1
+    v = {k: (1 + math.log(c)) * idf[k] for k, c in n.items()}
+    norm = math.sqrt(sum(x * x for x in v.values()))
+    return {k: x / norm for k, x in v.items()}
+
+
+def language(text, model, dim):
+    """(lang_pred, score) of a text by a model."""
+    v = language_vector(text, model["idf"])
+    if not v:
+        return "und", 0.0
+    z = [(sum(w[k] * x for k, x in v.items()) + w[dim]) / model["temperature"] for w in model["weights"]]
+    e = [math.exp(x - max(z)) for x in z]
+    k = e.index(max(e))
+    return model["langs"][k], e[k] / sum(e)
+
+
+def ftrl(rows, classes, alpha, beta, l1, l2):
+    """Weights {(class, feature): w} after rows ({feature: value}, class), one coordinate after the other."""
+    z, n = Counter(), Counter()
+
+    def w(k):
+        if abs(z[k]) <= l1:
+            return 0.0
+        return -(z[k] - math.copysign(l1, z[k])) / ((beta + math.sqrt(n[k])) / alpha + l2)
+
+    for v, y in rows:
+        scores = [sum(w((c, f)) * x for f, x in v.items()) for c in range(classes)]
+        e = [math.exp(s - max(scores)) for s in scores]
+        grads = {(c, f): (e[c] / sum(e) - (c == y)) * x for c in range(classes) for f, x in v.items()}
+        for k, g in grads.items():
+            old = w(k)
+            z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / alpha * old
+            n[k] += g * g
+    return {k: w(k) for k in z}
