@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,3 +37,16 @@ def entropy(rows: DataFrame, key: str, value: str) -> DataFrame:
     """(key, entropy): Shannon's, in bits, of each key's values. Counts are combined before they are shuffled."""
     n = rows.groupBy(key, value).agg(F.count("*").alias("_n"))
     return n.groupBy(key).agg((F.log2(F.sum("_n")) - F.sum(F.col("_n") * F.log2("_n")) / F.sum("_n")).alias("entropy"))
+
+
+@F.pandas_udf("double")
+def text_entropy(texts: pd.Series) -> pd.Series:
+    """Bits of the distribution of a text's characters, counted inside the row; null for null and empty texts."""
+
+    def one(t: str | None) -> float | None:
+        if not t:
+            return None
+        n = np.unique(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), return_counts=True)[1] / len(t)
+        return float(-(n * np.log2(n)).sum()) + 0.0
+
+    return texts.map(one)

@@ -107,3 +107,24 @@ def test_sessions_close_when_the_watermark_passes_them(spark, tmp_path):
     got = sorted((r["video_id"], r["action"], (r["start"] - at(0)).total_seconds(), (r["end"] - at(0)).total_seconds(), r["n"], round(r["confidence"], 6)) for r in spark.table("sessions").collect())
     # the late label of the first session is dropped
     assert got[:2] == [(1, "hold", 3.0, 13.0, 1, 1.0), (1, "place", 0.0, 25.0, 3, 0.7)] and got[2][:5] == (1, "place", 26.0, 36.0, 1) and [g[0] for g in got[3:]] == [2, 2]
+
+
+def test_parts_of_quality_in_one_join_are_those_of_two(spark, tiny):
+    from frameloom.operators import scoring
+    from frameloom.plans import catalog, catalog_more
+
+    segs, seen = catalog._segments(spark, tiny), catalog_more._seen(spark, tiny)
+    frames = views.frames(spark, tiny).select("video_id", "ts", "brightness", "lapvar")
+    names = ["video_id", "segment_id", "pose", "objects_seen", "depth_steady"]
+    flat = lambda df, cols: sorted(tuple(round(x, 9) for x in r) for r in df.select(*cols).collect())
+    whole = scoring.parts(segs, seen, frames)
+    assert flat(whole, names) == flat(scoring.pose_and_objects(segs, seen), names)
+    apart = segs.select("video_id", "segment_id").join(scoring.frame_quality(segs, frames), ["video_id", "segment_id"], "left").fillna({"frame_quality": 0.5})
+    assert flat(whole, [*names[:2], "frame_quality"]) == flat(apart, [*names[:2], "frame_quality"])
+
+
+def test_entropy_of_texts(spark):
+    from frameloom.functions import values
+
+    rows = spark.createDataFrame([(0, "aabb"), (1, "aaaa"), (2, "\U0001f600é"), (3, ""), (4, None)], "id long, t string")
+    assert [r[0] for r in rows.orderBy("id").select(values.text_entropy("t")).collect()] == [1.0, 0.0, 1.0, None, None]
