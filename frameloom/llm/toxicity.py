@@ -168,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     """Grammar and weights from at most about max_rows labelled rows, chosen by the hash of doc_id.
 
     All words that are far commoner in toxic rows join the insults, weighted by their log odds; words of the fixed list
-    that labelled rows contradict leave it. Repeated labels of a document count by their largest; null labels and ids,
+    that labelled rows contradict leave it. The patterns' weights are learned with both labels balanced (see balanced). Repeated labels of a document count by their largest; null labels and ids,
     and labels of no document, are left out. Without labels of both kinds no weights are learned.
     """
     one = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).alias("_y"))
@@ -209,10 +209,16 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     sample = rows.mapInPandas(vectors, "v binary, y int, c long").groupBy("v", "y").agg(F.sum("c").alias("c")).orderBy("v", "y").collect()
     x = np.array([np.frombuffer(r["v"]) for r in sample])
     y, c = np.array([r["y"] == 1 for r in sample], float), np.array([r["c"] for r in sample], float)
-    w = logistic(np.hstack([x, np.ones((len(x), 1))]), y, c)
+    w = logistic(np.hstack([x, np.ones((len(x), 1))]), y, balanced(y, c))
     return {"insults": insults, "weights": list(w[:-1]), "bias": float(w[-1])}
 
 
+def balanced(y: np.ndarray, c: np.ndarray, most: float = 10.0) -> np.ndarray:
+    """Counts in which the rarer of both labels weighs as much as the other, but a row no more than `most` times: where few texts are toxic, a plain fit puts one half of the score beyond many of them."""
+    ones, zeros = float((c * y).sum()), float((c * (1 - y)).sum())
+    return c * np.where(y == 1, min(most, max(1.0, zeros / ones)), min(most, max(1.0, ones / zeros))) if ones and zeros else c
+
+
 def logistic(x: np.ndarray, y: np.ndarray, c: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     """Weights of a ridge-penalised logistic regression of rows counted c times, by Newton steps; the last column is not penalised."""
     w, pen = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)

@@ -70,3 +70,10 @@ def test_steps_of_the_regularised_leader():
     assert all(got[c, f] == pytest.approx(w, abs=1e-9) for (c, f), w in want.items())
     # the elastic net leaves weights at nothing
     assert any(w == 0.0 for w in want.values()) and sum(got[:, f].any() for f in range(langid.DIM)) <= 30
+
+
+def test_labels_are_balanced_within_a_bound():
+    y, c = np.array([1.0, 0.0, 0.0]), np.array([2.0, 5.0, 3.0])
+    assert toxicity.balanced(y, c).tolist() == [8.0, 5.0, 3.0] and toxicity.balanced(1 - y, c).tolist() == [8.0, 5.0, 3.0]
+    assert toxicity.balanced(y, np.array([1.0, 900.0, 100.0])).tolist() == [10.0, 900.0, 100.0]
+    assert toxicity.balanced(np.ones(2), np.ones(2)).tolist() == [1.0, 1.0]
