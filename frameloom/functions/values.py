@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def depth_at(depth: Column, height: int, width: int, x: Column, y: Column) -> Column:
@@ -39,7 +40,7 @@ def entropy(rows: DataFrame, key: str, value: str) -> DataFrame:
     return n.groupBy(key).agg((F.log2(F.sum("_n")) - F.sum(F.col("_n") * F.log2("_n")) / F.sum("_n")).alias("entropy"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def text_entropy(texts: pd.Series) -> pd.Series:
     """Bits of the distribution of a text's characters, counted inside the row; null for null and empty texts."""
 
