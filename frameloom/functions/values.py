@@ -6,7 +6,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 
 def depth_at(depth: Column, height: int, width: int, x: Column, y: Column) -> Column:
@@ -40,8 +39,7 @@ def entropy(rows: DataFrame, key: str, value: str) -> DataFrame:
     return n.groupBy(key).agg((F.log2(F.sum("_n")) - F.sum(F.col("_n") * F.log2("_n")) / F.sum("_n")).alias("entropy"))
 
 
-@F.pandas_udf(DoubleType())
-def text_entropy(texts: pd.Series) -> pd.Series:
+def text_entropy(text: Column | str) -> Column:
     """Bits of the distribution of a text's characters, counted inside the row; null for null and empty texts."""
 
     def one(t: str | None) -> float | None:
@@ -50,4 +48,8 @@ def text_entropy(texts: pd.Series) -> pd.Series:
         n = np.unique(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), return_counts=True)[1] / len(t)
         return float(-(n * np.log2(n)).sum()) + 0.0
 
-    return texts.map(one)
+    @F.pandas_udf("double")
+    def made(texts: pd.Series) -> pd.Series:
+        return texts.map(one)
+
+    return made(text)

@@ -128,3 +128,13 @@ def test_entropy_of_texts(spark):
 
     rows = spark.createDataFrame([(0, "aabb"), (1, "aaaa"), (2, "\U0001f600é"), (3, ""), (4, None)], "id long, t string")
     assert [r[0] for r in rows.orderBy("id").select(values.text_entropy("t")).collect()] == [1.0, 0.0, 1.0, None, None]
+
+
+def test_entry_points_import_without_a_session(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), set(e.oracle_sql()) <= set(e.queries()))"], cwd=root, capture_output=True, text=True, check=True)
+    assert out.stdout.split()[1] == "True" and int(out.stdout.split()[0]) > 90
