@@ -101,7 +101,7 @@ def confident_objects(spark, d):
 
 # --- text of a batch ------------------------------------------------------------
 
-_BATCH = F.floor(F.col("seq") / 5).cast("long").alias("batch_id")
+_batch = lambda: F.floor(F.col("seq") / 5).cast("long").alias("batch_id")
 _TOP = f"""{_score_sql(hands.LIGHT)}{_CONTACTS.removeprefix(_LIST)}, {v.OBJECTS_SQL},
 ct AS (SELECT s2.*, seq // 5 AS batch_id, (x1 + x2) // 2 AS cx, (y1 + y2) // 2 AS cy, row_number() OVER (PARTITION BY video_id, seq ORDER BY contact_score DESC, hand_no, object_no) AS rank FROM s2 WHERE contact_score >= 0.3e0),
 tp AS (SELECT *, row_number() OVER (PARTITION BY video_id, batch_id ORDER BY contact_score DESC, seq, rank) AS place FROM ct)"""
@@ -109,10 +109,10 @@ tp AS (SELECT *, row_number() OVER (PARTITION BY video_id, batch_id ORDER BY con
 
 def _batches(spark, d):
     """Frames that could be read, their hands, objects and contacts, by batch."""
-    seen = hands.activity(v.hand_frames(spark, d), hands.LIGHT).where("hands is not null").select("video_id", _BATCH, "seq", "ts", "activity", "hands", "depth")
+    seen = hands.activity(v.hand_frames(spark, d), hands.LIGHT).where("hands is not null").select("video_id", _batch(), "seq", "ts", "activity", "hands", "depth")
     each = seen.select("video_id", "batch_id", "seq", F.explode("hands.handedness").alias("handedness"))
-    objects = v.objects(spark, d).select("video_id", _BATCH, "seq", "ordinal", "class_name", "confidence")
-    held = _contacts(spark, d).select("video_id", _BATCH, "seq", F.col("handedness").alias("hand"), "class_name", "contact_score", F.col("contact_rank").alias("ordinal"), "centre.x", "centre.y").toDF("video_id", "batch_id", "seq", "hand", "class_name", "contact_score", "ordinal", "cx", "cy")
+    objects = v.objects(spark, d).select("video_id", _batch(), "seq", "ordinal", "class_name", "confidence")
+    held = _contacts(spark, d).select("video_id", _batch(), "seq", F.col("handedness").alias("hand"), "class_name", "contact_score", F.col("contact_rank").alias("ordinal"), "centre.x", "centre.y").toDF("video_id", "batch_id", "seq", "hand", "class_name", "contact_score", "ordinal", "cx", "cy")
     return seen, each, objects, held
 
 
