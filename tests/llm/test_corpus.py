@@ -472,7 +472,7 @@ def test_pipeline_stages_keep_rows_with_null_and_repeated_ids(spark, tiny):
     assert corpus_pipeline.decontamination_stage(spark, docs.limit(0), tiny).count() == 0
 
 
-def test_jaccard_large_groups_of_near_copies(spark):
+def test_jaccard_large_groups_of_near_copies(spark, monkeypatch):
     """Groups whose copies differ from a common text by more and more words, so that many are just beyond its reach, a chain in which only neighbours are alike, and a passage that many texts share."""
     import random
 
@@ -500,7 +500,9 @@ def test_jaccard_large_groups_of_near_copies(spark):
     want = sorted(brute.components(rows))
     assert _rows(jaccard.jaccard_components(docs), "doc_id", "n_shingles", "component_id") == want
     assert len({c for *_, c in want}) > 100
-    assert _rows(jaccard.jaccard_components(docs, levels=1), "doc_id", "n_shingles", "component_id") == want
+    # hot differences make groups of their own, level after level, until none is left
+    monkeypatch.setattr(jaccard, "NEAR_FAN", 12)
+    assert _rows(jaccard.jaccard_components(docs), "doc_id", "n_shingles", "component_id") == want
 
 
 def test_components_and_paths_that_do_not_end_raise(spark):
