@@ -19,46 +19,59 @@ def series() -> Window:
     return Window.partitionBy("video_id", "handedness").orderBy("seq")
 
 
-def gap_sizes(rows: DataFrame, value: str) -> DataFrame:
-    """rows with, for value: _i (place in the series), _l and _r (struct i, v: the known samples next before and after, null at an edge) and _n (samples of the gap that a null is in).
+def _placed(rows: DataFrame) -> DataFrame:
+    """rows with _i, their place in the series, and _m, its length."""
+    return rows.withColumn("_i", F.row_number().over(series())).withColumn("_m", F.count("*").over(Window.partitionBy("video_id", "handedness")))
 
-    Offsets that skip nulls read each sample once, so a series takes linear time however long its gaps are.
-    """
-    w = series()
-    over = "IGNORE NULLS OVER (PARTITION BY video_id, handedness ORDER BY seq)"
-    known = f"IF({value} IS NULL, NULL, named_struct('i', _i, 'v', {value}))"
-    rows = rows.withColumn("_i", F.row_number().over(w)).withColumn("_m", F.count("*").over(Window.partitionBy("video_id", "handedness")))
-    rows = rows.withColumns({"_l": F.expr(f"lag({known}, 1) {over}"), "_r": F.expr(f"lead({known}, 1) {over}")})
-    return rows.withColumn("_n", F.when(F.col(value).isNull(), F.coalesce("_r.i", F.col("_m") + 1) - F.coalesce("_l.i", F.lit(0)) - 1)).drop("_m")
+
+def _known(value: str, step: str) -> Column:
+    """Struct (i, v) of the known sample next before (lag) or after (lead) a row, null at an edge. Offsets that skip nulls read each sample once, so a series takes linear time however long its gaps are."""
+    return F.expr(f"{step}(IF({value} IS NULL, NULL, named_struct('i', _i, 'v', {value})), 1) IGNORE NULLS OVER (PARTITION BY video_id, handedness ORDER BY seq)")
+
+
+def _size(left: str, right: str) -> Column:
+    """How many samples lie between two known ones, or an edge."""
+    return F.coalesce(F.col(f"{right}.i"), F.col("_m") + 1) - F.coalesce(F.col(f"{left}.i"), F.lit(0)) - 1
+
+
+def gap_sizes(rows: DataFrame, value: str) -> DataFrame:
+    """rows with, for value, _n: samples of the gap that a null is in, null for known ones; and _near: whether that gap has a neighbour."""
+    rows = _placed(rows).withColumns({"_l": _known(value, "lag"), "_r": _known(value, "lead")})
+    rows = rows.withColumns({"_n": F.when(F.col(value).isNull(), _size("_l", "_r")), "_near": F.coalesce("_l.v", "_r.v").isNotNull()})
+    return rows.drop("_i", "_m", "_l", "_r")
 
 
 def fill_gaps(rows: DataFrame, *values: str, max_gap: int | None = MAX_GAP) -> DataFrame:
     """rows with each value's gaps of at most max_gap samples filled: from the left neighbour at the gap's first sample to the right one at its last.
 
-    A gap of one takes the left neighbour, a gap at an edge the only one there is; longer gaps stay. None fills all.
+    A gap of one takes the left neighbour, a gap at an edge the only one there is; longer gaps stay. None fills all. All values take one window.
     """
-    for value in values:
-        rows = gap_sizes(rows, value)
-        left, right = F.coalesce("_l.v", "_r.v"), F.coalesce("_r.v", "_l.v")
-        k = F.col("_i") - F.coalesce("_l.i", F.lit(0)) - 1
-        filled = F.when(F.col("_n") > 1, left + (right - left) * k / (F.col("_n") - 1)).otherwise(left)
-        ok = F.lit(True) if max_gap is None else F.col("_n") <= max_gap
-        rows = rows.withColumn(value, F.when(F.col(value).isNotNull(), F.col(value)).when(ok, filled)).drop("_i", "_l", "_r", "_n")
-    return rows
+    sides = {f"_{side}_{v}": _known(v, step) for v in values for side, step in (("l", "lag"), ("r", "lead"))}
+    rows, filled = _placed(rows).withColumns(sides), {}
+    for v in values:
+        before, after = f"_l_{v}", f"_r_{v}"
+        left, right = F.coalesce(f"{before}.v", f"{after}.v"), F.coalesce(f"{after}.v", f"{before}.v")
+        n, k = _size(before, after), F.col("_i") - F.coalesce(F.col(f"{before}.i"), F.lit(0)) - 1
+        line = F.when(n > 1, left + (right - left) * k / (n - 1)).otherwise(left)
+        ok = F.lit(True) if max_gap is None else n <= max_gap
+        filled[v] = F.when(F.col(v).isNotNull(), F.col(v)).when(ok, line)
+    return rows.withColumns(filled).drop("_i", "_m", *sides)
 
 
 def smooth(rows: DataFrame, *values: str, skip: int = 0) -> DataFrame:
     """rows with each of values smoothed over five samples; series of fewer stay as they are. The first and last two samples use the first and last five. The first `skip` samples have no values and are not part of the series."""
     w, whole = series(), Window.partitionBy("video_id", "handedness")
     rows = rows.withColumn("_i", F.row_number().over(w) - skip).withColumn("_n", F.count("*").over(whole) - skip)
+    # each neighbour is looked up once, whichever of the five rows of coefficients a sample takes
+    near = {f"_{v}{d:+d}": (F.lag(v, -d) if d < 0 else F.lead(v, d)).over(w) for v in values for d in range(-4, 5) if d}
     place = F.when(F.col("_i") <= 2, F.col("_i") - 1).when(F.col("_i") > F.col("_n") - 2, F.col("_i") - F.col("_n") + 4).otherwise(2)
-    rows, fits = rows.withColumn("_place", place), {}
+    rows, fits = rows.withColumns({**near, "_place": F.when((F.col("_n") >= 5) & (F.col("_i") >= 1), place)}), {}
     for v in values:
         fits[v] = F.col(v)
         for p, row in enumerate(SMOOTH):
-            at = sum((F.lag(v, p - j).over(w) if p > j else F.lead(v, j - p).over(w) if j > p else F.col(v)) * c for j, c in enumerate(row)) / 35.0
-            fits[v] = F.when((F.col("_n") >= 5) & (F.col("_i") >= 1) & (F.col("_place") == p), at).otherwise(fits[v])
-    return rows.withColumns(fits).drop("_i", "_n", "_place")
+            at = sum(F.col(f"_{v}{j - p:+d}" if j != p else v) * c for j, c in enumerate(row)) / 35.0
+            fits[v] = F.when(F.col("_place") == p, at).otherwise(fits[v])
+    return rows.withColumns(fits).drop("_i", "_n", "_place", *near)
 
 
 def derivative(rows: DataFrame, dt: float | Column, **named: str) -> DataFrame:

@@ -48,9 +48,9 @@ def gated(rows: DataFrame) -> DataFrame:
     whole = Window.partitionBy("video_id", "handedness")
     rows = tracks.gap_sizes(rows, "x")
     # a gap is filled if it is small and has a neighbour
-    there = F.col("x").isNotNull() | (F.col("_n") <= tracks.MAX_GAP) & F.coalesce("_l.v", "_r.v").isNotNull()
+    there = F.col("x").isNotNull() | (F.col("_n") <= tracks.MAX_GAP) & F.col("_near")
     enough = (F.sum("sightings").over(whole) >= LEAST) & (F.count_if(there).over(whole) >= LEAST)
-    return rows.withColumn("tracked", enough).drop("_i", "_l", "_r", "_n")
+    return rows.withColumn("tracked", enough).drop("_n", "_near")
 
 
 def trajectories(rows: DataFrame) -> DataFrame:
