@@ -284,8 +284,8 @@ def clip_sample(spark, d):
 
 @query("WITH ch AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?s).')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS n FROM ch GROUP BY 1, 2) SELECT doc_id, round(log2(sum(n)) - sum(n * log2(n)) / sum(n), 4) AS entropy FROM n GROUP BY 1")
 def char_entropy(spark, d):
-    made = v.table(spark, d, "documents").select("doc_id", values.text_entropy("text").alias("entropy"))
-    return made.where("entropy is not null").select("doc_id", F.round("entropy", 4).alias("entropy"))
+    made = v.table(spark, d, "documents").where("text <> ''").select("doc_id", values.text_entropy("text").alias("entropy"))
+    return made.select("doc_id", F.round("entropy", 4).alias("entropy"))
 
 
 @query(f"""WITH {v.HANDS_SQL}, m AS (SELECT video_id, seq, e, list_min(e) AS lo, list_max(e) AS hi, greatest(least(CAST(floor(pixels[1].x / 80) AS INT), 7), 0) AS x, greatest(least(CAST(floor(pixels[1].y / 60) AS INT), 7), 0) AS y FROM hands_v)

@@ -130,6 +130,15 @@ def test_entropy_of_texts(spark):
     assert [r[0] for r in rows.orderBy("id").select(values.text_entropy("t")).collect()] == [1.0, 0.0, 1.0, None, None]
 
 
+def test_entropy_is_evaluated_once(spark, tiny):
+    from frameloom.plans import catalog_more
+
+    made = catalog_more.char_entropy(spark, tiny)
+    assert made._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    texts = spark.read.parquet(f"{tiny}/documents.parquet").where("length(text) > 0").count()
+    assert made.where("entropy is not null").count() == made.count() == texts
+
+
 def test_entry_points_import_without_a_session(tmp_path):
     import os
     import subprocess
