@@ -19,11 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, dropped, hot_rows, hot_table, salted_join, union, written
-from .jaccard import FAN, Hasher, cut_sets, group_links, normal, rows_of, similar
+from .jaccard import FAN, Hasher, cut_sets, group_links, normal, rows_of, similar_whole
 
 BANDS, ROWS = 50, 6
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
@@ -79,13 +79,19 @@ def read_documents(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
 
 
 def stars(signed: DataFrame, percent: int) -> DataFrame:
-    """(a, b, wide) for documents (doc, n, bands): a is the centre of a bucket that b is in; wide, if one of them has more than these two."""
+    """(a, b, wide, fits, low, high) for documents (doc, n, bands): a is the centre of a bucket that b is in; wide, if one of them has more than these two; fits, if their sizes allow a link; low to high is b's size."""
     rows = signed.select("doc", "n", F.explode("bands").alias("bucket"))
     centres = written(rows.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), "doc", "n")).alias("c"), F.count("*").alias("g")).where("g > 1"), "buckets")
     edges = salted_join(rows, centres, "bucket", hot_table(centres, "bucket", "g"), F.col("doc")).where("doc <> c.doc")
-    out = written(edges.groupBy(F.col("c.doc").alias("a"), F.col("doc").alias("b")).agg((F.max("g") > 2).alias("wide"), F.any_value("n").alias("nb"), F.any_value("c.n").alias("na")), "stars")
+    sizes = {"low": F.min("n"), "high": F.max("n"), "low_a": F.min("c.n"), "high_a": F.max("c.n")}
+    out = written(edges.groupBy(F.col("c.doc").alias("a"), F.col("doc").alias("b")).agg((F.max("g") > 2).alias("wide"), *[v.alias(k) for k, v in sizes.items()]), "stars")
     dropped(centres)
-    return out.withColumn("fits", 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).drop("na", "nb")
+    return out.withColumn("fits", alike("low", "high", "low_a", "high_a", percent)).drop("low_a", "high_a")
+
+
+def alike(low_x: str, high_x: str, low_y: str, high_y: str, percent: int) -> Column:
+    """Whether sets of such sizes can be linked. Texts of one doc_id may have several sizes."""
+    return 100 * F.least(high_x, high_y) >= percent * F.greatest(low_x, low_y)
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 2, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -98,30 +104,36 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     probability (1 - (percent/100)^rows)^bands.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    ids = read_documents(docs, n, bands, rows)
-    named = ids.where("key is not null and doc_id is not null")
+    signed = read_documents(docs, n, bands, rows)
+    ids = written(signed.select("doc_id", "key", "n_shingles"), "ids")
+    named = "key is not null and doc_id is not null"
     # copies: the smallest id of each key stands for all
-    first = written(named.groupBy("key").agg(F.min("doc_id").alias("doc"), F.count("*").alias("c"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands")), "copies")
+    first = written(signed.where(named).groupBy("key").agg(F.min("doc_id").alias("doc"), F.count("*").alias("c"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands")), "first")
+    dropped(signed)
+    again = written(first.where("c > 1").select("key", "doc"), "copies")
     edges = stars(first.select("doc", "n", "bands"), percent)
+    dropped(first)
     near = written(edges.where("fits").select("a", "b"), "near")
     # a centre that is linked with all its members leaves nothing open; sizes alone can rule links with it out, not those among them
     wide = edges.where("wide")
-    nodes = written(near.union(wide.select("a", "b")).select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "nodes")
+    nodes = near.union(wide.select("a", "b")).select(F.explode(F.array("a", "b")).alias("doc"))
     shared = docs.sparkSession.sparkContext.broadcast(np.zeros(2, dtype=np.uint8))
     sets = cut_sets(docs, shared, nodes, n)
-    linked = similar(near, sets, percent)
-    seen = written(wide.select("a", "b").join(linked.select("a", "b", F.lit(True).alias("linked")), ["a", "b"], "left"), "seen")
+    linked = similar_whole(near, sets, percent)
+    seen = written(wide.select("a", "b", "low", "high").join(linked.select("a", "b", F.lit(True).alias("linked")), ["a", "b"], "left"), "seen")
     open_ = seen.groupBy("a").agg(F.count("*").alias("m"), F.count("linked").alias("k")).where("m > 1 and k < m")
     open_ = written(open_, "open")
-    rest = written(salted_join(seen, open_, "a", hot_table(open_, "a", "m"), F.col("b")).select("a", F.col("b").alias("doc"), "linked", "m"), "rest")
+    rest = written(salted_join(seen, open_, "a", hot_table(open_, "a", "m"), F.col("b")).select("a", F.col("b").alias("doc"), "low", "high", "linked", "m"), "rest")
     few, many = rest.where(F.col("m") <= FAN), rest.where(F.col("m") > FAN)
     # at most FAN partners for each unlinked member
-    x, y = few.where("linked is null").select("a", F.col("doc").alias("x")), few.select("a", F.col("doc").alias("y"))
-    pairs = x.join(y, "a").where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+    side = lambda x: few.select("a", "linked", *[F.col(c).alias(c + x) for c in ("doc", "low", "high")])
+    both = side("x").where("linked is null").drop("linked").join(side("y").drop("linked"), "a").where("docx <> docy").where(alike("lowx", "highx", "lowy", "highy", percent))
+    pairs = both.select(F.greatest("docx", "docy").alias("a"), F.least("docx", "docy").alias("b"))
     links, more = group_links(written(many.select(F.col("a").alias("gid"), "doc"), "members"), sets, percent)
     pairs = written(union(pairs, *more).distinct(), "candidates")
-    links += [linked, similar(pairs, sets, percent)]
-    copies = salted_join(named.select("key", "doc_id"), first.where("c > 1").select("key", "doc"), "key", hot_rows(named, "key"), F.col("doc_id")).where("doc_id <> doc").select(F.col("doc").alias("a"), F.col("doc_id").alias("b"))
+    links += [linked, similar_whole(pairs, sets, percent)]
+    dropped(sets, pairs, seen, rest, *more)
+    copies = salted_join(ids.where(named).select("key", "doc_id"), again, "key", hot_rows(ids.where(named), "key"), F.col("doc_id")).where("doc_id <> doc").select(F.col("doc").alias("a"), F.col("doc_id").alias("b"))
     labels = components(union(copies, *links))
     out = ids.join(labels, ids.doc_id == labels.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
